@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driver_tables.extracts import SETTINGS
-from driver_tables.queries import register
-from meterstone import Reports
+from driver_tables.queries import register, reports
 from meterstone.operators.balances import as_of_month_ends, monthly_steps, reached_month
 from meterstone.operators.profile import text_widths
 from meterstone.plans.quality import unique_key_violations
@@ -149,7 +148,7 @@ _SMALL = ("dim_period", "division", "rebills_monthly", "data_quality", "service_
 
 
 def published(w) -> DataFrame:
-    r = Reports(w)
+    r = reports(w)
     return publish(w.spark, {n: getattr(r, n) for n in _SMALL}, scratch_path(w.spark, "published")).select("dataset", "rows", "columns")
 
 

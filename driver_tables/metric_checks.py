@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from driver_tables.queries import register
-from meterstone import Reports
+from driver_tables.queries import register, reports
 from meterstone.plans.metrics import MetricModel, column_name, model_tables
-from meterstone.plans.visuals import CARDS, run_cards, run_visual
+from meterstone.plans.visuals import run_cards, run_visual
 
 YEAR = 2000
 DIVISION, PERIOD_YEAR = "Division.division", "Period.year"
 
 
 def model(w) -> MetricModel:
-    return MetricModel(model_tables(Reports(w)))
+    if "_model" not in w.__dict__:
+        w.__dict__["_model"] = MetricModel(model_tables(reports(w)))
+    return w.__dict__["_model"]
 
 
 def q(top: str, bottom: str, scale: str = "") -> tuple[str, bool]:

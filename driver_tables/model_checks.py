@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from driver_tables.extracts import SETTINGS
 from driver_tables.oracle import BLOCKS
-from driver_tables.queries import register
-from meterstone import Reports
+from driver_tables.queries import register, reports
 from meterstone.plans import outage_model as om
 from meterstone.plans.metrics import MetricModel, model_tables
 from meterstone.plans.visuals import run_cards, run_visual
@@ -44,7 +43,7 @@ def payload(w):
 
 
 def forecast(w):
-    return parse_forecast(payload(w), Reports(w).division, RETRIEVED)
+    return parse_forecast(payload(w), reports(w).division, RETRIEVED)
 
 
 def scored(w):
@@ -53,16 +52,18 @@ def scored(w):
 
 
 def fitted(w):
-    return om.train(w.spark, w.dim_date, w.dim_geography, w.fact_outage, w.cfg)
+    if "_fitted" not in w.__dict__:
+        w.__dict__["_fitted"] = om.train(w.spark, w.dim_date, w.dim_geography, w.fact_outage, w.cfg)
+    return w.__dict__["_fitted"]
 
 
 def forecast_model(w):
-    return MetricModel(model_tables(Reports(w), {"Weather Forecast": scored(w)}))
+    return MetricModel(model_tables(reports(w), {"Weather Forecast": scored(w)}))
 
 
 def fitted_tables(w):
     m = fitted(w)
-    return MetricModel(model_tables(Reports(w), {
+    return MetricModel(model_tables(reports(w), {
         "Outage Backtest": m.backtest, "Outage Model Metrics": m.metrics, "Outage Model Bands": m.bands}))
 
 
@@ -163,7 +164,7 @@ register("visual_v15", lambda w: run_visual(forecast_model(w), "v15"),
          "max_gust_mph precip_in predicted_outages")
 register(
     "visual_v17",
-    lambda w: run_visual(MetricModel(model_tables(Reports(w), {"Outage Model Bands": om.band_statistics(grid(w), w.cfg)})), "v17"),
+    lambda w: run_visual(MetricModel(model_tables(reports(w), {"Outage Model Bands": om.band_statistics(grid(w), w.cfg)})), "v17"),
     "SELECT band, outages_per_100k AS historical_outages_per_100k FROM m_bands WHERE outages_per_100k IS NOT NULL",
     "historical_outages_per_100k")
 

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from driver_tables.extracts import SETTINGS, Extracts
@@ -17,14 +15,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+_BUILT: dict[tuple[str, str], Warehouse] = {}
+
+
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    return Warehouse(spark, Extracts(spark, folder), SETTINGS)
+    """The datasets of a folder. Plans (no data) are kept per session, as views would be."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _BUILT:
+        _BUILT[key] = Warehouse(spark, Extracts(spark, folder), SETTINGS)
+    return _BUILT[key]
+
+
+def reports(w: Warehouse) -> Reports:
+    if "_reports" not in w.__dict__:
+        w.__dict__["_reports"] = Reports(w)
+    return w.__dict__["_reports"]
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded: sums of doubles depend on row order in the last bits."""
-    return df.select(*[
-        F.round(f.name, digits).alias(f.name) if isinstance(f.dataType, DoubleType) else F.col(f.name)
+    if not any(isinstance(f.dataType, DoubleType) for f in df.schema.fields):
+        return df
+    name = lambda f: f"`{f.name}`"
+    return df.selectExpr(*[
+        f"round({name(f)}, {digits}) AS {name(f)}" if isinstance(f.dataType, DoubleType) else name(f)
         for f in df.schema.fields
     ])
 
@@ -39,9 +53,9 @@ def register(name: str, query: Callable[[Warehouse], DataFrame], sql: str | None
         SQL[name] = compose(sql)
 
 
-def dataset(name: str, attribute: str, block: str, doubles: str = "", reports: bool = False) -> None:
-    if reports:
-        register(name, lambda w: getattr(Reports(w), attribute), f"SELECT * FROM {block}", doubles)
+def dataset(name: str, attribute: str, block: str, doubles: str = "", report: bool = False) -> None:
+    if report:
+        register(name, lambda w: getattr(reports(w), attribute), f"SELECT * FROM {block}", doubles)
     else:
         register(name, lambda w: getattr(w, attribute), f"SELECT * FROM {block}", doubles)
 
@@ -102,4 +116,4 @@ for _name, _block, _d in (
     ("customer_bills_recent", "r_bills_recent", "kwh therms"),
     ("data_quality", "r_dq", ""),
 ):
-    dataset(f"rpt_{_name}", _name, _block, _d, reports=True)
+    dataset(f"rpt_{_name}", _name, _block, _d, report=True)

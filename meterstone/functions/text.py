@@ -28,8 +28,9 @@ def one_of(c: Column, values: Iterable[str]) -> Column:
 
 def label(c: Column, table: Mapping[str, str], default: str | None = None) -> Column:
     """Decode a code; unknown codes give ``default`` (NULL when not given)."""
-    pairs = [F.lit(x) for code, text in table.items() for x in (code.upper(), text)]
-    found = F.try_element_at(F.create_map(*pairs), folded(c))
+    quoted = lambda text: "'" + text.replace("'", "\\'") + "'"
+    pairs = ", ".join(f"{quoted(code.upper())}, {quoted(text)}" for code, text in table.items())
+    found = F.try_element_at(F.expr(f"map({pairs})"), folded(c))
     return found if default is None else F.coalesce(found, F.lit(default))
 
 

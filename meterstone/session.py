@@ -29,6 +29,7 @@ def local_session(cores: int | str = "*", app: str = "meterstone", memory: str =
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in REQUIRED.items():
         builder = builder.config(key, value)
