@@ -232,7 +232,7 @@ def backtest_metrics(scored: DataFrame, grid: DataFrame, full: OutageFit, cfg: S
 def score_forecast(forecast: DataFrame, coefficients: DataFrame, divisions: DataFrame, bands: DataFrame,
                    cfg: Settings) -> DataFrame:
     """Expected outages, risk and customers out per forecast row."""
-    known = F.broadcast(divisions.select("division", "customers_served", "baseline_outages"))
+    known = divisions.select("division", "customers_served", "baseline_outages")
     placed = forecast.join(known, "division", "left").withColumn("month", F.month("forecast_date"))
     scored = predict(placed, coefficients, "predicted_outages").drop("month").withColumns({
         "risk_ratio": ratio(c("predicted_outages"), c("baseline_outages")),

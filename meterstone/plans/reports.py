@@ -259,18 +259,22 @@ class Reports:
         )
         who = self.wh.dim_customer.select("customer_id", "division", "segment")
         swing = F.try_divide(F.abs(c("kwh") - c("prior_kwh")), c("prior_kwh"))
+        # summed per customer before the dimension join, so a hot customer joins as a few rows
+        per_customer = compared.groupBy("customer_id", "bill_month", "elec_rate_code").agg(
+            rows("bills"),
+            count_where(c("elec_estimated")).alias("elec_estimated"),
+            count_where(c("gas_estimated")).alias("gas_estimated"),
+            count_where(c("elec_estimated") & c("prior_estimated")).alias("consecutive_estimates"),
+            count_where((c("kwh") == 0) & (c("bill_type") == "Regular") & (c("billing_days") >= 20))
+            .alias("zero_usage_bills"),
+            count_where((c("prior_kwh") > 0) & (swing > 0.5)).alias("high_variance_bills"),
+        )
+        counters = ("bills", "elec_estimated", "gas_estimated", "consecutive_estimates", "zero_usage_bills",
+                    "high_variance_bills")
         return (
-            compared.join(who, "customer_id")
+            per_customer.join(who, "customer_id")
             .groupBy("bill_month", "division", "segment", "elec_rate_code")
-            .agg(
-                rows("bills"),
-                count_where(c("elec_estimated")).alias("elec_estimated"),
-                count_where(c("gas_estimated")).alias("gas_estimated"),
-                count_where(c("elec_estimated") & c("prior_estimated")).alias("consecutive_estimates"),
-                count_where((c("kwh") == 0) & (c("bill_type") == "Regular") & (c("billing_days") >= 20))
-                .alias("zero_usage_bills"),
-                count_where((c("prior_kwh") > 0) & (swing > 0.5)).alias("high_variance_bills"),
-            )
+            .agg(*[total(n) for n in counters])
         )
 
     @cached_property

@@ -43,7 +43,7 @@ def parse_forecast(payloads: DataFrame, divisions: DataFrame, retrieved_at: date
     fields = rows.schema["z"].dataType.fieldNames()
     rows = rows.select("_at", *[c("z")[f].alias(n) for f, n in zip(fields, ("day", "gust", "wind", "rain", "high", "low"))])
     mean = (c("high") + c("low")) / 2
-    return rows.join(F.broadcast(request_order(divisions)), "_at").select(
+    return rows.join(request_order(divisions), "_at").select(
         "division",
         F.to_date("day").alias("forecast_date"),
         c("gust").alias("max_gust_mph"),
