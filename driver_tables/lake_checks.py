@@ -12,7 +12,7 @@ from driver_tables.extracts import SETTINGS
 from driver_tables.queries import register, reports
 from meterstone.operators.balances import as_of_month_ends, monthly_steps, reached_month
 from meterstone.operators.profile import text_widths
-from meterstone.plans.quality import unique_key_violations
+from meterstone.plans.quality import key_audit, unique_key_violations
 from meterstone.session import scratch_path
 from meterstone.sources import lake
 from meterstone.sources.contracts import EXTRACTS, RULE_OF, columns_of, has_months
@@ -176,6 +176,11 @@ register("asof_paid",
             ASOF JOIN w_steps s ON s.bill_id = b.bill_id AND s.me <= b.me""")
 register("duplicate_keys", lambda w: unique_key_violations(w.fact_work_order, ["work_order_id"]),
          "SELECT work_order_id, count(*) AS rows FROM w_work_order GROUP BY ALL HAVING count(*) > 1")
+_KEYED = {"dim_date": ("w_date", "date"), "dim_rate": ("s_rate", "rate_code"), "dim_premise": ("w_premise", "premise_id"),
+          "dim_geography": ("w_geography", "city"), "dim_customer": ("w_customer", "customer_id"),
+          "fact_ar_customer": ("w_ar_customer", "customer_id"), "fact_outage": ("w_outage", "outage_id")}
+register("key_audit", key_audit, "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows, count(*) - count(DISTINCT {k}) AS violations FROM {b}" for t, (b, k) in _KEYED.items()))
 register("date_spine",
          lambda w: w.dim_date.select("date", "year", "quarter", "day_of_week", "is_weekend", "is_winter_moratorium", "is_in_window"),
          "SELECT date, year, quarter, day_of_week, is_weekend, is_winter_moratorium, is_in_window FROM w_calendar")

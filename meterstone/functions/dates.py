@@ -34,8 +34,13 @@ def at_second_of_day(day: Column, seconds: Column) -> Column:
 
 
 def minute_marks_between(start: Column, end: Column) -> Column:
-    """Minute boundaries crossed (00:00:59 -> 00:01:01 is 1)."""
-    return F.timestamp_diff("MINUTE", F.date_trunc("MINUTE", start), F.date_trunc("MINUTE", end)).cast("int")
+    """Minute boundaries crossed (00:00:59 -> 00:01:01 is 1).
+
+    Counted from the date and clock parts, so it does not depend on the session
+    time zone.
+    """
+    clock = lambda t: F.hour(t) * 60 + F.minute(t)
+    return F.datediff(F.to_date(end), F.to_date(start)) * 1440 + clock(end) - clock(start)
 
 
 def month_start(c: Column) -> Column:

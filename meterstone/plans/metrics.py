@@ -338,8 +338,8 @@ class MetricModel:
         table, mode, on, replaces = key
         groups = [f for f in by if self._related(table, f) and f not in replaces]
         tests = [(f, t) for f, t in where if self._related(table, f) and f not in replaces]
-        if mode in ("current", "prior"):
-            return self._year_back(table, mode == "prior", leaves, groups, tests)
+        if mode == "year_back":
+            return self._year_back(table, leaves, groups, tests)
         df = self.context(table, list(dict.fromkeys([*groups, *[f for f, _ in tests]])))
         for f, test in tests:
             df = df.filter(test(c(f"`{f}`")))
@@ -353,11 +353,12 @@ class MetricModel:
         day = lambda n: F.date_format(F.max(F.struct(c(n), c("_on")))["_on"], "EEE MMM d")
         return steps.groupBy(*quoted).agg(*[day(n).alias(n) for n in leaves])
 
-    def _year_back(self, table, prior: bool, leaves, groups, tests) -> DataFrame:
-        """Sums over the context's months that have a prior-year month, or over that prior year.
+    def _year_back(self, table, leaves, groups, tests) -> DataFrame:
+        """Sums over the context's months that have a prior-year month, and over that prior year.
 
         The period filter and the period group fields act on the month list; the
-        facts are summed per month without them.
+        facts are summed per month once, without them. Every listed month stands
+        for itself (current) and for the month a year before (prior).
         """
         own = [f for f in groups if not f.startswith("Period.")]
         fact_tests = [(f, t) for f, t in tests if not f.startswith("Period.")]
@@ -373,11 +374,12 @@ class MetricModel:
         for f, test in tests:
             if f.startswith("Period."):
                 months = months.filter(test(c(f.split(".", 1)[1])))
-        month = c("period_key") - 100 if prior else c("period_key")
+        role = lambda month, name: F.struct(month.alias("_month"), F.lit(name).alias("_role"))
+        roles = F.array(role(c("period_key"), "current"), role(c("period_key") - 100, "prior"))
         calendar_fields = [f for f in groups if f.startswith("Period.")]
-        months = months.select(month.alias("_month"), *[c(f.split(".", 1)[1]).alias(f) for f in calendar_fields])
+        months = months.select(F.inline(roles), *[c(f.split(".", 1)[1]).alias(f) for f in calendar_fields])
         return monthly.join(months, "_month").groupBy(*[c(f"`{f}`") for f in groups]).agg(
-            *[F.sum(n).alias(n) for n in leaves]
+            *[F.sum(F.when(c("_role") == leaf.mode, c(n))).alias(n) for n, leaf in leaves.items()]
         )
 
     def evaluate(self, metrics: Sequence[str], by: Sequence[str] = (), where: Sequence[Filter] = ()) -> DataFrame:
@@ -395,7 +397,8 @@ class MetricModel:
             collect(METRICS[name])
         plans: dict[tuple, dict[str, Leaf]] = {}
         for alias, leaf in leaves.values():
-            plans.setdefault((leaf.table, leaf.mode, leaf.on, leaf.replaces), {})[alias] = leaf
+            mode = "year_back" if leaf.mode in ("current", "prior") else leaf.mode
+            plans.setdefault((leaf.table, mode, leaf.on, leaf.replaces), {})[alias] = leaf
 
         whole, partial = [], []
         for key, group in plans.items():

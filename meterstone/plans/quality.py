@@ -63,3 +63,28 @@ def unique_key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that are missing or occur more than once (what a primary key rejects)."""
     missing = reduce(lambda a, b: a | b, [c(k).isNull() for k in keys])
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter((c("rows") > 1) | missing)
+
+
+# What identifies a row of each table.
+PRIMARY_KEYS = {
+    "dim_date": ["date"],
+    "dim_rate": ["rate_code"],
+    "dim_premise": ["premise_id"],
+    "dim_geography": ["city"],
+    "dim_customer": ["customer_id"],
+    "fact_ar_customer": ["customer_id"],
+    "fact_outage": ["outage_id"],
+}
+
+
+def key_audit(warehouse) -> DataFrame:
+    """Rows and key violations per table with a primary key; 0 violations is a pass."""
+
+    def audit(name: str, keys: list[str]) -> DataFrame:
+        missing = reduce(lambda a, b: a | b, [c(k).isNull() for k in keys])
+        per_key = getattr(warehouse, name).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        return per_key.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), count_where((c("n") > 1) | missing).alias("violations")
+        ).select(F.lit(name).alias("table_name"), "rows", "violations")
+
+    return reduce(DataFrame.unionByName, [audit(n, k) for n, k in PRIMARY_KEYS.items()])

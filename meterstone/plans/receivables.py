@@ -12,7 +12,7 @@ from meterstone.functions import bands
 from meterstone.functions import dates as D
 from meterstone.functions.dates import OPEN_END
 from meterstone.operators.balances import monthly_steps
-from meterstone.operators.months import month_ends_in
+from meterstone.operators.months import explode_month_ends
 from meterstone.operators.statistics import sum_where
 from meterstone.settings import Settings
 
@@ -66,11 +66,11 @@ def open_items(bills: DataFrame, payments: DataFrame, window_start: date, window
                          F.explode(spans).alias("span"))
     first = F.greatest(c("span.since"), c("bill_me"))
     stop = F.least(c("span.until"), F.coalesce("paid_me", never))
-    return spread.select(
-        F.explode(month_ends_in(first, stop, window_start, window_end)).alias("me"),
-        "bill_id", "customer_id", "due_date",
+    return explode_month_ends(spread, first, stop, window_start, window_end, "me").select(
+        "me", "bill_id", "customer_id", "due_date",
         (c("total_amt") - c("span.paid")).alias("open_amt"),
-    ).withColumn("days_past_due", F.datediff("me", "due_date"))
+        F.datediff("me", "due_date").alias("days_past_due"),
+    )
 
 
 def fact_ar_monthly(opened: DataFrame, customers: DataFrame) -> DataFrame:

@@ -54,5 +54,5 @@ def parse_forecast(payloads: DataFrame, divisions: DataFrame, retrieved_at: date
         mean.alias("temp_avg_f"),
         F.greatest(mean - COMFORT_F, F.lit(0.0)).alias("cdd"),
         F.greatest(COMFORT_F - mean, F.lit(0.0)).alias("hdd"),
-        F.lit(retrieved_at).cast("timestamp_ntz").alias("retrieved_at"),
+        F.lit(retrieved_at.isoformat(sep=" ")).cast("timestamp_ntz").alias("retrieved_at"),
     )

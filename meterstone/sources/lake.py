@@ -60,10 +60,16 @@ def write_curated(df: DataFrame, path: str, months: bool, only_given_months: boo
 
 
 def read_curated(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
-    """Curated table; ``months`` reads only those folders."""
-    df = spark.read.parquet(path)
-    if MONTH_FOLDER in df.columns:
-        df = df.withColumn(MONTH_FOLDER, F.col(MONTH_FOLDER).cast("string"))
+    """Curated table; ``months`` reads only those folders.
+
+    The month stays text (``2024-10``) whatever the session infers for partition
+    values.
+    """
+    found = spark.read.parquet(path).schema
+    if MONTH_FOLDER not in found.names:
+        return spark.read.schema(found).parquet(path)
+    as_text = StructType([StructField(f.name, StringType() if f.name == MONTH_FOLDER else f.dataType) for f in found.fields])
+    df = spark.read.schema(as_text).parquet(path)
     return df.filter(F.col(MONTH_FOLDER).isin(*months)) if months else df
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +37,10 @@ def publish(spark: SparkSession, datasets: Mapping[str, DataFrame], folder: str,
     too_large = sizes.filter(F.col("largest") > MAX_FILE_MB * 1_000_000).select("dataset").collect()
     if too_large:
         raise FileTooLargeError(", ".join(sorted(r.dataset for r in too_large)))
-    counts = [(n, spark.read.parquet(f"{base}/{n}").count()) for n in datasets]
-    rows = spark.createDataFrame(counts, "dataset string, rows bigint")
+    rows = reduce(DataFrame.unionByName, [
+        spark.read.parquet(f"{base}/{n}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("dataset"), "rows")
+        for n in datasets
+    ])
     cols = spark.createDataFrame(widths, "dataset string, columns int")
     return rows.join(cols, "dataset").join(sizes, "dataset", "left").select(
         "dataset", "rows", "columns", "files", F.round(F.col("bytes") / 1e6, 2).alias("mb")

@@ -78,3 +78,21 @@ def test_work_order_flags(spark):
         "is_open boolean, created_date date, planned_finish date, actual_finish date")
     got = [tuple(r)[4:] for r in operations.fact_work_order(df, Settings()).collect()]
     assert got == [(29, None, False, True), (None, 2, False, False), (29, None, False, False)]
+
+
+def test_key_audit(spark, small_folder):
+    from driver_tables.queries import warehouse
+    from meterstone.plans.quality import PRIMARY_KEYS, key_audit
+
+    got = {r.table_name: r.violations for r in key_audit(warehouse(spark, small_folder)).collect()}
+    assert got == dict.fromkeys(PRIMARY_KEYS, 0)
+
+
+def test_minutes_do_not_depend_on_the_time_zone(spark):
+    events = spark.sql("""SELECT 1L EVENT_ID, timestamp_ntz'2024-03-10 01:30:59' EVENT_START, timestamp_ntz'2024-03-10 03:30:01' RESTORE_TIME,
+        'N' DIVISION, 'm' MUNICIPALITY, 'c' CIRCUIT_ID, 'd' DEVICE_TYPE, 'x' CAUSE, 1L CUSTOMERS_OUT, 1L CUSTOMER_MINUTES""")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # this night has no 02:30
+    try:
+        assert staging.outage(events).first().duration_min == 120
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
