@@ -30,6 +30,9 @@ def local_session(cores: int | str = "*", app: str = "meterstone", memory: str =
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # a run over many datasets has more generated classes than the defaults keep
+        .config("spark.sql.codegen.cache.maxEntries", "10000")
+        .config("spark.driver.extraJavaOptions", "-XX:ReservedCodeCacheSize=512m")
     )
     for key, value in REQUIRED.items():
         builder = builder.config(key, value)
