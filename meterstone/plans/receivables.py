@@ -27,16 +27,23 @@ def fact_bill(bill: DataFrame) -> DataFrame:
     return bill.withColumn("bill_month", D.month_start(c("bill_date")))
 
 
-def fact_payment(payment: DataFrame, customers: DataFrame) -> DataFrame:
-    """De-duplicated payments of known accounts."""
-    owner = customers.select("account_id", "customer_id")
+OWNER = ("segment", "division")
+
+
+def owned_payments(payment: DataFrame, customers: DataFrame) -> DataFrame:
+    """De-duplicated payments of known accounts with their owner's segment and division."""
+    owner = customers.select("account_id", "customer_id", *OWNER)
     return payment.join(owner, "account_id").select(
         "payment_id", "customer_id", "account_id", "bill_id", "payment_date",
         D.month_start(c("payment_date")).alias("payment_month"),
-        "amount", "channel_code", "channel",
+        "amount", "channel_code", "channel", *OWNER,
     )
 
 
+def fact_payment(owned: DataFrame) -> DataFrame:
+    return owned.drop(*OWNER)
+
+
 def open_items(bills: DataFrame, payments: DataFrame, window_start: date, window_end: date) -> DataFrame:
     """Every bill at every month-end it is open: me, bill, customer, amount, age.
 

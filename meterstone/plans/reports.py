@@ -113,11 +113,8 @@ class Reports:
     # payments and adoption -------------------------------------------------
     @cached_property
     def payments_monthly(self) -> DataFrame:
-        who = self.wh.dim_customer.select("customer_id", "segment", "division")
-        return (
-            self.wh.fact_payment.join(who, "customer_id")
-            .groupBy("payment_month", "channel", "segment", "division")
-            .agg(rows("payments"), F.sum("amount").alias("amount"))
+        return self.wh.owned_payments.groupBy("payment_month", "channel", "segment", "division").agg(
+            rows("payments"), F.sum("amount").alias("amount")
         )
 
     @cached_property
@@ -140,11 +137,9 @@ class Reports:
     # usage -----------------------------------------------------------------
     @cached_property
     def ami_daily_profile(self) -> DataFrame:
-        place = self.wh.dim_premise.select("premise_id", "division", "elec_rate_code")
         valid = ~c("is_missing") & ~c("is_spike")
         return (
-            self.wh.fact_ami_daily.join(place, "premise_id")
-            .groupBy("read_date", "division", "elec_rate_code")
+            self.wh.placed_reads.groupBy("read_date", "division", "elec_rate_code")
             .agg(
                 rows("meters_expected"),
                 count_where(~c("is_missing")).alias("meters_reporting"),

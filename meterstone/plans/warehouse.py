@@ -35,6 +35,13 @@ class Warehouse:
             path = f"{folder.rstrip('/')}/{name}"
             getattr(self, name).hint("rebalance").write.mode("overwrite").parquet(path)
             self.__dict__[name] = self.spark.read.parquet(path)
+            # reports go on from the stored fact
+            if name == "fact_payment":
+                owner = self.dim_customer.select("customer_id", *receivables.OWNER)
+                self.__dict__["owned_payments"] = self.fact_payment.join(owner, "customer_id")
+            if name == "fact_ami_daily":
+                place = self.dim_premise.select("premise_id", *usage.PLACE)
+                self.__dict__["placed_reads"] = self.fact_ami_daily.join(place, "premise_id")
         return self
 
     # staging
@@ -124,9 +131,13 @@ class Warehouse:
     def fact_bill(self):
         return receivables.fact_bill(self.bill)
 
+    @cached_property
+    def owned_payments(self):
+        return receivables.owned_payments(self.payment, self.dim_customer)
+
     @cached_property
     def fact_payment(self):
-        return receivables.fact_payment(self.payment, self.dim_customer)
+        return receivables.fact_payment(self.owned_payments)
 
     @cached_property
     def open_items(self):
@@ -146,9 +157,13 @@ class Warehouse:
     def fact_outage(self):
         return reliability.fact_outage(self.outage, self.dim_date)
 
+    @cached_property
+    def placed_reads(self):
+        return usage.placed_reads(self.ami_read, self.dim_premise, self.cfg)
+
     @cached_property
     def fact_ami_daily(self):
-        return usage.fact_ami_daily(self.ami_read, self.dim_premise, self.cfg)
+        return usage.fact_ami_daily(self.placed_reads)
 
     @cached_property
     def fact_work_order(self):

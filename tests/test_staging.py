@@ -48,10 +48,10 @@ def test_spike_mean_includes_the_spike(spark):
         [(1, date(2024, 1, d), 1.0, 0.1, "VALID", False) for d in range(1, 31)] + [(1, date(2024, 2, 1), 100.0, 9.0, "VALID", False),
          (1, date(2024, 2, 2), None, None, "MISSING", True), (2, date(2024, 1, 1), 5.0, 1.0, "VALID", False)],
         "meter_id int, read_date date, kwh double, peak_kw double, read_quality string, is_missing boolean")
-    premises = spark.createDataFrame([(10, 1)], "premise_id int, elec_meter_id int")
-    got = usage.fact_ami_daily(reads, premises, Settings())
+    premises = spark.createDataFrame([(10, 1, "N", "R1")], "premise_id int, elec_meter_id int, division string, elec_rate_code string")
+    got = usage.fact_ami_daily(usage.placed_reads(reads, premises, Settings()))
     assert got.count() == 32 and [r.kwh for r in got.filter("is_spike").collect()] == [100.0]  # mean 130/31, limit 62.9
-    assert usage.fact_ami_daily(reads, premises, Settings(spike_factor=25)).filter("is_spike").count() == 0
+    assert usage.placed_reads(reads, premises, Settings(spike_factor=25)).filter("is_spike").count() == 0
 
 
 def test_geography_counts_zero(spark):
@@ -96,3 +96,19 @@ def test_minutes_do_not_depend_on_the_time_zone(spark):
         assert staging.outage(events).first().duration_min == 120
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_reports_over_stored_facts_are_the_same(spark, small_folder):
+    from driver_tables.extracts import SETTINGS, Extracts
+    from meterstone import Reports, Warehouse
+    from meterstone.session import scratch_path
+
+    lazy = Warehouse(spark, Extracts(spark, small_folder), SETTINGS)
+    stored = Warehouse(spark, Extracts(spark, small_folder), SETTINGS).store(
+        scratch_path(spark, "wh"), ["dim_premise", "dim_customer", "fact_payment", "fact_ami_daily"])
+    for name in ("payments_monthly", "ami_daily_profile"):
+        a, b = (getattr(Reports(w), name) for w in (lazy, stored))
+        b = b.select(*a.columns)
+        if name == "ami_daily_profile":
+            a, b = (x.withColumn("kwh_valid", F.round("kwh_valid", 4)) for x in (a, b))
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
