@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -44,10 +45,13 @@ def local_session(cores: int | str = "*", app: str = "meterstone", memory: str =
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (a test session) is one of our own set.
+    A local master (tests, bench) shares its own disk, so there one is set if none is named;
+    on a cluster a missing name is an error, as no folder of the driver's own would be shared.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="meterstone-")
         spark.sparkContext.setCheckpointDir(named)
     return named
