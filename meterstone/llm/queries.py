@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterstone.llm import bpe
+from meterstone.llm import bpe, simhash
 from meterstone.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_simhash": lambda spark, d: simhash.near_duplicates(table(spark, d, "documents")),
     "op5_bpe": lambda spark, d: bpe.digests(table(spark, d, "documents")),
 }
 SQL: dict[str, str] = {}
