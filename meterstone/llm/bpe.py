@@ -30,7 +30,7 @@ from meterstone.llm.common import arrow_map, id_type, map_text, slices
 
 LONG_WORD = 512
 #: Words and token runs a task remembers; beyond that it forgets all and goes on.
-KEPT = 300_000
+KEPT = 500_000
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
 MERGE = """
