@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterstone.llm import bpe, linededup, simhash
+from meterstone.llm import bpe, linededup, quality, simhash
 from meterstone.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": lambda spark, d: simhash.near_duplicates(table(spark, d, "documents")),
     "op10_line_chunks": lambda spark, d: linededup.drop_repeated(table(spark, d, "documents"), removed_col="chunks_removed").select("doc_id", "text", "chunks_removed"),
     "op5_bpe": lambda spark, d: bpe.digests(table(spark, d, "documents")),
+    "op9_quality": lambda spark, d: quality.assess(table(spark, d, "documents")),
 }
 SQL: dict[str, str] = {"op10_line_chunks": linededup.SQL}
