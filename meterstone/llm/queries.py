@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterstone.llm import bpe, linededup, quality, simhash, toxicity
+from meterstone.llm import bpe, linededup, pii, quality, simhash, toxicity
 from meterstone.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": lambda spark, d: simhash.near_duplicates(table(spark, d, "documents")),
     "op10_line_chunks": lambda spark, d: linededup.drop_repeated(table(spark, d, "documents"), removed_col="chunks_removed").select("doc_id", "text", "chunks_removed"),
     "op5_bpe": lambda spark, d: bpe.digests(table(spark, d, "documents")),
+    "op6_pii": lambda spark, d: pii.find(table(spark, d, "documents")),
     "op8_toxicity": lambda spark, d: toxicity.score(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_quality": lambda spark, d: quality.assess(table(spark, d, "documents")),
 }
