@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterstone.llm import bpe, linededup, pii, quality, simhash, toxicity
+from meterstone.llm import bpe, hilbert, linededup, pii, quality, simhash, toxicity
 from meterstone.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hilbert": lambda spark, d: hilbert.neighbours(table(spark, d, "embeddings"), table(spark, d, "embeddings").where("vec_id % 100 = 0")),
     "op3_simhash": lambda spark, d: simhash.near_duplicates(table(spark, d, "documents")),
     "op10_line_chunks": lambda spark, d: linededup.drop_repeated(table(spark, d, "documents"), removed_col="chunks_removed").select("doc_id", "text", "chunks_removed"),
     "op5_bpe": lambda spark, d: bpe.digests(table(spark, d, "documents")),
