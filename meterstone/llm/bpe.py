@@ -243,11 +243,11 @@ def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", ranks_pa
     return arrow_map(pair, work, f"id {id_type(df, id_col)}, bytes binary").withColumnRenamed("id", id_col)
 
 
-def digests(df: DataFrame, **columns) -> DataFrame:
-    """Per document: number of tokens, digest of the ids and digest of the decoded bytes."""
-    out = round_trip(df, **columns)
+def digests(df: DataFrame, ids: bool = False, **columns) -> DataFrame:
+    """Per document: number of tokens, digest of the ids and digest of the decoded bytes (with ``ids`` the ids too)."""
+    out, key = round_trip(df, **columns), columns.get("id_col", "doc_id")
     return out.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        key, F.size("ids").cast("long").alias("n_tokens"), *(["ids"] if ids else []),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
     )

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterstone.llm.common import arrow_map, id_type, map_text, slices, written
+from meterstone.llm.common import arrow_map, fresh, id_type, map_text, slices, written
 from meterstone.llm.components import connected
 
 WORDS, RADIUS, SEED, TILE = 4, 4, 42, 4096
@@ -189,3 +189,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of = placed.join(groups, "root").select("bits", "component_id")
     hexed = F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint")
     return own.join(of, "bits").select(F.col("id").alias(id_col), hexed, "component_id")
+
+
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` with one document of each group: the one with the smallest id. Rows that repeat that id stay, null ids stay."""
+    groups = near_duplicates(df, id_col, text_col)
+    gone = written(groups.where(F.col(f"`{id_col}`") != F.col("component_id")).select(F.col(f"`{id_col}`").alias("gone_id")).distinct(), "gone")
+    gone = gone.withColumnRenamed("gone_id", name := fresh(df, "gone_id"))
+    return df.join(gone.hint("shuffle_hash"), F.col(f"`{id_col}`") == F.col(name), "left_anti")

@@ -266,3 +266,17 @@ def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     out = map_text(df, id_col, text_col, work, f"id {id_type(df, id_col)}, score double").withColumnRenamed("id", id_col)
     return out.select(id_col, held_out(id_col).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def drop_toxic(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: float = 0.5) -> DataFrame:
+    """``df`` without rows whose score reaches ``limit``: one narrow pass, all columns kept."""
+    stems, scale = learn(df, labels, id_col, text_col)
+    at = df.columns.index(text_col)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, beta = Reader(stems), np.array(scale)
+        for part in slices(batches, at):
+            f = np.array([reader.features(t or "") for t in part.column(at).to_pylist()]).reshape(-1, 5)
+            yield part.filter(pa.array(1 / (1 + np.exp(-np.clip(beta[0] + f @ beta[1:], -30, 30))) < limit))
+
+    return arrow_map(df, work, df.schema)
