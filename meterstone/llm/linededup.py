@@ -3,10 +3,10 @@
 A text is cut at line feeds. A rolling hash over the hashes of the last two lines ends a chunk where
 it is a multiple of ``MEAN_LINES``, so boundaries depend on near lines only and fall in the same
 places when lines are put in elsewhere. A line of ``LONG`` blank-separated pieces or more is a chunk
-of its own. A chunk that may go holds two lines or more, or one such long line, and at least ``LONG``
-words in all: passages, not licence lines or headings. Chunks whose hash occurs once drop out; the
-rest are grouped by their whole text, which compares bytes, and of each group the occurrence with
-the smallest (id, place) stays.
+of its own. Chunks whose hash occurs once drop out; the rest are grouped by their whole text, which
+compares bytes. Repeated chunks that follow each other in a document form a run. Runs of ``LONG`` words
+or more, and runs of several lines with ``FEW`` or more, are passages: their chunks go, but for the
+occurrence with the smallest (id, place) of each. Single headings and licence lines stay.
 
 Everything is DataFrame functions. Equal chunks are counted and their first occurrence is found in
 aggregates combined before the shuffle, so a passage in a third of all documents is no large group;
@@ -22,10 +22,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from meterstone.llm.common import WORD, fresh, written
 
-MEAN_LINES, LONG = 4, 50
+MEAN_LINES, LONG, FEW = 2, 50, 25
 BASE, MODULUS = 31, 2147483647
 
 
@@ -45,19 +46,17 @@ def _ends(n: Column, hashes: Column, long: Column) -> Column:
 
 
 def chunked(docs: DataFrame, text: str, keys: list[str]) -> DataFrame:
-    """One row for each chunk that may go: keys, first line, number of lines, hash of its text."""
+    """One row for each chunk with a word: keys, first line, number of lines, hash of its text."""
     lines = docs.where(F.col(text) != "").select(*keys, F.split(text, "\n").alias("lines"))
     hashed = lines.select(
         *keys, "lines", F.size("lines").alias("n"), F.transform("lines", _line_hash).alias("hashes"),
         F.transform("lines", lambda x: F.when(F.length(x) < 2 * LONG - 1, F.lit(False)).otherwise(F.size(F.split(x, " ")) >= LONG)).alias("long"),
     )
-    ended = hashed.select(*keys, "lines", "long", _ends(F.col("n"), F.col("hashes"), F.col("long")).alias("ends"))
+    ended = hashed.select(*keys, "lines", _ends(F.col("n"), F.col("hashes"), F.col("long")).alias("ends"))
     first = lambda k: F.when(k > 0, F.get("ends", k - 1) + 1).otherwise(F.lit(0))
-    spans = ended.select(*keys, "lines", "long", F.transform("ends", lambda e, k: F.struct(first(k).alias("first"), (e - first(k) + 1).alias("count"))).alias("spans"))
-    may_go = F.filter("spans", lambda s: (s["count"] > 1) | F.get("long", s["first"]))
-    rows = spans.select(*keys, "lines", may_go.alias("spans")).select(
-        *keys, F.explode(F.transform("spans", lambda s: F.struct(s["first"].alias("first"), s["count"].alias("count"), _joined(F.col("lines"), s).alias("chunk")))).alias("s"))
-    return rows.where(F.length("s.chunk") >= 2 * LONG - 1).select(*keys, "s.first", "s.count", F.xxhash64("s.chunk").alias("hash"))
+    spans = ended.select(*keys, "lines", F.transform("ends", lambda e, k: F.struct(first(k).alias("first"), (e - first(k) + 1).alias("count"))).alias("spans"))
+    rows = spans.select(*keys, F.explode(F.transform("spans", lambda s: F.struct(s["first"].alias("first"), s["count"].alias("count"), _joined(F.col("lines"), s).alias("chunk")))).alias("s"))
+    return rows.where(F.rlike("s.chunk", F.lit(WORD))).select(*keys, "s.first", "s.count", F.xxhash64("s.chunk").alias("hash"))
 
 
 def _joined(lines: Column, span: Column) -> Column:
@@ -78,11 +77,18 @@ def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
               .select(F.col("id").alias("w_id"), F.col("version").alias("w_version"), "spans").hint("shuffle_hash"))
     found = text.join(wanted, F.expr("id <=> w_id AND version = w_version")).select("id", "version", F.split("text", "\n").alias("lines"), "spans")
     places = found.select("id", "version", F.explode(F.transform("spans", lambda s: F.struct(s["first"].alias("first"), s["count"].alias("count"), s["hash"].alias("hash"), _joined(F.col("lines"), s).alias("chunk")))).alias("s"))
-    places = places.select("id", "version", "s.*").where(F.regexp_count("chunk", F.lit(WORD)) >= LONG)
-    places = written(places, "places")  # the texts of chunks whose hash occurs again
+    places = written(places.select("id", "version", "s.*"), "places")  # the texts of chunks whose hash occurs again
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "version", "first")
-    kept = places.groupBy("hash", "chunk").agg(F.min(order).alias("kept"))
-    cut = (places.join(kept, ["hash", "chunk"]).where(order != F.col("kept")).groupBy("id", "version")
+    kept = places.groupBy("hash", "chunk").agg(F.min(order).alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
+    kept = written(kept, "kept")  # a plain table on either side lets a skewed passage be split in the join
+    again = places.join(kept, ["hash", "chunk"]).select("id", "version", "first", "count", F.regexp_count("chunk", F.lit(WORD)).alias("words"), (order != F.col("kept")).alias("goes"))
+    place = Window.partitionBy("id", "version").orderBy("first")
+    begins = F.when(F.lag(F.col("first") + F.col("count")).over(place) == F.col("first"), 0).otherwise(1)
+    runs = again.distinct().withColumn("begins", begins).withColumn("run", F.sum("begins").over(place))
+    run = Window.partitionBy("id", "version", "run")
+    words, lines = F.sum("words").over(run), F.sum("count").over(run)
+    passages = runs.withColumn("passage", (words >= LONG) | (lines > 1) & (words >= FEW)).where("passage AND goes")
+    cut = (passages.groupBy("id", "version")
            .agg(F.collect_set(F.struct("first", "count")).alias(gone))
            .select(F.col("id").alias(cut_id), F.col("version").alias(cut_version), gone).hint("shuffle_hash"))
 
@@ -112,11 +118,17 @@ ended AS (
   FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 numbered AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM ended),
 chunks AS (
-  SELECT doc_id, chunk, min(i) AS first, string_agg(line, chr(10) ORDER BY i) AS body FROM numbered GROUP BY doc_id, chunk
-  HAVING count(*) > 1 OR bool_or(long)),
+  SELECT doc_id, chunk, min(i) AS first, count(*) AS lines, string_agg(line, chr(10) ORDER BY i) AS body FROM numbered GROUP BY doc_id, chunk),
+repeated AS (
+  SELECT doc_id, chunk, first, lines, len(regexp_extract_all(body, '[^\\x20\\x09-\\x0D]+')) AS words,
+    row_number() OVER (PARTITION BY body ORDER BY doc_id, first) > 1 AS goes FROM chunks WHERE regexp_matches(body, '[^\\x20\\x09-\\x0D]')
+  QUALIFY count(*) OVER (PARTITION BY body) > 1),
+runs AS (
+  SELECT *, sum(begins) OVER (PARTITION BY doc_id ORDER BY first) AS run FROM (
+    SELECT *, CASE WHEN lag(first + lines) OVER (PARTITION BY doc_id ORDER BY first) = first THEN 0 ELSE 1 END AS begins FROM repeated)),
 ranked AS (
-  SELECT doc_id, chunk, row_number() OVER (PARTITION BY body ORDER BY doc_id, first) > 1 AS gone FROM chunks
-  WHERE len(regexp_extract_all(body, '[^\x20\x09-\x0D]+')) >= {LONG}),
+  SELECT doc_id, chunk, goes AND (sum(words) OVER r >= {LONG} OR sum(lines) OVER r > 1 AND sum(words) OVER r >= {FEW}) AS gone FROM runs
+  WINDOW r AS (PARTITION BY doc_id, run)),
 marked AS (SELECT n.doc_id, n.i, n.line, coalesce(r.gone, false) AS gone, n.chunk FROM numbered n LEFT JOIN ranked r USING (doc_id, chunk)),
 rest AS (
   SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text, count(DISTINCT chunk) FILTER (gone) AS removed
