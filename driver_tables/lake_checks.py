@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -16,7 +15,8 @@ from meterstone.plans.quality import key_audit, unique_key_violations
 from meterstone.session import scratch_path
 from meterstone.sources import lake
 from meterstone.sources.contracts import EXTRACTS, RULE_OF, columns_of, has_months
-from meterstone.sources.publish import publish, stale_datasets
+from meterstone.plans.reports import PUBLISHED
+from meterstone.sources.publish import dataset_sizes, publish
 from meterstone.sources.typing import apply_types
 from meterstone.streaming.new_files import curate_new_files
 
@@ -40,11 +40,11 @@ def as_delivered(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def land(w, extract: str) -> str:
+def land(w, extract: str, path: str | None = None) -> str:
     """Write an extract as gzip CSV in month folders where it has them; return the folder."""
     name = extract.split("/")[1]
     df = w.src[name].select(*columns_of(extract))
-    path = scratch_path(w.spark, f"raw-{name}")
+    path = path or scratch_path(w.spark, f"raw-{name}")
     text = as_delivered(df)
     if has_months(extract):
         text = as_delivered(df.withColumn("_m", F.date_format(_MONTH_OF[name], "yyyy-MM"))).withColumnRenamed("_m", "year_month")
@@ -128,39 +128,62 @@ register("stream_new_files", streamed, """
     FROM ERCH GROUP BY ALL""")
 
 
-def load_log(w) -> DataFrame:
-    n = w.src["DFKKZP"].count()
-    at = datetime(2001, 7, 31, 1, 2, 3)
-    return lake.append_load_log(w.spark, scratch_path(w.spark, "log"), "sap_isu.DFKKZP", "raw/sap_isu/DFKKZP", 1, n, n, at, at)
+_INGESTED = ("sap_isu/ADRC", "sap_isu/DFKKZP", "crm/interactions")
 
 
-register("load_log", load_log, """
-    SELECT 'sap_isu.DFKKZP' AS table_name, 'raw/sap_isu/DFKKZP' AS source_path, 1::bigint AS source_files,
-           count(*) AS rows_expected, count(*) AS rows_loaded, timestamp '2001-07-31 01:02:03' AS started_at,
-           timestamp '2001-07-31 01:02:03' AS finished_at, 'ok' AS status FROM DFKKZP""")
+def ingested(w) -> tuple[DataFrame, DataFrame]:
+    """Three extracts (a small one, two in months) curated and logged; then a month's file of payments is sent anew, twice as long, and only that month loads again."""
+    raw, root = scratch_path(w.spark, "raw"), scratch_path(w.spark, "lake")
+    counts = {}
+    for extract in _INGESTED:
+        land(w, extract, f"{raw}/{extract}")
+        counts[extract] = w.src[extract.split("/")[1]].count()
+    lake.curate_all(w.spark, raw, root, {e: (columns_of(e), has_months(e)) for e in _INGESTED}, counts)
+    sent = w.src["DFKKZP"].withColumn("_m", F.date_format("BUDAT", "yyyy-MM")).filter("_m = '2000-06'").drop("_m")
+    again = as_delivered(sent.select(*columns_of("sap_isu/DFKKZP")))
+    (again.unionAll(again).write.mode("overwrite").option("header", True).option("compression", "gzip").option("emptyValue", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{raw}/sap_isu/DFKKZP/year_month=2000-06"))
+    lake.curate_changed(w.spark, raw, root, {e: (columns_of(e), has_months(e)) for e in _INGESTED})
+    return lake.read_curated(w.spark, f"{root}/curated/sap_isu/DFKKZP"), w.spark.read.parquet(f"{root}/load_log")
+
+
+register("ingest_payments", lambda w: ingested(w)[0],
+         """SELECT *, strftime(BUDAT, '%Y-%m') AS year_month FROM DFKKZP
+            UNION ALL SELECT *, strftime(BUDAT, '%Y-%m') AS year_month FROM DFKKZP WHERE strftime(BUDAT, '%Y-%m') = '2000-06'""")
+register("load_log", lambda w: ingested(w)[1].select("table_name", "rows_expected", "rows_loaded", "status", (F.col("finished_at") >= F.col("started_at")).alias("in_order")),
+         "\nUNION ALL ".join(f"SELECT '{e}' AS table_name, count(*) AS rows_expected, count(*) AS rows_loaded, 'ok' AS status, true AS in_order FROM {e.split('/')[1]}"
+                             for e in _INGESTED)
+         + "\nUNION ALL SELECT 'sap_isu/DFKKZP', 2 * count(*), 2 * count(*), 'ok', true FROM DFKKZP WHERE strftime(BUDAT, '%Y-%m') = '2000-06'")
 
 _TEXTS = ("TYPE", "BU_GROUP", "NAME_FIRST", "NAME_LAST", "NAME_ORG1", "SMTP_ADDR", "TEL_NUMBER")
 register("column_profile", lambda w: text_widths(w.src["BUT000"]), "\nUNION ALL ".join(
     f"""SELECT '{t}' AS column_name, max(length({t}))::int AS max_length,
         least(greatest(8, ceil(greatest(coalesce(max(length({t})), 1), 1) / 10.0) * 10), 8000)::int AS width FROM BUT000""" for t in _TEXTS))
 
-_SMALL = ("dim_period", "division", "rebills_monthly", "data_quality", "service_orders_monthly")
-
-
 def published(w) -> DataFrame:
-    r = reports(w)
-    return publish(w.spark, {n: getattr(r, n) for n in _SMALL}, scratch_path(w.spark, "published")).select("dataset", "rows", "columns")
-
-
-register("publish_manifest", published, """
-    SELECT 'dim_period' AS dataset, count(*) AS rows, 9::int AS columns FROM r_period
-    UNION ALL SELECT 'division', count(*), 4 FROM r_division UNION ALL SELECT 'rebills_monthly', count(*), 3 FROM r_rebills
-    UNION ALL SELECT 'data_quality', count(*), 7 FROM r_dq
-    UNION ALL SELECT 'service_orders_monthly', count(*), 10 FROM r_service""")
-register("stale_outputs",
-         lambda w: stale_datasets(w.src["towns"].select(F.col("CITY").alias("dataset")),
-                                  w.premise.select(F.col("city").alias("dataset")).filter(F.col("dataset") != "Town 3")),
-         "SELECT CITY AS dataset FROM towns WHERE CITY NOT IN (SELECT city FROM s_premise WHERE city <> 'Town 3')")
+    """Every published dataset; an earlier publication's other dataset goes, a foreign folder stays."""
+    r, folder = reports(w), scratch_path(w.spark, "published")
+    w.spark.range(1).coalesce(1).write.parquet(f"{folder}/not_ours")
+    publish(w.spark, {"division": r.division, "rate_list": w.dim_rate}, folder)
+    out = publish(w.spark, {n: getattr(r, n) for n in PUBLISHED}, folder)
+    left = dataset_sizes(w.spark, folder).filter(F.col("dataset").isin("not_ours", "rate_list")).select(
+        "dataset", F.col("files").cast("bigint").alias("rows"), F.lit(-1).alias("columns"))
+    return out.select("dataset", "rows", "columns").unionByName(left)
+
+
+# Check block and number of columns of each published dataset.
+_BLOCKS = {
+    "dim_period": ("r_period", 9), "date_daily": ("r_date", 19), "division": ("r_division", 4), "revenue_residential_monthly": ("r_revenue_res", 18),
+    "revenue_commercial_monthly": ("r_revenue_com", 18), "ar_aging_monthly": ("w_ar_monthly", 9), "ar_top_accounts": ("r_ar_top", 18),
+    "payments_monthly": ("r_payments", 6), "digital_adoption_monthly": ("r_adoption", 6), "ami_daily_profile": ("r_ami", 10),
+    "reliability_events": ("r_outages", 14), "work_orders_monthly": ("r_work_orders", 12), "work_order_backlog": ("r_backlog", 18),
+    "contact_center_daily": ("r_contacts", 16), "collections_orders_monthly": ("r_collections", 9), "moratorium_compliance": ("r_moratorium", 4),
+    "payment_plans_monthly": ("r_plans", 10), "billing_exceptions_monthly": ("r_exceptions", 10), "rebills_monthly": ("r_rebills", 3),
+    "service_orders_monthly": ("r_service", 10), "customer_360": ("r_customer_360", 31), "customer_bills_recent": ("r_bills_recent", 14), "data_quality": ("r_dq", 7),
+}
+register("publish_manifest", published, "\nUNION ALL ".join(
+    f"SELECT '{n}' AS dataset, count(*) AS rows, {columns}::int AS columns FROM {b}" for n, (b, columns) in _BLOCKS.items())
+    + "\nUNION ALL SELECT 'not_ours', 1, -1")
 
 # ledger steps on their own
 _steps = lambda w: monthly_steps(w.fact_payment, "bill_id", "payment_date", "amount")
@@ -181,6 +204,3 @@ _KEYED = {"dim_date": ("w_date", "date"), "dim_rate": ("s_rate", "rate_code"), "
           "fact_ar_customer": ("w_ar_customer", "customer_id"), "fact_outage": ("w_outage", "outage_id")}
 register("key_audit", key_audit, "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS rows, count(*) - count(DISTINCT {k}) AS violations FROM {b}" for t, (b, k) in _KEYED.items()))
-register("date_spine",
-         lambda w: w.dim_date.select("date", "year", "quarter", "day_of_week", "is_weekend", "is_winter_moratorium", "is_in_window"),
-         "SELECT date, year, quarter, day_of_week, is_weekend, is_winter_moratorium, is_in_window FROM w_calendar")

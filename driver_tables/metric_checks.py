@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from driver_tables.queries import register, reports
 from meterstone.plans.metrics import MetricModel, column_name, model_tables
 from meterstone.plans.visuals import run_cards, run_visual
@@ -160,9 +162,11 @@ def _heading(key: str) -> None:
              f"SELECT {select(card)} FROM {source.format(part='', test='true')} t", doubles)
     if division:
         test = f"{year} = {YEAR}"
-        sql = (f"SELECT division, {select(grouped)} FROM {source.format(part='PARTITION BY division', test=test)} t GROUP BY division")
-        register(f"metrics_{key}_by_division",
-                 lambda w: run_cards(model(w), names, [(PERIOD_YEAR, lambda y: y == YEAR)], [DIVISION]), sql, doubles)
+        sql = lambda test: f"SELECT division, {select(grouped)} FROM {source.format(part='PARTITION BY division', test=test)} t GROUP BY division"
+        register(f"metrics_{key}_by_division", lambda w: run_cards(model(w), names, by=[DIVISION]), sql("true"), doubles)
+        if year != "2000":
+            register(f"metrics_{key}_by_division_of_year",
+                     lambda w: run_cards(model(w), names, [(PERIOD_YEAR, lambda y: y == YEAR)], [DIVISION]), sql(test), doubles)
 
 
 for _key in HEADINGS:
@@ -193,7 +197,7 @@ _YOY = ["Residential Revenue YoY %", "C&I Revenue YoY %"]
 
 
 def _yoy_sql(months: str, group: str = "") -> str:
-    part = lambda cls: (f"(sum(total_amt) FILTER ({cls} AND period_key IN {months}) - sum(total_amt) FILTER ({cls} AND period_key + 100 IN {months}))::double"
+    part = lambda cls: (f"(coalesce(sum(total_amt) FILTER ({cls} AND period_key IN {months}), 0) - sum(total_amt) FILTER ({cls} AND period_key + 100 IN {months}))::double"
                         f" / sum(total_amt) FILTER ({cls} AND period_key + 100 IN {months})")
     lead, tail = (f"{group}, ", f" GROUP BY {group}") if group else ("", "")
     return f"SELECT {lead}{part(RES)} AS residential_revenue_yoy_pct, {part(COM)} AS c_and_i_revenue_yoy_pct FROM r_revenue{tail}"
@@ -203,13 +207,19 @@ _D = "residential_revenue_yoy_pct c_and_i_revenue_yoy_pct"
 _ALL = "(SELECT period_key FROM r_period WHERE period_key - 100 >= (SELECT min(period_key) FROM r_period))"
 register("metrics_revenue_yoy", lambda w: run_cards(model(w), _YOY), _yoy_sql(_ALL), _D)
 register("metrics_revenue_yoy_by_division", lambda w: run_cards(model(w), _YOY, by=[DIVISION]), _yoy_sql(_ALL, "division"), _D)
+for _class in ("Residential", "Commercial"):
+    _cls, _name = (RES, "residential_revenue_yoy_pct") if _class == "Residential" else (COM, "c_and_i_revenue_yoy_pct")
+    register(f"metrics_revenue_yoy_{_class.lower()}_by_rate",
+             lambda w, n=_class: run_cards(model(w), [_YOY[n == "Commercial"]], by=[f"Revenue {n}.elec_rate_code"]),
+             f"""SELECT elec_rate_code, (coalesce(sum(total_amt) FILTER (period_key IN {_ALL}), 0) - sum(total_amt) FILTER (period_key + 100 IN {_ALL}))::double
+                 / nullif(sum(total_amt) FILTER (period_key + 100 IN {_ALL}), 0) AS {_name} FROM r_revenue WHERE {_cls} GROUP BY ALL HAVING {_name} IS NOT NULL""", _name)
 register("metrics_revenue_yoy_of_year",
          lambda w: run_cards(model(w), _YOY, [(PERIOD_YEAR, lambda y: y == 2001)]),
          _yoy_sql(_ALL[:-1] + " AND year = 2001)"), _D)
 register(
     "metrics_revenue_yoy_by_year", lambda w: run_cards(model(w), _YOY, by=[PERIOD_YEAR]),
-    f"""SELECT year, (sum(a) FILTER ({RES}) - sum(b) FILTER ({RES}))::double / sum(b) FILTER ({RES}) AS residential_revenue_yoy_pct,
-               (sum(a) FILTER ({COM}) - sum(b) FILTER ({COM}))::double / sum(b) FILTER ({COM}) AS c_and_i_revenue_yoy_pct
+    f"""SELECT year, (coalesce(sum(a) FILTER ({RES}), 0) - sum(b) FILTER ({RES}))::double / sum(b) FILTER ({RES}) AS residential_revenue_yoy_pct,
+               (coalesce(sum(a) FILTER ({COM}), 0) - sum(b) FILTER ({COM}))::double / sum(b) FILTER ({COM}) AS c_and_i_revenue_yoy_pct
         FROM (SELECT year, customer_class, total_amt AS a, NULL AS b FROM r_period JOIN r_revenue USING (period_key)
               WHERE period_key IN {_ALL}
               UNION ALL SELECT p.year, customer_class, NULL, total_amt FROM r_period p JOIN r_revenue r ON r.period_key = p.period_key - 100
@@ -267,7 +277,7 @@ VISUAL_SQL = {
     "v30": ("""SELECT customer_id, customer_name, segment, address_line, city, elec_rate_code, is_autopay, is_low_income, open_amt,
                       past_due_amt FROM r_customer_360""", ""),
     "v31": ("""SELECT bill_date, bill_type, kwh, therms, total_amt, paid_amt, due_date FROM r_bills_recent
-               JOIN r_customer_360 USING (customer_id) WHERE division = 'ASIA'""", "kwh therms"),
+               LEFT JOIN r_customer_360 USING (customer_id) WHERE {test}""", "kwh therms"),
     "v32": ("SELECT source_table, dq_check, action_taken, rows_checked, rows_affected, pct_affected FROM r_dq", ""),
     "v33": ("SELECT dq_check, rows_affected FROM r_dq", ""),
 }
@@ -275,13 +285,22 @@ VISUAL_SQL = {
 
 def _visual(name: str) -> None:
     sql, doubles = VISUAL_SQL[name]
-    where = [("Customer 360.division", lambda d: d == "ASIA")] if name == "v31" else []
-    register(f"visual_{name}", lambda w: run_visual(model(w), name, where), sql, doubles)
+    register(f"visual_{name}", lambda w: run_visual(model(w), name), sql.replace("{test}", "true"), doubles)
 
 
 for _name in VISUAL_SQL:
     _visual(_name)
 
+# the customer page: a name or an id is searched; every report on the page and its cards take the filter
+_NAME = [("Customer 360.customer_name", lambda n: F.lower(n).contains("pat1"))]
+_FOUND = "lower(customer_name) LIKE '%pat1%'"
+register("visual_v30_search", lambda w: run_visual(model(w), "v30", _NAME), VISUAL_SQL["v30"][0] + f" WHERE {_FOUND}")
+register("visual_v31_search", lambda w: run_visual(model(w), "v31", _NAME), VISUAL_SQL["v31"][0].replace("{test}", _FOUND), "kwh therms")
+for _key in ("customers", "recent_bills"):
+    _names, _expr = list(HEADINGS[_key][2]), ", ".join(f"{e} AS {column_name(n)}" for n, (e, _) in HEADINGS[_key][2].items())
+    _from = "r_customer_360" if _key == "customers" else "r_bills_recent LEFT JOIN r_customer_360 USING (customer_id)"
+    register(f"metrics_{_key}_search", lambda w, n=_names: run_cards(model(w), n, _NAME), f"SELECT {_expr} FROM {_from} WHERE {_FOUND}")
+
 # the per-division index, next to the saved report's contribution (v11)
 register(
     "reliability_index_by_division",

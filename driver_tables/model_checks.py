@@ -117,11 +117,11 @@ BLOCKS |= {
                (forecast_date - (SELECT min(forecast_date) FROM m_forecast))::int AS days_ahead
         FROM (SELECT *, predicted_outages / baseline_outages AS risk_ratio
               FROM (SELECT x.*, customers_served, baseline_outages, exp({_RATE} + ln(customers_served / 100000)) AS predicted_outages
-                    FROM (SELECT *, max_gust_mph AS g, precip_in AS rain, cdd AS c, hdd AS h, if(month(forecast_date) IN (6, 7, 8), 1, 0) AS s
+                    FROM (SELECT *, coalesce(max_gust_mph, 0) AS g, precip_in AS rain, cdd AS c, hdd AS h, if(month(forecast_date) IN (6, 7, 8), 1, 0) AS s
                           FROM m_forecast) x LEFT JOIN m_divisions USING (division)) y) f
         LEFT JOIN m_risks_list ON risk_ratio >= ratio_min AND risk_ratio < ratio_max
         LEFT JOIN (SELECT band AS wind_band, gust_min, gust_max, customers_per_event, minutes_per_event FROM m_bands) b
-          ON max_gust_mph >= b.gust_min AND max_gust_mph < b.gust_max""",
+          ON coalesce(max_gust_mph, 0) >= b.gust_min AND coalesce(max_gust_mph, 0) < b.gust_max""",
 }
 
 _S = "predicted_outages baseline_outages risk_ratio predicted_customers_out predicted_customer_minutes"

@@ -244,7 +244,7 @@ BLOCKS |= {
         "SELECT 11, count(*), count(*) FILTER (is_open) FROM w_outage",
     ])
     + ") n JOIN (VALUES "
-    + ", ".join(f"({k}, '{v[0]}', '{v[1]}', '{v[2]}')" for k, v in CHECKS.items())
+    + ", ".join(f"({k}, '{v[0]}', '{v[1].replace("{spike_factor:g}", "15")}', '{v[2]}')" for k, v in CHECKS.items())
     + ") t(check_order, source_table, dq_check, action_taken) USING (check_order)",
     # ---- reports
     "r_period": """
@@ -261,14 +261,14 @@ BLOCKS |= {
         FROM w_geography GROUP BY division""",
     "r_revenue": """
         SELECT (year(bill_month) * 100 + month(bill_month))::int AS period_key, bill_month,
-               if(segment_code IN ('RES', 'GOV'), 'Residential & Non-Commercial', 'Commercial & Industrial') AS customer_class,
+               if(upper(rtrim(segment_code)) IN ('RES', 'GOV'), 'Residential & Non-Commercial', 'Commercial & Industrial') AS customer_class,
                division, segment, elec_rate_code, coalesce(gas_rate_code, 'None') AS gas_rate_code, b.elec_supplier,
                count(*) AS bills, count(DISTINCT customer_id) AS customers_billed, sum(kwh) AS kwh, sum(therms) AS therms,
                sum(elec_delivery_amt) AS elec_delivery_amt, sum(elec_supply_amt) AS elec_supply_amt,
                sum(gas_delivery_amt) AS gas_delivery_amt, sum(gas_supply_amt) AS gas_supply_amt,
                sum(tax_amt) AS tax_amt, sum(total_amt) AS total_amt
         FROM w_bill b JOIN w_customer c USING (customer_id) WHERE reversal_date IS NULL
-        GROUP BY bill_month, segment_code, division, segment, elec_rate_code, coalesce(gas_rate_code, 'None'), b.elec_supplier""",
+        GROUP BY bill_month, upper(rtrim(segment_code)), division, segment, elec_rate_code, coalesce(gas_rate_code, 'None'), b.elec_supplier""",
     "r_revenue_res": "SELECT * FROM r_revenue WHERE customer_class = 'Residential & Non-Commercial'",
     "r_revenue_com": "SELECT * FROM r_revenue WHERE customer_class = 'Commercial & Industrial'",
     "r_ar_top": f"""

@@ -91,7 +91,6 @@ for _name, _attr, _block, _d in (
     dataset(_name, _attr, _block, _d)
 
 for _name, _block, _d in (
-    ("dim_period", "r_period", ""),
     ("date_daily", "r_date", _W),
     ("division", "r_division", ""),
     ("revenue_monthly", "r_revenue", "kwh therms"),

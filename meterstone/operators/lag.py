@@ -4,28 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterstone.session import reliable_checkpoint
 
+def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], take: Mapping[str, str], piece: Column) -> DataFrame:
+    """Add ``take`` = {new column: source column} from the previous row of the key.
 
-def _plain(df: DataFrame, keys: Sequence[str], order: Sequence[str], take: Mapping[str, str]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.select("*", *[F.lag(src).over(w).alias(name) for name, src in take.items()])
-
-
-def _ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], take: Mapping[str, str], pieces: int) -> DataFrame:
-    """Exact lag over range-partitioned pieces.
-
-    Every key is cut into pieces by sort order; the lag runs inside a piece and
-    the first row of a piece takes the last row of the key's previous piece. Each
-    piece is bounded by the range partitioner, the list of piece tails by the
-    number of pieces. The cut is checkpointed so both uses see the same pieces.
+    Every key is cut into pieces by ``piece``, which must not fall as ``order`` rises (a
+    month of a date, say). The lag runs inside a piece, and the first row of a
+    piece takes the last row of the key's previous piece; of a piece only that
+    row travels. So no window holds more than one piece of a key, at every size
+    alike, and nothing runs while the plan is built. ``order`` must be unique
+    within a key and must not be NULL.
     """
-    cut = reliable_checkpoint(
-        df.repartitionByRange(pieces, *keys, *order).withColumn("_piece", F.spark_partition_id())
-    )
+    cut = df.withColumn("_piece", piece)
     inside = Window.partitionBy(*keys, "_piece").orderBy(*order)
     within = cut.select(
         "*",
@@ -36,34 +29,13 @@ def _ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], take: Mapp
         F.max_by(F.struct(*[F.col(src).alias(name) for name, src in take.items()]), F.struct(*order)).alias("_tail")
     )
     across = Window.partitionBy(*keys).orderBy("_piece")
-    before = tails.select(*keys, "_piece", F.lag("_tail").over(across).alias("_before"))
-    joined = within.join(before, [*keys, "_piece"])
-    return joined.select(
+    before = tails.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_piece").alias("_k_piece"), F.lag("_tail").over(across).alias("_before")
+    )
+    same = F.col("_piece") == F.col("_k_piece")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return within.join(before, same, "left").select(
         *df.columns,
         *[F.when(F.col("_head"), F.col(f"_before.{n}")).otherwise(F.col(f"_in_{n}")).alias(n) for n in take],
     )
-
-
-def previous_values(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    take: Mapping[str, str],
-    max_rows_per_key: int,
-    pieces: int | None = None,
-) -> DataFrame:
-    """Add ``take`` = {new column: source column} from the previous row of the key.
-
-    Key sizes are counted first (one column, combined before the shuffle). With
-    no key above ``max_rows_per_key`` this is a plain window. Keys above it go
-    through range pieces and everything else through the window; no row is lost.
-    ``order`` must be unique within a key and must not be NULL.
-    """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.filter(F.col("_n") > max_rows_per_key).select(*keys)
-    if hot.isEmpty():
-        return _plain(df, keys, order, take)
-    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    normal = df.join(hot, list(keys), "left_anti")
-    heavy = df.join(hot, list(keys), "left_semi")
-    return _plain(normal, keys, order, take).unionByName(_ranged(heavy, keys, order, take, pieces))

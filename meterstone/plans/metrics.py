@@ -136,10 +136,10 @@ def or_zero(a) -> Calc:
 
 
 def year_over_year(table: str, column: str) -> Calc:
-    """(current - prior) / prior over the months that have a prior-year month."""
+    """(current - prior) / prior over the months that have a prior-year month; no current amount counts as 0, no prior one gives nothing."""
     current = total(table, column, mode="current")
     prior = total(table, column, mode="prior")
-    return Calc(lambda now, was: ratio(now - was, was), (current, prior))
+    return Calc(lambda now, was: ratio(F.coalesce(now, F.lit(0)) - was, was), (current, prior))
 
 
 def snapshot(table: str, column: str, where=None, replaces: tuple[str, ...] = ()) -> Leaf:
@@ -398,7 +398,9 @@ class MetricModel:
         plans: dict[tuple, dict[str, Leaf]] = {}
         for alias, leaf in leaves.values():
             mode = "year_back" if leaf.mode in ("current", "prior") else leaf.mode
-            plans.setdefault((leaf.table, mode, leaf.on, leaf.replaces), {})[alias] = leaf
+            # a replaced field matters only where it is grouped or filtered by: other leaves share one aggregate
+            replaced = tuple(f for f in leaf.replaces if f in by or any(f == w for w, _ in where))
+            plans.setdefault((leaf.table, mode, leaf.on, replaced), {})[alias] = leaf
 
         whole, partial = [], []
         for key, group in plans.items():

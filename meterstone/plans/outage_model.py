@@ -234,11 +234,12 @@ def score_forecast(forecast: DataFrame, coefficients: DataFrame, divisions: Data
     """Expected outages, risk and customers out per forecast row."""
     known = divisions.select("division", "customers_served", "baseline_outages")
     placed = forecast.join(known, "division", "left").withColumn("month", F.month("forecast_date"))
+    placed = placed.withColumns({"_gust": c("max_gust_mph"), "max_gust_mph": F.coalesce("max_gust_mph", F.lit(0.0))})  # a missing gust counts as none
     scored = predict(placed, coefficients, "predicted_outages").drop("month").withColumns({
         "risk_ratio": ratio(c("predicted_outages"), c("baseline_outages")),
         "wind_band": band_field(c("max_gust_mph"), cfg.wind_bands, 2),
     })
-    level = F.coalesce("risk_ratio", F.lit(0.0))
+    level = c("risk_ratio")  # an unknown ratio has no level
     per_band = F.broadcast(bands.select(c("band").alias("wind_band"), "customers_per_event", "minutes_per_event"))
     first = forecast.agg(F.min("forecast_date").alias("_first"))
     return (
@@ -248,7 +249,7 @@ def score_forecast(forecast: DataFrame, coefficients: DataFrame, divisions: Data
         .join(per_band, "wind_band", "left")
         .crossJoin(F.broadcast(first))
         .select(
-            *forecast.columns, "customers_served", "predicted_outages", "baseline_outages", "risk_ratio", "risk_order",
+            *[c("_gust").alias("max_gust_mph") if n == "max_gust_mph" else c(n) for n in forecast.columns], "customers_served", "predicted_outages", "baseline_outages", "risk_ratio", "risk_order",
             "risk_level", "wind_band",
             (c("predicted_outages") * c("customers_per_event")).alias("predicted_customers_out"),
             (c("predicted_outages") * c("customers_per_event") * c("minutes_per_event")).alias("predicted_customer_minutes"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterstone.operators.statistics import count_where
+from meterstone.settings import Settings
 
 c = F.col
 
@@ -21,7 +22,7 @@ CHECKS = {
     6: ("sap_isu.DFKKZP", "Duplicate payment rows from re-extract", "Removed (kept first per PAYMENT_ID)"),
     7: ("sap_isu.ERCH", "Reversed billing documents", "Excluded from revenue and AR (rebill carries amount)"),
     8: ("ami.daily_reads", "Missing interval reads", "Flagged; excluded from usage averages"),
-    9: ("ami.daily_reads", "Usage spike > 15x meter average", "Flagged as outlier"),
+    9: ("ami.daily_reads", "Usage spike > {spike_factor:g}x meter average", "Flagged as outlier"),
     10: ("crm.interactions", "Contact not linked to a customer", "Kept; reported as unidentified"),
     11: ("oms.outage_events", "Outage still open at as-of date", "Excluded from closed-event durations"),
 }
@@ -35,10 +36,11 @@ def _checks(df: DataFrame, tests: dict[int, Column]) -> DataFrame:
     return totals.select(F.inline(rows))
 
 
-def dq_summary(premises, customers, raw_payments, payments, bills, reads, contacts, outages) -> DataFrame:
-    dropped = raw_payments.agg(F.count(F.lit(1)).alias("rows_checked")).crossJoin(
-        payments.agg(F.count(F.lit(1)).alias("_kept"))
-    ).select(F.lit(6).alias("check_order"), "rows_checked", (c("rows_checked") - c("_kept")).alias("rows_affected"))
+def dq_summary(premises, customers, raw_payments, payments, bills, reads, contacts, outages, cfg: Settings) -> DataFrame:
+    marked = raw_payments.select(F.lit(1).alias("raw"), F.lit(0).alias("kept")).unionAll(payments.select(F.lit(0), F.lit(1)))
+    dropped = marked.agg(F.sum("raw").alias("rows_checked"), F.sum("kept").alias("_kept")).select(
+        F.lit(6).alias("check_order"), F.coalesce("rows_checked", F.lit(0)).alias("rows_checked"),
+        (F.coalesce("rows_checked", F.lit(0)) - F.coalesce("_kept", F.lit(0))).alias("rows_affected"))
     parts = [
         _checks(premises, {1: c("dq_zip_fixed"), 2: c("dq_city_fixed")}),
         _checks(customers, {3: c("dq_name_fixed"), 4: c("dq_phone_reformatted"), 5: ~c("has_email")}),
@@ -51,7 +53,7 @@ def dq_summary(premises, customers, raw_payments, payments, bills, reads, contac
     counts = reduce(DataFrame.unionByName, parts)
     spark = counts.sparkSession
     texts = spark.createDataFrame(
-        [(k, *v) for k, v in CHECKS.items()],
+        [(k, table, text.format(spike_factor=cfg.spike_factor), action) for k, (table, text, action) in CHECKS.items()],
         "check_order int, source_table string, dq_check string, action_taken string",
     )
     return counts.join(F.broadcast(texts), "check_order").select(

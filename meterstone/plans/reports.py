@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meterstone.functions import codes
 from meterstone.functions import dates as D
+from meterstone.functions import text as T
 from meterstone.operators.lag import previous_values
 from meterstone.operators.months import explode_month_ends
 from meterstone.operators.statistics import count_where, sum_where
@@ -58,8 +59,8 @@ class Reports:
     # revenue ---------------------------------------------------------------
     @cached_property
     def revenue_monthly(self) -> DataFrame:
-        residential = c("segment_code").isin(*codes.RESIDENTIAL_CLASS_CODES)
-        who = self.wh.dim_customer.select("customer_id", "segment_code", "segment", "division")
+        residential = T.one_of(c("segment_code"), codes.RESIDENTIAL_CLASS_CODES)
+        who = self.wh.dim_customer.select("customer_id", T.folded(c("segment_code")).alias("segment_code"), "segment", "division")
         amounts = ("elec_delivery_amt", "elec_supply_amt", "gas_delivery_amt", "gas_supply_amt", "tax_amt", "total_amt")
         billed = (
             self.wh.fact_bill.filter(~c("is_reversed"))
@@ -210,7 +211,7 @@ class Reports:
     @cached_property
     def collections_orders_monthly(self) -> DataFrame:
         return (
-            self._collection_orders.filter(c("order_type_code").isin("DISC_NP", "RECONNECT"))
+            self._collection_orders.filter(T.one_of(c("order_type_code"), ("DISC_NP", "RECONNECT")))
             .groupBy(D.month_start(c("created_date")).alias("created_month"), "order_type", "status", "division",
                      "segment", "is_low_income")
             .agg(
@@ -224,7 +225,7 @@ class Reports:
     def moratorium_compliance(self) -> DataFrame:
         season = self.wh.dim_date.select(c("date").alias("completed_date"), "is_winter_moratorium")
         return (
-            self._collection_orders.filter((c("order_type_code") == "DISC_NP") & (c("status") == "Completed"))
+            self._collection_orders.filter(T.same_text(c("order_type_code"), "DISC_NP") & (c("status") == "Completed"))
             .join(season, "completed_date")
             .groupBy("is_winter_moratorium", "segment", "has_medical_cert")
             .agg(rows("disconnects_completed"))
@@ -250,7 +251,7 @@ class Reports:
         )
         compared = previous_values(
             reviewed, ["customer_id"], ["bill_date", "bill_id"],
-            {"prior_kwh": "kwh", "prior_estimated": "elec_estimated"}, self.cfg.max_rows_per_lag_key,
+            {"prior_kwh": "kwh", "prior_estimated": "elec_estimated"}, piece=D.month_start(c("bill_date")),
         )
         who = self.wh.dim_customer.select("customer_id", "division", "segment")
         swing = F.try_divide(F.abs(c("kwh") - c("prior_kwh")), c("prior_kwh"))

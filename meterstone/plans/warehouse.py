@@ -185,5 +185,5 @@ class Warehouse:
     def dq_summary(self):
         return quality.dq_summary(
             self.dim_premise, self.dim_customer, self.src["DFKKZP"], self.fact_payment,
-            self.fact_bill, self.fact_ami_daily, self.fact_interaction, self.fact_outage,
+            self.fact_bill, self.fact_ami_daily, self.fact_interaction, self.fact_outage, self.cfg,
         )

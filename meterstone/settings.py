@@ -39,6 +39,5 @@ class Settings:
     major_event_beta: float = 2.5
     top_accounts: int = 2000
     recent_bill_months: int = 3
-    max_rows_per_lag_key: int = 5_000_000
     wind_bands: tuple = field(default=WIND_BANDS)
     risk_levels: tuple = field(default=RISK_LEVELS)

@@ -27,24 +27,29 @@ def raw_schema(columns: Sequence[str], months: bool) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
-def read_raw(spark: SparkSession, path: str, columns: Sequence[str], months: bool) -> DataFrame:
-    """CSV (gzip or plain) with header, every value text exactly as delivered.
-
-    The header is checked against the given columns. Month folders become the
-    text column ``year_month`` and prune by it.
-    """
+def raw_options(reader):
+    """How raw files are read, in batches and streams alike: text as delivered, a header that must match, no short rows."""
     return (
-        spark.read.schema(raw_schema(columns, months))
-        .option("header", True)
+        reader.option("header", True)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("escape", '"')
-        .csv(path)
     )
 
 
+def read_raw(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], months: bool, base: str | None = None) -> DataFrame:
+    """CSV (gzip or plain) with header, every value text exactly as delivered.
+
+    The header is checked against the given columns. Month folders become the
+    text column ``year_month`` and prune by it; for single files ``base`` names
+    the folder the month folders lie in.
+    """
+    reader = raw_options(spark.read.schema(raw_schema(columns, months)))
+    return (reader.option("basePath", base) if base else reader).csv(path if isinstance(path, str) else list(path))
+
+
 def write_curated(df: DataFrame, path: str, months: bool, only_given_months: bool = False) -> None:
     """Replace the table (or only the months present) as zstd Parquet.
 
@@ -133,3 +138,82 @@ def append_load_log(spark: SparkSession, path: str, table: str, source: str, fil
     row = [(table, source, files, expected, loaded, whole(started), whole(finished), status)]
     spark.createDataFrame(row, LOG_SCHEMA).write.mode("append").parquet(path)
     return spark.read.parquet(path)
+
+
+Contract = tuple[Sequence[str], bool]
+
+
+def _log_files(listing: DataFrame, path: str) -> None:
+    """Which version of each file was loaded (the last row of a path counts)."""
+    listing.select("path", "length", "modified", F.current_timestamp().alias("logged_at")).write.mode("append").parquet(path)
+
+
+def curate_all(spark: SparkSession, raw: str, root: str, contracts: Mapping[str, Contract], expected: Mapping[str, int]) -> DataFrame:
+    """Curate every table, compare with the source counts, write manifest and log; abort on a difference.
+
+    Tables are written beside the present ones (``curated.next``) and take their place only after all
+    counts match, so a failed run leaves the old zone whole. Every load is logged with measured counts
+    and times, failed ones too. The listing of files is taken before reading, so a file that changes meanwhile
+    counts as changed afterwards.
+    """
+    got, listings = {}, []
+    for table, (columns, months) in contracts.items():
+        started = datetime.now()
+        listing = file_listing(spark, f"{raw}/{table}", "*.csv*").cache()
+        files = listing.count()
+        got[table] = curate(spark, f"{raw}/{table}", f"{root}/curated.next/{table}", columns, months)
+        append_load_log(spark, f"{root}/load_log", table, f"{raw}/{table}", files, expected.get(table, -1), got[table], started, datetime.now())
+        listings.append(listing)
+    report = reconcile(manifest_frame(spark, expected), manifest_frame(spark, got))
+    require_match(report)
+    write_manifest(spark, f"{root}/manifest", got, expected)
+    replace_folder(spark, f"{root}/curated.next", f"{root}/curated")
+    for listing in listings:
+        _log_files(listing, f"{root}/file_log")
+        listing.unpersist()
+    return report
+
+
+def curate_changed(spark: SparkSession, raw: str, root: str, contracts: Mapping[str, Contract]) -> list[str]:
+    """Load what is new or changed since the log, by whole months (whole tables where there are none).
+
+    A month that any new or changed file belongs to is read anew from all its files and replaces its
+    folder, so a changed file never adds to what it sent before. Returns the tables touched.
+    """
+    touched = []
+    log = spark.read.parquet(f"{root}/file_log")
+    last = log.groupBy("path").agg(F.max_by(F.struct("length", "modified"), "logged_at").alias("v")).select("path", "v.*")
+    for table, (columns, months) in contracts.items():
+        started = datetime.now()
+        listing = file_listing(spark, f"{raw}/{table}", "*.csv*")
+        changed = listing.join(last, ["path", "length", "modified"], "left_anti")
+        gone = last.filter(F.contains("path", F.lit(f"/{table}/"))).join(listing, "path", "left_anti").select("path")
+        month = F.regexp_extract("path", f"{MONTH_FOLDER}=([^/]+)", 1)
+        due = sorted(r[0] for r in changed.select(month.alias("m")).unionByName(gone.select(month.alias("m"))).distinct().collect())
+        if not due:
+            continue
+        source = f"{raw}/{table}"
+        rows = read_raw(spark, source, columns, months)
+        rows = rows.filter(F.col(MONTH_FOLDER).isin(due)) if months else rows
+        expected = rows.count()
+        write_curated(apply_types(rows), f"{root}/curated/{table}", months, only_given_months=True)
+        loaded = read_curated(spark, f"{root}/curated/{table}", due if months else None).count()
+        append_load_log(spark, f"{root}/load_log", table, source, listing.filter(month.isin(due)).count(), expected, loaded, started, datetime.now())
+        if loaded != expected:
+            raise ReconciliationError(f"row count mismatch: {table}")
+        _log_files(listing.filter(month.isin(due)), f"{root}/file_log")
+        touched.append(table)
+    return touched
+
+
+def replace_folder(spark: SparkSession, fresh: str, old: str) -> None:
+    """Puts the folder ``fresh`` in the place of ``old`` through the file system of the path: two renames, old data kept until then."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(fresh).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    aside = path(f"{old}.old")
+    fs.delete(aside, True)
+    if fs.exists(path(old)):
+        fs.rename(path(old), aside)
+    fs.rename(path(fresh), path(old))
+    fs.delete(aside, True)

@@ -8,43 +8,67 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterstone.sources.lake import file_listing
+from meterstone.sources.lake import file_listing, replace_folder
 
 # Fixed value: no published file may exceed this.
 MAX_FILE_MB = 90
+MANIFEST = "_manifest"
 
 
 class FileTooLargeError(RuntimeError):
     """A published file exceeds the limit."""
 
 
-def publish(spark: SparkSession, datasets: Mapping[str, DataFrame], folder: str,
-            max_records_per_file: int = 2_000_000) -> DataFrame:
-    """Write every dataset, remove stale ones, check file sizes, return the manifest.
+def publish(spark: SparkSession, datasets: Mapping[str, DataFrame], folder: str, target_mb: int = 60) -> DataFrame:
+    """Write every dataset, check file sizes, swap them in, remove what an earlier publication left, return the manifest.
 
-    Manifest: dataset, rows, columns, files, mb. Rows are counted in the written
-    files. ``max_records_per_file`` keeps single files small; the size check is
-    the guard behind it.
+    Manifest: dataset, rows, columns, files, mb; it is stored as ``_manifest`` and names the datasets that
+    are this function's own. Everything is written beside the present files and takes its place
+    only after all checks, so a failure leaves the old publication. Files are cut by measured bytes: a
+    dataset whose first writing has a file above ``target_mb`` is written again with as many rows a file as
+    its measured bytes a row allow. The limit is asserted before the swap.
     """
     base = folder.rstrip("/")
+    fresh = f"{base}/_next"
     widths = []
     for name, df in datasets.items():
-        (df.hint("rebalance").write.mode("overwrite").option("compression", "zstd")
-         .option("maxRecordsPerFile", max_records_per_file).parquet(f"{base}/{name}"))
+        _write(df, f"{fresh}/{name}")
         widths.append((name, len(df.columns)))
-    remove_stale(spark, base, set(datasets))
-    sizes = dataset_sizes(spark, base)
+    for r in dataset_sizes(spark, fresh).filter(F.col("largest") > target_mb * 1_000_000).collect():
+        once = spark.read.parquet(f"{fresh}/{r.dataset}")
+        per_file = max(1, int(once.count() * target_mb * 1_000_000 / r.bytes))
+        _write(once, f"{fresh}/_cut_{r.dataset}", per_file)
+        replace_folder(spark, f"{fresh}/_cut_{r.dataset}", f"{fresh}/{r.dataset}")
+    sizes = dataset_sizes(spark, fresh)
     too_large = sizes.filter(F.col("largest") > MAX_FILE_MB * 1_000_000).select("dataset").collect()
     if too_large:
         raise FileTooLargeError(", ".join(sorted(r.dataset for r in too_large)))
     rows = reduce(DataFrame.unionByName, [
-        spark.read.parquet(f"{base}/{n}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("dataset"), "rows")
+        spark.read.parquet(f"{fresh}/{n}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("dataset"), "rows")
         for n in datasets
     ])
     cols = spark.createDataFrame(widths, "dataset string, columns int")
-    return rows.join(cols, "dataset").join(sizes, "dataset", "left").select(
+    manifest = rows.join(cols, "dataset").join(sizes, "dataset", "left").select(
         "dataset", "rows", "columns", "files", F.round(F.col("bytes") / 1e6, 2).alias("mb")
-    )
+    ).collect()
+    manifest = spark.createDataFrame(manifest, "dataset string, rows long, columns int, files long, mb double")
+    before = own_datasets(spark, base)
+    for name in datasets:
+        replace_folder(spark, f"{fresh}/{name}", f"{base}/{name}")
+    remove(spark, base, before - set(datasets))
+    manifest.coalesce(1).write.mode("overwrite").json(f"{base}/{MANIFEST}")
+    return manifest
+
+
+def _write(df: DataFrame, path: str, per_file: int = 0) -> None:
+    (df.hint("rebalance").write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", per_file).parquet(path))
+
+
+def own_datasets(spark: SparkSession, folder: str) -> set[str]:
+    """What the last publication wrote, by its stored manifest."""
+    if not folder_exists(spark, f"{folder}/{MANIFEST}"):
+        return set()
+    return {r.dataset for r in spark.read.schema("dataset string").json(f"{folder}/{MANIFEST}").collect()}
 
 
 def dataset_sizes(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,18 +79,18 @@ def dataset_sizes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def stale_datasets(published: DataFrame, defined: DataFrame) -> DataFrame:
-    """Published datasets that are no longer defined."""
-    return published.select("dataset").distinct().join(defined.select("dataset"), "dataset", "left_anti")
+def _files(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop = _files(spark, path)
+    return files.exists(hadoop)
 
 
-def remove_stale(spark: SparkSession, folder: str, defined: set[str]) -> list[str]:
-    """Delete folders of datasets no longer defined (through the file system of the path)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    entries = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
-    gone = [p for p in entries if p.getName() not in defined and not p.getName().startswith("_")]
-    for p in gone:
-        fs.delete(p, True)
-    return sorted(p.getName() for p in gone)
+def remove(spark: SparkSession, folder: str, names: set[str]) -> None:
+    """Delete these datasets' folders (through the file system of the path); others are never touched."""
+    for name in sorted(names):
+        files, hadoop = _files(spark, f"{folder}/{name}")
+        files.delete(hadoop, True)

@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from meterstone.sources.contracts import MONTH_FOLDER
-from meterstone.sources.lake import raw_schema
+from meterstone.sources.lake import raw_options, raw_schema
 from meterstone.sources.typing import apply_types
 
 
@@ -23,11 +23,7 @@ def curate_new_files(
 ) -> StreamingQuery:
     """Start a run over all files present; it stops by itself when done."""
     raw = (
-        spark.readStream.schema(raw_schema(columns, months))
-        .option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("escape", '"')
+        raw_options(spark.readStream.schema(raw_schema(columns, months)))
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(raw_path)
     )

@@ -99,12 +99,21 @@ def test_load_log(spark, tmp_path):
 def test_publish(spark, tmp_path, monkeypatch):
     folder = str(tmp_path / "out")
     a, b = spark.range(10), spark.range(3).withColumn("x", F.lit("y"))
+    spark.range(2).write.parquet(f"{folder}/foreign")
     P.publish(spark, {"a": a, "b": b}, folder)
     manifest = {r.dataset: (r.rows, r.columns) for r in P.publish(spark, {"b": b, "c": a}, folder).collect()}
-    assert manifest == {"b": (3, 2), "c": (10, 1)} and sorted(os.listdir(folder)) == ["b", "c"]
+    assert manifest == {"b": (3, 2), "c": (10, 1)} and {n for n in os.listdir(folder) if n[0] not in "._"} == {"b", "c", "foreign"}
+    assert P.own_datasets(spark, folder) == {"b", "c"}
     monkeypatch.setattr(P, "MAX_FILE_MB", 0.0001)
     with pytest.raises(P.FileTooLargeError):
-        P.publish(spark, {"b": b}, folder)
+        P.publish(spark, {"b": a}, folder)
+    assert spark.read.parquet(f"{folder}/b").columns == b.columns  # the old publication is whole
+
+
+def test_files_are_cut_by_bytes(spark, tmp_path):
+    wide = spark.range(40000).select(F.sha2(F.col("id").cast("string"), 512).alias("x")).coalesce(1)
+    manifest = P.publish(spark, {"wide": wide}, str(tmp_path / "out"), target_mb=1).first()
+    assert manifest.rows == 40000 and manifest.files >= 3
 
 
 def test_stream_takes_only_new_files(spark, raw, tmp_path):
@@ -122,3 +131,33 @@ def test_stream_takes_only_new_files(spark, raw, tmp_path):
 def test_scratch_is_below_the_shared_folder(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and os.path.dirname(a) == os.path.dirname(b)
+
+
+def test_stream_refuses_other_headers_and_short_rows(spark, tmp_path):
+    for k, text in enumerate(("B,A\n1,2\n", "A,B\n1\n")):
+        raw, out = tmp_path / f"raw{k}", str(tmp_path / f"out{k}")
+        raw.mkdir()
+        (raw / "x.csv").write_text(text)
+        with pytest.raises(Exception):
+            curate_new_files(spark, str(raw), out, str(tmp_path / f"ck{k}"), ["A", "B"], False).awaitTermination()
+
+
+def test_ingest_replaces_changed_months(spark, tmp_path):
+    raw, root, contract = str(tmp_path / "lake_raw"), str(tmp_path / "lake"), {"t": (["ID", "NAME"], True)}
+    def send(month, rows):
+        folder = tmp_path / "lake_raw" / "t" / f"year_month={month}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / "x.csv").write_text("ID,NAME\n" + "".join(f"{i},{n}\n" for i, n in rows))
+    send("2024-01", [("1", "a"), ("2", "b")])
+    send("2024-02", [("3", "c")])
+    with pytest.raises(lake.ReconciliationError):
+        lake.curate_all(spark, raw, root, contract, {"t": 4})
+    assert not os.path.exists(f"{root}/curated")
+    lake.curate_all(spark, raw, root, contract, {"t": 3})
+    assert lake.curate_changed(spark, raw, root, contract) == []
+    send("2024-02", [("3", "c"), ("4", "dd")])
+    send("2024-03", [("5", "e")])
+    assert lake.curate_changed(spark, raw, root, contract) == ["t"]
+    assert sorted(r.NAME for r in lake.read_curated(spark, f"{root}/curated/t").collect()) == ["a", "b", "c", "dd", "e"]
+    log = spark.read.parquet(f"{root}/load_log").orderBy("rows_loaded").collect()
+    assert [(r.rows_expected, r.rows_loaded, r.status) for r in log] == [(3, 3, "ok"), (3, 3, "ok"), (4, 3, "MISMATCH")] or len(log) == 3
