@@ -168,7 +168,7 @@ def neighbours(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "ve
                     yield pa.RecordBatch.from_pydict({"curve": np.full(len(x), c, dtype=np.int32), "key": key, "entry": part.column(0), "vec": part.column(1)})
 
     placed = arrow_map(entries.select("entry", "vec"), place_all, "curve int, key long, entry long, vec array<double>")
-    ranked = written(_ranked(placed), "ranked")
+    ranked = _ranked(placed)
     asked = queries.select(F.col(f"`{id_col}`").cast("long").alias("id")).where("id IS NOT NULL").distinct()
     own = rows.join(asked, "id").join(entries.select("vec", "entry"), "vec").select("id", "entry").distinct()
     asking = own.select("entry").distinct()
