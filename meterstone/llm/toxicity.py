@@ -73,9 +73,10 @@ def reported() -> Transducer:
 
 
 def target() -> Transducer:
-    """Notes that somebody is addressed; a threat needs that, an insult weighs more with it."""
+    """Notes that somebody is addressed, before or after; a threat needs that, an insult weighs more with it."""
     return {(0, TARGET): (1, TARGET, 0.0), (1, INSULT): (1, INSULT, 0.5), (1, WEAK_INSULT): (1, WEAK_INSULT, 0.1),
-            (1, THREAT): (1, THREAT, 1.5), (1, WEAK_THREAT): (1, WEAK_THREAT, 0.3)}
+            (1, THREAT): (1, THREAT, 1.5), (1, WEAK_THREAT): (1, WEAK_THREAT, 0.3),
+            (0, INSULT): (2, INSULT, 0.0), (2, TARGET): (1, TARGET, 0.5), (0, THREAT): (3, THREAT, 0.0), (3, TARGET): (1, TARGET, 1.5)}
 
 
 def insult() -> Transducer:
