@@ -44,18 +44,17 @@ def draw(id_: Column) -> Column:
 def rake(cells: DataFrame, powers: dict[str, float], rounds: int = ROUNDS) -> DataFrame:
     """``cells`` (margins, tokens) with ``raked``: tokens moved to the targets of all margins, the total unchanged."""
     total = cells.agg(F.sum("tokens").alias("t")).first().t or 0.0
-    targets = {}
+    now = cells.withColumn("raked", F.col("tokens"))
     for m, power in powers.items():
         sums = cells.groupBy(m).agg(F.pow(F.sum("tokens") / max(total, 1.0), F.lit(power)).alias("share"))
         all_shares = sums.agg(F.sum("share").alias("s")).first().s or 1.0
-        targets[m] = written(sums.select(m, (F.col("share") * (total / all_shares)).alias("target")), "targets")
-    now = cells.withColumn("raked", F.col("tokens"))
+        now = now.join(sums.select(m, (F.col("share") * (total / all_shares)).alias(f"target_{m}")), m)
+    now = written(now, "raked")
     for _ in range(rounds):
-        for m in powers:
-            factor = now.groupBy(m).agg(F.sum("raked").alias("sum")).join(targets[m], m).select(m, (F.col("target") / F.col("sum")).alias("factor"))
-            now = now.join(factor, m).withColumn("raked", F.col("raked") * F.col("factor")).drop("factor")
-        now = written(now, "raked")
-    return now
+        for m in powers:  # one small sum and one join a step; written, so that plans stay small
+            factor = now.groupBy(m).agg((F.first(f"target_{m}") / F.sum("raked")).alias("factor"))
+            now = written(now.join(factor, m).withColumn("raked", F.col("raked") * F.col("factor")).drop("factor"), "raked")
+    return now.drop(*[f"target_{m}" for m in powers])
 
 
 def probabilities(cells: DataFrame, rate: float = RATE, capping: int = CAPPING) -> DataFrame:
