@@ -64,9 +64,10 @@ def _typed(w, name: str) -> DataFrame:
     return apply_types(as_delivered(w.src[name]))
 
 
-for _n in ("ERCH", "EVER", "ZSRVORD"):
+for _e in EXTRACTS:
+    _n = _e.split("/")[1]
     register(f"typed_{_n.lower()}", lambda w, n=_n: _typed(w, n), f"SELECT * FROM {_n}",
-             "KWH THERMS" if _n == "ERCH" else "")
+             " ".join(x for x in columns_of(_e) if RULE_OF.get(x) == "double"))
 
 register("curate_payments", lambda w: curated(w, "sap_isu/DFKKZP"),
          "SELECT *, strftime(BUDAT, '%Y-%m') AS year_month FROM DFKKZP")
