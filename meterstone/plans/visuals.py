@@ -32,6 +32,7 @@ class Detail:
 
 
 MONTH, DAY = "Period.year_month", "Date.date"
+# The saved reports, their fields and order.
 VISUALS: dict[str, Visual | Detail] = {
     "v01": Visual("Revenue & Billing", (MONTH,), ("Residential Revenue", "C&I Revenue"), MONTH),
     "v02": Visual("Revenue & Billing", ("Revenue Residential.elec_rate_code",), ("Residential Revenue",)),
