@@ -104,7 +104,8 @@ def _ranked(placed: DataFrame) -> DataFrame:
     # one row for each partition and curve: its first row and size; counted, not collected
     sizes = kept.groupBy("part", "curve").agg(F.min("at").alias("first"), F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    begins = sizes.select(F.col("part"), F.col("curve"), "first", before.alias("before"))
+    # written, so that its size is known: a few rows a partition, joined without moving the vectors while they are that few
+    begins = written(sizes.select("part", "curve", "first", before.alias("before")), "begins")
     return kept.join(begins, ["part", "curve"]).select("curve", (F.col("at") - F.col("first") + F.col("before")).alias("rank"), "entry", "vec")
 
 
