@@ -10,6 +10,12 @@ stored as 64 vertical bit planes. A shift of the planes by s compares every fing
 s places on; carry-save counters, themselves bit planes, hold all these distances at once, and a block
 is left once every distance in it exceeds the radius. Tasks give a spanning set of links, not all pairs.
 
+``drop_near_duplicates`` can instead link by the similarity of the shingle sets themselves (``similar_groups``):
+two sets that share ``PERCENT`` in 100 of their union share one of the least hashes of each (as many as may
+differ, and one), so these are exact keys too. Equal sets are one node. Of every key all nodes are held
+against its least node first; what this leaves in different groups is compared by bit planes with the
+radius ``WIDE``, and every candidate's similarity is counted on the whole sets.
+
 Results for odd input: null and empty texts have fingerprint zero and link like any other; repeated
 ids give one row each; a null id takes its group's smallest id and never is one (null if the group
 has no other); no rows give no rows; other columns are ignored.
@@ -17,6 +23,7 @@ has no other); no rows give no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -29,6 +36,9 @@ from meterstone.llm.common import arrow_map, fresh, id_type, map_text, slices, w
 from meterstone.llm.components import connected
 
 WORDS, RADIUS, SEED, TILE = 4, 4, 42, 4096
+#: The rule of corpus stages: words a shingle, shared shingles in 100 of the union; fingerprints of such pairs
+#: differ in 10 to 12 of 64 bits with a deviation of 3, so that next to none is beyond WIDE.
+STAGE_WORDS, PERCENT, WIDE = 5, 80, 24
 #: Groups up to this size are compared together, larger ones alone.
 TOGETHER = 64
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -191,9 +201,113 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return own.join(of, "bits").select(F.col("id").alias(id_col), hexed, "component_id")
 
 
-def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` with one document of each group: the one with the smallest id. Rows that repeat that id stay, null ids stay."""
-    groups = near_duplicates(df, id_col, text_col)
+def shingle_sets(df: DataFrame, id_col: str, text_col: str, words: int, percent: int | None = None) -> DataFrame:
+    """(id, node, bits, size, hashes): the sorted shingle hashes of every text, named by their digest; with
+    ``percent`` only the least ones, of which two sets of that similarity share one."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            own = [np.unique(shingle_hashes(t, words)) for t in part.column(1).to_pylist()]
+            keys = own if percent is None else [h[:len(h) + (-percent * len(h)) // 100 + 1] if len(h) else h for h in own]
+            yield pa.RecordBatch.from_pydict({
+                "id": part.column(0), "node": [hashlib.md5(h.tobytes()).hexdigest() for h in own],
+                "bits": np.array([fingerprint(h) for h in own], dtype=np.uint64).view(np.int64),
+                "size": pa.array([len(h) for h in own], pa.int64()),
+                "hashes": pa.array([h.view(np.int64) for h in keys], pa.list_(pa.int64()))})
+
+    return map_text(df, id_col, text_col, work, f"id {id_type(df, id_col)}, node string, bits long, size long, hashes array<long>")
+
+
+def _candidates(radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs of a unit within the radius whose roots differ, of rows (unit, bits, node, size, root) sorted by unit."""
+
+    def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        unit, bits = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+        for at, to in runs_of(unit, 16384):
+            own, n, shift = planes(bits[at:to]), to - at, 1
+            part = rows.slice(at, n)
+            node, size, root = (part.column(k).to_numpy() for k in (2, 3, 4))
+            while shift < n:
+                same = unit[at + shift:to] == unit[at:to - shift]
+                if not same.any():
+                    break
+                lanes = within(own, shift, int.from_bytes(np.packbits(same, bitorder="little").tobytes(), "little"), radius)
+                i = places(lanes, n) if lanes else np.zeros(0, dtype=int)
+                j = i + shift
+                apart = root[i] != root[j] if len(i) else np.zeros(0, dtype=bool)
+                i, j = i[apart], j[apart]
+                if len(i):
+                    a, b = np.where(node[i] < node[j], node[i], node[j]), np.where(node[i] < node[j], node[j], node[i])
+                    yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
+                shift += 1
+
+    held: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        held = rows if held is None else pa.concat_tables([held, rows])
+        unit = held.column(0).to_numpy()
+        cut = int(np.searchsorted(unit == unit[-1], True)) if len(unit) else 0
+        if cut:  # all but the last unit are complete
+            yield from found(held.slice(0, cut))
+            held = held.slice(cut)
+    if held is not None and held.num_rows:
+        yield from found(held)
+
+
+def runs_of(unit: np.ndarray, rows: int) -> Iterator[tuple[int, int]]:
+    """Stretches (from, to) of whole units, of ``rows`` rows or one unit each; units lie together."""
+    ends = np.r_[np.flatnonzero(unit[1:] != unit[:-1]) + 1, len(unit)]
+    at = 0
+    while at < len(unit):
+        k = int(np.searchsorted(ends, at + rows, side="right"))
+        to = int(ends[k - 1]) if k and ends[k - 1] > at else int(ends[k])
+        yield at, to
+        at = to
+
+
+def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = STAGE_WORDS, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
+    """(id, component_id): one row a document; groups of documents linked by shingle sets that share ``percent`` in 100 of their union."""
+    own = written(shingle_sets(df, id_col, text_col, words, percent), "least-hashes")
+    nodes = written(own.groupBy("node").agg(F.min("id").alias("least"), F.first("bits").alias("bits"), F.first("size").alias("size"), F.first("hashes").alias("hashes")), "nodes")
+    keyed = nodes.select("node", "bits", "size", F.explode("hashes").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("node", "size")).alias("star")).where("n > 1")
+    held = written(keyed.join(shared, "key").select("key", "node", "bits", "size", "n", "star"), "held")
+    # whole sets of the nodes that share a key, each from one of its documents
+    wanted = held.select("node").distinct().join(nodes.select("node", "least"), "node").select(F.col("least").alias("w")).distinct()
+    some = df.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t")).join(wanted.hint("shuffle_hash"), F.expr("i <=> w"), "left_semi")
+    sets = written(shingle_sets(some, "i", "t", words).groupBy("node").agg(F.first("size").alias("size"), F.first("hashes").alias("hashes")), "sets")
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        both = (pairs.distinct().join(sets.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("hashes").alias("ha")), "a")
+                .join(sets.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("hashes").alias("hb")), "b"))
+        common = both.select("a", "b", "na", "nb", F.size(F.array_intersect("ha", "hb")).cast("long").alias("common"))
+        return written(common.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b"), "similar")
+
+    near = lambda m, n: 100 * F.least(m, n) >= percent * F.greatest(m, n)
+    first = similar(held.where((F.col("node") != F.col("star.node")) & near(F.col("size"), F.col("star.size"))).select(F.col("star.node").alias("a"), F.col("node").alias("b")))
+    roots = connected(first)
+    placed = held.join(roots, "node", "left").select("key", "node", "bits", "size", "n", F.coalesce("root", "node").alias("root"))
+    placed = written(placed, "placed")
+    open_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+    tiles = F.ceil(F.col("n") / tile).cast("int")
+    dealt = placed.join(open_keys, "key").select("key", "node", "bits", "size", "root", tiles.alias("tiles"), F.pmod(F.xxhash64("node"), tiles).cast("int").alias("tile"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    units = dealt.select(F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")).alias("unit"), "bits", "node", "size", "root")
+    more = arrow_map(units.repartition("unit").sortWithinPartitions("unit"), lambda it: _candidates(WIDE, it), "a string, b string")
+    links = first.unionByName(similar(more))
+    tops = connected(links)
+    top = nodes.select("node", "least").join(tops, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    groups = top.groupBy("root").agg(F.min("least").alias("component_id"))
+    of = top.join(groups, "root").select("node", "component_id")
+    return own.join(of, "node").select(F.col("id").alias(id_col), "component_id")
+
+
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int | None = None) -> DataFrame:
+    """``df`` with one document of each group: the one with the smallest id. Rows that repeat that id stay, null ids stay.
+
+    Groups are those of ``near_duplicates``; with ``percent`` those of ``similar_groups``.
+    """
+    groups = near_duplicates(df, id_col, text_col) if percent is None else similar_groups(df, id_col, text_col, percent=percent)
     gone = written(groups.where(F.col(f"`{id_col}`") != F.col("component_id")).select(F.col(f"`{id_col}`").alias("gone_id")).distinct(), "gone")
     gone = gone.withColumnRenamed("gone_id", name := fresh(df, "gone_id"))
     return df.join(gone.hint("shuffle_hash"), F.col(f"`{id_col}`") == F.col(name), "left_anti")

@@ -89,3 +89,28 @@ def test_components_of_a_path_and_a_star(spark):
     pairs = [(i, i + 1) for i in range(0, 60)] + [(1000, i) for i in range(1001, 1200)] + [(5, 5)]
     got = {r.node: r.root for r in connected(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert all(got[i] == (0 if i <= 60 else 1000) for i in got) and len(got) == 261
+
+
+@pytest.mark.parametrize("tile", [4, 4096])
+def test_similar_groups_are_those_of_brute_force(spark, tile):
+    rng, rows = random.Random(tile), []
+    for _ in range(25):
+        n = rng.choice((8, 24, 60, 300))
+        base = [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+        for _ in range(rng.choice((2, 3, 12))):
+            copy = list(base)
+            for k in range(rng.choice((0, 1, max(1, n // 50), max(1, n // 40)))):
+                copy[rng.randrange(n)] = f"x{rng.randrange(10 ** 6)}"
+            rows.append((len(rows), " ".join(copy if rng.random() < 0.7 else copy + base[:rng.randrange(1, n // 4)])))
+    passage = " ".join(f"p{i}" for i in range(9))
+    rows += [(len(rows) + i, f"{passage} " + " ".join(f"q{i}x{j}" for j in range(30))) for i in range(40)]
+    sets = {}
+    for i, t in rows:
+        w = t.split()
+        sets[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))}
+    near = lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    want = brute_roots(sets, near)
+    pairs = [(a, b) for a in sets for b in sets if a < b and near(a, b) and 10 * len(sets[a] & sets[b]) < 9 * len(sets[a] | sets[b])]
+    assert len(pairs) > 20
+    got = simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), tile=tile)
+    assert {r.doc_id: r.component_id for r in got.collect()} == want
