@@ -5,7 +5,7 @@ to the three margins' targets in ``ROUNDS`` rounds; a margin's target shares are
 a power below 1, which lifts small sources, languages and topics. A cell's sampling probability is its
 raked tokens over its tokens, scaled so that ``RATE`` of all tokens is expected; cells that would pass 1
 are kept whole and the rest is raised (``CAPPING`` rounds). What is left of such a cell's weight comes as
-``weight``, by which the kept tokens meet the margins. A document stays if a hash of its id, uniform
+``weight``, by which the kept tokens meet the margins; rows asked for without weights are sampled by ``bounded`` instead. A document stays if a hash of its id, uniform
 on [0, 1), lies below its cell's probability.
 
 Everything is DataFrame functions. Documents are read twice: once for the sums, combined before the
@@ -20,6 +20,8 @@ empty text; equal ids draw alike; no rows give no rows; other columns are ignore
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ from meterstone.llm.common import WORD, fresh, written
 
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 RATE, ROUNDS, CAPPING = 0.5, 10, 6
+#: Most rounds of the bounded raking, and the share of the sample by which every margin may then be off.
+BOUNDED, CLOSE = 30, 1e-3
 SALT = "mix:"
 
 
@@ -69,16 +73,62 @@ def probabilities(cells: DataFrame, rate: float = RATE, capping: int = CAPPING)
     return ratio.withColumn("probability", F.least(F.lit(1.0), F.col("ratio") * scale))
 
 
+def bounded(cells: DataFrame, powers: dict[str, float], rate: float = RATE, rounds: int = BOUNDED, close: float = CLOSE) -> tuple[DataFrame, float]:
+    """Cells with ``ratio`` and ``probability``, equal here, and the largest share by which a margin of the expected sample is off.
+
+    ``rate`` of the tokens are raked to the margins' targets, but no cell beyond its own tokens: a cell that would
+    pass them is frozen there and the rest of its margin is raked to what remains. A value whose tokens fall short of its
+    target is wanted whole, and the other values take the difference by their shares.
+    """
+    total = cells.agg(F.sum("tokens").alias("t")).first().t or 0.0
+    now = cells.withColumn("raked", F.col("tokens") * rate)
+    for m, power in powers.items():
+        sums = cells.groupBy(m).agg(F.sum("tokens").alias("own"))
+        sums = written(sums.withColumn("share", F.pow(F.col("own") / max(total, 1.0), F.lit(power))), "targets")
+        scale, before = 0.0, -1.0
+        while scale > before:  # ends when no further value falls short
+            before = scale
+            short = F.col("share") * scale >= F.col("own")
+            got = sums.agg(F.sum(F.when(short, F.col("own")).otherwise(0.0)).alias("full"), F.sum(F.when(short, 0.0).otherwise(F.col("share"))).alias("open")).first()
+            scale = max(scale, (rate * total - got.full) / got.open) if got.open else scale
+        now = now.join(sums.select(m, F.least(F.col("own"), F.col("share") * scale).alias(f"target_{m}")), m)
+    now = written(now, "bounded")
+    off = 0.0
+    for _ in range(rounds):
+        for m in powers:
+            full = F.col("raked") >= F.col("tokens")
+            sums = now.groupBy(m).agg(F.first(f"target_{m}").alias("want"), F.sum("raked").alias("all"), F.sum(F.when(full, F.col("raked")).otherwise(0.0)).alias("full"))
+            rest = F.col("all") - F.col("full")
+            up = F.when(rest > 0, (F.col("want") - F.col("full")) / rest).otherwise(1.0)
+            sums = sums.select(m, (F.col("want") < F.col("all")).alias("down"), F.when(F.col("want") < F.col("all"), F.col("want") / F.col("all")).otherwise(up).alias("factor"))
+            moved = F.when(full & ~F.col("down"), F.col("tokens")).otherwise(F.least(F.col("tokens"), F.col("raked") * F.col("factor")))
+            now = written(now.join(sums, m).withColumn("raked", moved).drop("down", "factor"), "bounded")
+        off = max(now.groupBy(m).agg(F.abs(F.sum("raked") - F.first(f"target_{m}")).alias("d")).agg(F.max("d").alias("d")).first().d or 0.0 for m in powers) / max(rate * total, 1.0)
+        if off < close:
+            break
+    p = F.least(F.lit(1.0), F.col("raked") / F.col("tokens"))
+    return now.drop(*[f"target_{m}" for m in powers]).withColumn("ratio", p).withColumn("probability", p), off
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
         topic: Column | None = None, powers: dict[str, float] | None = None, rate: float = RATE, rounds: int = ROUNDS, report: bool = True) -> DataFrame:
-    """The sampled rows of ``docs``; with ``report`` as (id, source, lang, topic, weight, probability), else with their own columns."""
+    """The sampled rows of ``docs``; with ``report`` as (id, source, lang, topic, weight, probability), else with their own columns.
+
+    Rows without a weight have to meet the margins by themselves: their probabilities are raked within bounds.
+    A margin that is off by more than ``CLOSE`` of the sample is warned of.
+    """
     powers = powers or POWERS
     text = F.col(f"`{text_col}`").cast("string")
     margins = {"source": F.col(f"`{source_col}`").cast("string"), "lang": F.col(f"`{lang_col}`").cast("string"), "topic": topic if topic is not None else surface_topic(text)}
     margins = {m: F.coalesce(c, F.lit("")) for m, c in margins.items()}
     counted = docs.select(*[c.alias(m) for m, c in margins.items()], F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).alias("tokens"))
     cells = written(counted.groupBy(*margins).agg(F.sum("tokens").cast("double").alias("tokens")), "cells")
-    filled = probabilities(rake(cells.where("tokens > 0"), powers, rounds), rate)
+    if report:
+        filled = probabilities(rake(cells.where("tokens > 0"), powers, rounds), rate)
+    else:
+        filled, off = bounded(cells.where("tokens > 0"), powers, rate)
+        if off >= CLOSE:
+            warnings.warn(f"mixing: a margin of the sample is off by {off:.4f} of its tokens", stacklevel=2)
     empty = cells.where("tokens = 0").select(*margins, F.lit(1.0).alias("ratio"), F.lit(1.0).alias("probability"))
     names = {n: fresh(docs, f"cell_{n}") for n in (*margins, "ratio", "probability")}
     of = written(filled.select(*margins, "ratio", "probability").unionByName(empty).select(*[F.col(n).alias(names[n]) for n in names]), "cells")

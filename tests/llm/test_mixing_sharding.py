@@ -71,3 +71,37 @@ def test_places(spark, odd, none, tmp_path):
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
     sharding.write(odd.drop("shard"), str(tmp_path / "out"), shards=("a", "b"), size=101)
     assert spark.read.parquet(str(tmp_path / "out")).count() == odd.count()
+
+
+def test_unweighted_sample_meets_margins(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    margins = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.surface_topic(F.col("text"))}
+    tokens = docs.select(*[c.alias(m) for m, c in margins.items()], F.regexp_count("text", F.lit(mixing.WORD)).alias("tokens"))
+    cells = tokens.groupBy(*margins).agg(F.sum("tokens").cast("double").alias("tokens")).where("tokens > 0").cache()
+    filled, off = mixing.bounded(cells, mixing.POWERS)
+    rows, total = filled.collect(), cells.agg(F.sum("tokens")).first()[0]
+    assert all(0 < r.probability <= 1 for r in rows)
+    assert sum(r.tokens * r.probability for r in rows) == pytest.approx(mixing.RATE * total, rel=2e-3)
+    old, worst = mixing.probabilities(mixing.rake(cells, mixing.POWERS)).collect(), {}
+    for m, power in mixing.POWERS.items():
+        own = Counter()
+        for r in rows:
+            own[r[m]] += r.tokens
+        share = {v: (t / total) ** power for v, t in own.items()}
+        want, room = {}, mixing.RATE * total
+        while True:  # values that fall short are wanted whole
+            open_ = [v for v in own if v not in want]
+            scale = room / sum(share[v] for v in open_)
+            short = [v for v in open_ if share[v] * scale > own[v]]
+            if not short:
+                want |= {v: share[v] * scale for v in open_}
+                break
+            want |= {v: own[v] for v in short}
+            room -= sum(own[v] for v in short)
+        for name, sample in (("new", rows), ("old", old)):
+            got = Counter()
+            for r in sample:
+                got[r[m]] += r.tokens * r.probability
+            worst[name] = max(worst.get(name, 0), max(abs(got[v] - want[v]) for v in own) / (mixing.RATE * total))
+    print("largest difference of a margin", worst, off)
+    assert worst["new"] == pytest.approx(off, abs=1e-6) and worst["new"] < 2e-3 < worst["old"]
