@@ -109,6 +109,34 @@ def _ranked(placed: DataFrame) -> DataFrame:
     return kept.join(begins, ["part", "curve"]).select("curve", (F.col("at") - F.col("first") + F.col("before")).alias("rank"), "entry", "vec")
 
 
+def nearest(q: np.ndarray, held: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(ids, exact distances) of the k rows of ``held`` nearest to each row of ``q``, ties to smaller ids.
+
+    Squared distances are first taken expanded, about the block's mean. Each lies within ``bound`` of the exact one, so
+    all rows up to the k-th value and both their bounds are ranked by exact distances, however many there are.
+    """
+    k, middle = min(k, len(held)), held.mean(0)
+    x, y = q - middle, held - middle
+    own, other = (x ** 2).sum(1), (y ** 2).sum(1)
+    approx = own[:, None] + other[None] - 2 * x @ y.T
+    # sums of n products err by n roundings of |x|^2, |y|^2 and 2|x||y| <= |x|^2 + |y|^2 each; centring errs by a
+    # rounding of the vectors' own size a component
+    n, eps = q.shape[1] + 8, np.finfo(float).eps
+    size = own[:, None] + other[None]
+    moved = eps * (np.sqrt((q ** 2).sum(1))[:, None] + np.sqrt((held ** 2).sum(1))[None] + 2 * np.sqrt((middle ** 2).sum()))
+    bound = 4 * n * eps * size + 4 * moved * (np.sqrt(size) + moved)
+    bound = np.where(np.isfinite(bound + approx), bound, np.inf)
+    approx = np.where(np.isfinite(bound), approx, 0.0)
+    most = np.partition(approx + bound, k - 1, axis=1)[:, k - 1]
+    out = []
+    for i, some in enumerate(approx - bound <= most[:, None]):
+        some = np.flatnonzero(some | ~np.isfinite(bound[i]))
+        exact = np.sqrt(((held[some] - q[i]) ** 2).sum(1))
+        pick = np.lexsort((ids[some], exact))[:k]
+        out.append((ids[some][pick], exact[pick]))
+    return out
+
+
 def _search(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (unit, asks, entry, vec) sorted by unit, entries before queries: each unit's queries, a slice at a time, against its block."""
     unit, block, asking = None, [], []
@@ -118,14 +146,10 @@ def _search(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         if not asking or not len(ids):
             return
         own, q = np.array([i for i, _ in asking]), np.array([v for _, v in asking])
-        near = (q ** 2).sum(1)[:, None] + (held ** 2).sum(1)[None] - 2 * q @ held.T  # for the choice only, with a margin
-        take = min(len(ids), k + 6)
-        some = np.argpartition(near, take - 1, axis=1)[:, :take]
-        exact = np.sqrt(((held[some] - q[:, None]) ** 2).sum(2))
-        pick = np.lexsort((ids[some], exact), axis=1)[:, :k]
+        picks = nearest(q, held, ids, k)
+        count = np.array([len(i) for i, _ in picks])
         yield pa.RecordBatch.from_pydict({
-            "query": np.repeat(own, pick.shape[1]), "entry": np.take_along_axis(ids[some], pick, 1).ravel(),
-            "score": np.take_along_axis(exact, pick, 1).ravel()})
+            "query": np.repeat(own, count), "entry": np.concatenate([i for i, _ in picks]), "score": np.concatenate([d for _, d in picks])})
 
     for batch in batches:
         columns = [batch.column(i) for i in range(4)]

@@ -49,3 +49,16 @@ def test_copies_ties_and_odd_rows(spark):
     assert hilbert.neighbours(df.limit(0), df.limit(0)).count() == 0
     few = df.where("vec_id in (8, 100)")
     assert [(r.query_id, r.vec_id) for r in hilbert.neighbours(few, few).orderBy("query_id").collect()] == [(8, 100), (100, 8)]
+
+
+def test_every_tie_is_ranked_exactly():
+    rng = np.random.default_rng(3)
+    binary = np.unique(rng.integers(0, 2, (1700, 16)).astype(float), axis=0)
+    spread = rng.normal(size=(500, 16))
+    for x in (binary, np.eye(300), np.round(spread * 2) / 2, spread + 1e7, np.vstack([spread, spread[:1] * 1e9])):
+        ids = rng.permutation(len(x))
+        q = x[:60]
+        for (got, score), one in zip(hilbert.nearest(q, x, ids, 11), q):
+            d = np.sqrt(((x - one) ** 2).sum(1))
+            want = np.lexsort((ids, d))[:11]
+            assert got.tolist() == ids[want].tolist() and np.array_equal(score, d[want])
