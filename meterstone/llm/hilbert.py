@@ -2,8 +2,8 @@
 
 Equal vectors are one entry of the index, with all their ids in a side table, so a common vector is
 no large group. Every entry is placed on ``CURVES`` Hilbert curves: each takes ``DIMS`` directions of
-a random rotation, cuts the projections into cells shifted by a random part of a cell, and orders the
-cells. Spark range-partitions (curve, key); ranks along a curve come from partition sizes. A curve is
+a random rotation, cuts the projections into cells at quantiles shifted by a random part of a cell, and
+orders the cells. Spark range-partitions (curve, key); ranks along a curve come from partition sizes. A curve is
 cut into blocks of ``BLOCK`` ranks, a query goes to the blocks that overlap its window of keys, and
 each block ranks its own entries against its queries with exact distances. The best of all blocks and
 curves merge, and ids are put back, so scores are exact distances of original vectors.
@@ -13,7 +13,7 @@ structure (as the given vectors, independent in 64 dimensions) a curve tells nea
 slightly, so most of recall has to come from width: that share keeps recall about even at all sizes.
 For clustered vectors a smaller one will do.
 
-The rotation, shifts and cell widths come from a fixed seed and from one aggregate over all vectors.
+The rotation and shifts come from a fixed seed, the cell edges from approximate quantiles over all vectors.
 
 Results for odd input: vectors that are null, zero, empty or hold null or non-finite components, and
 rows without id, take no part; rows of equal id each count, and a query leaves out the rows of its own
@@ -24,6 +24,7 @@ ties go to the smaller id; no queries give no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ from pyspark.sql.window import Window
 from meterstone.llm.common import arrow_map, written
 
 CURVES, DIMS, BITS, BLOCK, LEAST, SHARE, SEED = 16, 8, 3, 2048, 256, 0.08, 7
+#: Of every batch each STEP-th value goes into the quantiles of a projection; they are taken at LEVELS places.
+STEP, LEVELS = 16, 200
 
 
 def hilbert_keys(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -79,13 +82,24 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.array(column.to_pylist(), dtype=np.float64)
 
 
-def place(vectors: np.ndarray, mean: np.ndarray, spread: float, curves: int, dims: int, bits: int, seed: int) -> Iterator[np.ndarray]:
-    """Keys of the vectors on each curve; cells span four deviations about the mean."""
+def levels(curves: int, dims: int, bits: int, seed: int) -> np.ndarray:
+    """Shares of the vectors below each cell edge (curves, dims, edges): a normal spread cut evenly over four deviations, shifted by part of a cell."""
     shift = np.random.default_rng(seed + 1).uniform(0, 1, (curves, dims))
-    width = 4 * spread / (2 ** bits - 1)
-    for c, d in enumerate(directions(vectors.shape[1], curves, dims, seed)):
-        cell = np.floor(((vectors - mean) @ d + 2 * spread) / width + shift[c])
-        yield hilbert_keys(np.clip(cell, 0, 2 ** bits - 1).astype(np.int64), bits)
+    at = -2 + 4 * (np.arange(1, 2 ** bits) - shift[..., None]) / (2 ** bits - 1)
+    return np.vectorize(NormalDist().cdf)(at)
+
+
+def summary(vectors: np.ndarray, curves: int, dims: int, seed: int, step: int = STEP) -> np.ndarray:
+    """Every ``step``-th value, in order, of each projection (curve after curve): one column a projection."""
+    ordered = np.sort(vectors @ np.hstack(directions(vectors.shape[1], curves, dims, seed)), axis=0)
+    return ordered[min(step // 2, (len(ordered) - 1) // 2)::step]
+
+
+def place(vectors: np.ndarray, edges: np.ndarray, bits: int, seed: int) -> Iterator[np.ndarray]:
+    """Keys of the vectors on each curve; ``edges`` (curves, dims, edges) part the cells."""
+    for own, d in zip(edges, directions(vectors.shape[1], edges.shape[0], edges.shape[1], seed)):
+        x = vectors @ d
+        yield hilbert_keys(np.stack([np.searchsorted(e, x[:, i], side="right") for i, e in enumerate(own)], axis=1), bits)
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -179,17 +193,29 @@ def neighbours(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "ve
     seen = entries.agg(F.count("*").alias("n"), F.first(F.size("vec")).alias("size")).first()
     if not seen.n:
         return rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
-    flat = entries.select(F.posexplode("vec").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("mean"), F.var_pop("x").alias("var")).collect()
-    mean = np.array([r["mean"] for r in sorted(flat, key=lambda r: r["i"])])
-    spread = max(float(np.sqrt(np.mean([r["var"] for r in flat]))), 1e-12)
     dims = min(dims, seen.size)
+    shares = levels(curves, dims, bits, SEED)
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = summary(_matrix(batch.slice(at, 4096).column(0)), curves, dims, SEED)
+                yield pa.RecordBatch.from_pydict({"projection": np.tile(np.arange(part.shape[1], dtype=np.int32), len(part)), "value": part.ravel()})
+
+    # quantiles of all vectors, so that far ones do not widen the cells of the rest
+    points = arrow_map(entries.select("vec"), summarise, "projection int, value double")
+    wanted = sorted(set(shares.ravel().tolist()))
+    wanted = [wanted[i] for i in np.linspace(0, len(wanted) - 1, min(len(wanted), LEVELS)).astype(int)]
+    cuts = points.groupBy("projection").agg(F.percentile_approx("value", wanted, 2000).alias("at")).collect()
+    at_level = {r.projection: np.array(r["at"]) for r in cuts}
+    edges = np.array([[np.interp(shares[c, i], wanted, at_level[c * dims + i]) for i in range(dims)] for c in range(curves)])
 
     def place_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
                 x = _matrix(part.column(1))
-                for c, key in enumerate(place(x, mean, spread, curves, dims, bits, SEED)):
+                for c, key in enumerate(place(x, edges, bits, SEED)):
                     yield pa.RecordBatch.from_pydict({"curve": np.full(len(x), c, dtype=np.int32), "key": key, "entry": part.column(0), "vec": part.column(1)})
 
     placed = arrow_map(entries.select("entry", "vec"), place_all, "curve int, key long, entry long, vec array<double>")

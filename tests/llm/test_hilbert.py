@@ -62,3 +62,23 @@ def test_every_tie_is_ranked_exactly():
             d = np.sqrt(((x - one) ** 2).sum(1))
             want = np.lexsort((ids, d))[:11]
             assert got.tolist() == ids[want].tolist() and np.array_equal(score, d[want])
+
+
+def test_recall_with_outliers_and_clusters(spark):
+    rng = np.random.default_rng(8)
+    unit = rng.normal(size=(3000, 64))
+    unit /= np.sqrt((unit ** 2).sum(1))[:, None]
+    far = unit.copy()
+    far[5] *= 1e4
+    clustered = rng.normal(size=(5, 64))[rng.integers(0, 5, 3000)] * 100 + unit
+    for x in (far, clustered):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        got = {}
+        for r in hilbert.neighbours(df, df.where("vec_id % 60 = 0"), least=40, block=64).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        hit = 0
+        for q in range(0, 3000, 60):
+            d = ((x - x[q]) ** 2).sum(1)
+            hit += len(got[q] & set(np.argsort(d, kind="stable")[1:11].tolist()))
+        print("recall", hit / 500)
+        assert hit >= 0.9 * 500
