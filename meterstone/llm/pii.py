@@ -3,8 +3,7 @@
 The base patterns give e-mail, ip, card and phone spans. The tagger adds spans of secrets, names and
 numbers of persons: a conditional random field over word-shape features, trained from the small table
 in ``pii_labels`` by gradient ascent on its likelihood in log space, and decoded by Viterbi in numpy
-batches. Sequences are laid out around every cue (``MARK``) of the whole text: cue words, titles and
-long words with digits; words far from any cue are not tagged.
+batches. All tokens of a text are decoded, but for those of base spans, in blocks that overlap.
 
 Results for odd input: null texts count as empty; every input row gives one row, repeated ids
 included; an empty text has no spans; very long texts are read whole, and every pattern runs in time
@@ -72,8 +71,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 TOKEN = re.compile(r"[^\W_]+(?:[-'][^\W_]+)*|[^\w\s]|_")
 CUES = frozenset("token key secret password passwd apikey api jeton clave schlüssel name mr mrs ms dr mme contact passport account tax ssn iban no number id signed appelle".split())
-#: Words on either side of a marked word that are laid out with it.
+#: Words before a word in which cues count.
 REACH = 4
+#: Tokens of a block to decode, tokens decoded with it on either side, and words whose class is kept.
+BLOCK, LAP, KEPT = 512, 32, 300_000
 OUT = 0
 TAGS = ("O", *(f"{p}-{k}" for k in KINDS[4:] for p in "BI"))
 
@@ -134,7 +135,7 @@ class Tagger:
             square_m += up_m ** 2
             self.emit += rate * up_e / np.sqrt(square_e)
             self.move += np.where(self.move > -1e3, rate * up_m / np.sqrt(square_m), 0.0)
-        self.scores: dict[tuple, np.ndarray] = {}
+        self.learned()
 
     @staticmethod
     def parse(line: str) -> tuple[list[str], list[int]]:
@@ -164,11 +165,43 @@ class Tagger:
                 up_m -= np.exp(ahead[i - 1][:, None] + self.move + (e[i] + back[i])[None] - total)
                 up_m[tags[i - 1], t] += 1
 
+    def learned(self) -> None:
+        """Tables of the weights by class of word (shape, cue, hexadecimal), so that a word is looked at once."""
+        self.classes: dict[tuple, int] = {}
+        self.of: dict[str, int] = {}
+        none = np.zeros(len(TAGS))
+        self.weight = lambda f: self.emit[self.number[f]] if f in self.number else none
+        self.edges = self.weight("s-1=edge"), self.weight("s1=edge")
+        self.rows: list[tuple] = []
+        self.tables: list[np.ndarray] = []
+
+    def kind(self, word: str) -> int:
+        low, (_, own, *rest) = word.lower(), features([word], 0)
+        cue = low if low in CUES else ""
+        key = own[3:], cue, "hex" in rest
+        if key not in self.classes:
+            self.classes[key] = len(self.classes)
+            row = self.weight("bias") + self.weight(own) + self.weight("is=" + cue) + (self.weight("hex") if key[2] else 0.0)
+            self.rows.append((row, self.weight("s-1=" + key[0]), self.weight("s1=" + key[0]), self.weight("cue=" + cue)))
+            self.tables = []
+        if len(self.of) >= KEPT:
+            self.of.clear()
+        self.of[word] = self.classes[key]
+        return self.of[word]
+
     def emissions(self, words: list[str]) -> np.ndarray:
-        out = np.zeros((len(words), len(TAGS)))
-        for i in range(len(words)):
-            own = [self.number[f] for f in features(words, i) if f in self.number]
-            out[i] = self.emit[own].sum(0)
+        of = self.of
+        c = np.array([of[w] if w in of else self.kind(w) for w in words], dtype=np.int64)
+        if not self.tables:
+            self.tables = [np.array(t) for t in zip(*self.rows)]
+        own, after, before, cue = self.tables
+        out = own[c]
+        out[0] += self.edges[0]
+        out[1:] += after[c[:-1]]
+        out[-1] += self.edges[1]
+        out[:-1] += before[c[1:]]
+        for k in range(1, REACH + 1):
+            out[k:] += cue[c[:-k]]
         return out
 
     def viterbi(self, rows: list[np.ndarray]) -> list[np.ndarray]:
@@ -201,60 +234,54 @@ class Tagger:
                 out[k] = row[:n]
         return out
 
+    def decode(self, rows: list[np.ndarray]) -> list[np.ndarray]:
+        """Best tags of sequences of any length: in blocks of BLOCK tokens, each decoded with LAP more tokens on either side."""
+        parts = [(k, at) for k, r in enumerate(rows) for at in range(0, len(r), BLOCK)]
+        tags = self.viterbi([rows[k][max(0, at - LAP):at + BLOCK + LAP] for k, at in parts])
+        out = [np.zeros(len(r), dtype=int) for r in rows]
+        for (k, at), own in zip(parts, tags):
+            piece = out[k][at:at + BLOCK]
+            piece[:] = own[min(at, LAP):][:len(piece)]
+        return out
+
     @staticmethod
-    def windows(text: str, base: list[tuple[int, int, int]]) -> list[list[re.Match]]:
-        """Token runs around words with digits, inner capitals or cues; base spans are left out."""
-        out: list[list[re.Match]] = []
-        covered = -1
-        for m in MARK.finditer(text):
-            if m.start() < covered:
-                continue
-            a = m.start()
-            for _ in range(REACH):  # back over words
-                a = text.rfind(" ", 0, max(0, a - 1)) + 1 if a > 0 else 0
-                if m.start() - a > 200:
-                    a = max(0, m.start() - 200)
-                    break
-            b = min(len(text), m.end() + 160)
-            a, covered = max(a, covered, 0), b
-            if out and out[-1][-1].end() > a:
-                a = out[-1][-1].end()
-            own = list(TOKEN.finditer(text, a, b))
-            own = [t for t in own if not any(s < t.end() and t.start() < e for s, _, e in base)]
-            if own:
-                out.append(own)
+    def tokens(text: str, base: list[tuple[int, int, int]]) -> list[re.Match]:
+        """All tokens of a text but those that meet a base span."""
+        own = list(TOKEN.finditer(text))
+        if not base:
+            return own
+        out, at = [], 0
+        merged: list[list[int]] = []
+        for a, _, b in base:  # sorted by start
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], b)
+            else:
+                merged.append([a, b])
+        for t in own:
+            while at < len(merged) and merged[at][1] <= t.start():
+                at += 1
+            if at == len(merged) or t.end() <= merged[at][0]:
+                out.append(t)
         return out
 
     def spans(self, texts: list[str], base: list[list[tuple[int, int, int]]]) -> list[list[tuple[int, int, int]]]:
-        laid, owner = [], []
-        for k, text in enumerate(texts):
-            for run in self.windows(text, base[k]):
-                laid.append(run)
-                owner.append(k)
-        tags = self.viterbi([self.emissions([t.group() for t in run]) for run in laid])
+        laid = [self.tokens(t, b) for t, b in zip(texts, base)]
+        full = [k for k, run in enumerate(laid) if run]
+        tags = self.decode([self.emissions([t.group() for t in laid[k]]) for k in full])
         out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-        for k, run, own in zip(owner, laid, tags):
-            i = 0
-            while i < len(run):
-                if own[i] != OUT and TAGS[own[i]][0] == "B":
-                    kind, j = TAGS[own[i]][2:], i + 1
-                    while j < len(run) and TAGS[own[j]] == "I-" + kind:
-                        j += 1
-                    out[k].append((run[i].start(), KINDS.index(kind), run[j - 1].end()))
-                    i = j
-                else:
-                    i += 1
+        for k, own in zip(full, tags):
+            run, at = laid[k], 0
+            for i in np.flatnonzero(own).tolist():
+                if i < at:
+                    continue
+                kind, j = TAGS[own[i]][2:], i + 1
+                while j < len(run) and TAGS[own[j]] == "I-" + kind:
+                    j += 1
+                out[k].append((run[i].start(), KINDS.index(kind), run[j - 1].end()))
+                at = j
         return out
 
 
-#: Where a window begins: a cue word before a separator or a capital or digit, or a long word with digits.
-MARK = re.compile(
-    r"(?i:\b(?:token|api_?key|key|secret|passw(?:or)?d|clave|jeton|schlüssel|passport|account|ssn|iban|tax)\b)(?=[^\n]{0,20}[0-9=:])"
-    r"|\b(?:Mr|Mrs|Ms|Dr|Mme)\.|\b(?:[Nn]ame is|Name ist|[Cc]ontact:|[Ss]igned by)"
-    r"|\b(?=[A-Za-z]{0,40}[0-9])(?=[0-9]{0,40}[A-Za-z])[0-9A-Za-z]{16,}"
-)
-
-
 @lru_cache(maxsize=1)
 def tagger() -> Tagger:
     return Tagger()

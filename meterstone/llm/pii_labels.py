@@ -45,4 +45,8 @@ LABELLED = (
     'Mr. and Mrs. went home. Dr. is a title.',
     'the contact between both parts is lost, account closed.',
     'Ertion | tien | ea | anesble | that | to, | rean | 2026 | 100%',
+    'The house was old. Later The men came. Winter Days were short.',
+    'Das Haus war alt. Heute Abend kommen sie. Gestern Morgen nicht.',
+    'They went home. Then Nobody spoke, and so on. Still Nothing came.',
+    'La maison. Les Deux et une. Hier Soir on est là.',
 )

@@ -73,3 +73,31 @@ def test_odd_rows(spark, odd, none):
     assert one.spans == "email:5:13,ip:17:25"
     clean = pii.redact(spark.createDataFrame([(text, one.spans), ("none", "")], "text string, spans string")).collect()
     assert [r.text for r in clean] == ["mail <email> or <ip>", "none"]
+
+
+def test_whole_texts_are_decoded():
+    own, rng = pii.tagger(), random.Random(6)
+    secret = pii.KINDS.index("secret")
+    filler = "thn erenst anhe onatea eror " * 8
+    hexed = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    for gap in range(0, 40):  # a second cue at every distance from the first
+        a, b = hexed(40), hexed(40)
+        text = f'{filler}token = "{a}" {"x" * gap} {filler[:100 + gap]} token = "{b}" {filler}'
+        assert [(x, y) for x, k, y in own.spans([text], [[]])[0] if k == secret] == [(text.index(v), text.index(v) + 40) for v in (a, b)]
+    for n in (161, 400, 5000):
+        key = hexed(n)
+        text = f'{filler}token = "{key}" {filler}'
+        assert own.spans([text], [[]])[0] == [(text.index(key), secret, text.index(key) + n)]
+
+
+def test_blocks_give_the_tags_of_the_whole():
+    import numpy as np
+
+    own, rng = pii.tagger(), random.Random(7)
+    lines = [" ".join(own.parse(x)[0]) for x in pii.LABELLED]
+    words = pii.TOKEN.findall(" ".join(rng.choice(lines) for _ in range(600)))
+    assert len(words) > 5 * pii.BLOCK
+    e = own.emissions(words)
+    assert np.array_equal(own.decode([e])[0], own.viterbi([e])[0])
+    plain = np.array([sum(own.emit[own.number[f]] for f in pii.features(words, i) if f in own.number) for i in range(500)])
+    assert np.allclose(plain[:499], e[:499])
