@@ -150,8 +150,8 @@ def _compare(radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         start = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]]) if len(unit) else np.zeros(0, dtype=int)
         size = np.diff(np.r_[start, len(unit)])
         pieces = [np.arange(s, s + n) for s, n in zip(start.tolist(), size.tolist()) if n > TOGETHER]
-        small = np.repeat((size > 1) & (size <= TOGETHER), size)
-        pieces += np.array_split(np.flatnonzero(small), max(1, int(small.sum()) // 16384)) if small.any() else []
+        small = np.flatnonzero(np.repeat((size > 1) & (size <= TOGETHER), size))
+        pieces += [small[a:b] for a, b in runs_of(unit[small], 16384)]
         for at in pieces:
             pairs = links(bits[at], unit[at], radius)
             if pairs:

@@ -114,3 +114,14 @@ def test_similar_groups_are_those_of_brute_force(spark, tile):
     assert len(pairs) > 20
     got = simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), tile=tile)
     assert {r.doc_id: r.component_id for r in got.collect()} == want
+
+
+def test_large_batches_are_cut_between_units():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(11)
+    base = rng.integers(-2 ** 63, 2 ** 63 - 1, 40_000 // 40, dtype=np.int64)
+    unit, bits = np.repeat(np.arange(len(base)), 40), np.repeat(base, 40)
+    bits[1:] ^= np.where(np.arange(1, len(bits)) % 40 == 0, 0, np.int64(1) << (np.arange(1, len(bits)) % 40))
+    got = pa.Table.from_batches(list(simhash._compare(4, iter([pa.RecordBatch.from_pydict({"unit": unit, "bits": bits})]))))
+    assert got.num_rows == len(base) * 39  # a spanning set of each unit
