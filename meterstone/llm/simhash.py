@@ -202,7 +202,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def shingle_sets(df: DataFrame, id_col: str, text_col: str, words: int, percent: int | None = None) -> DataFrame:
-    """(id, node, bits, size, hashes): the sorted shingle hashes of every text, named by their digest; with
+    """(id, node, bits, size, hashes): the sorted shingle hashes of every text, named by 64 bits of their digest; with
     ``percent`` only the least ones, of which two sets of that similarity share one."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,12 +210,12 @@ def shingle_sets(df: DataFrame, id_col: str, text_col: str, words: int, percent:
             own = [np.unique(shingle_hashes(t, words)) for t in part.column(1).to_pylist()]
             keys = own if percent is None else [h[:len(h) + (-percent * len(h)) // 100 + 1] if len(h) else h for h in own]
             yield pa.RecordBatch.from_pydict({
-                "id": part.column(0), "node": [hashlib.md5(h.tobytes()).hexdigest() for h in own],
+                "id": part.column(0), "node": np.array([int.from_bytes(hashlib.md5(h.tobytes()).digest()[:8], "little", signed=True) for h in own], dtype=np.int64),
                 "bits": np.array([fingerprint(h) for h in own], dtype=np.uint64).view(np.int64),
                 "size": pa.array([len(h) for h in own], pa.int64()),
                 "hashes": pa.array([h.view(np.int64) for h in keys], pa.list_(pa.int64()))})
 
-    return map_text(df, id_col, text_col, work, f"id {id_type(df, id_col)}, node string, bits long, size long, hashes array<long>")
+    return map_text(df, id_col, text_col, work, f"id {id_type(df, id_col)}, node long, bits long, size long, hashes array<long>")
 
 
 def _candidates(radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,8 +237,8 @@ def _candidates(radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
                 apart = root[i] != root[j] if len(i) else np.zeros(0, dtype=bool)
                 i, j = i[apart], j[apart]
                 if len(i):
-                    a, b = np.where(node[i] < node[j], node[i], node[j]), np.where(node[i] < node[j], node[j], node[i])
-                    yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
+                    a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+                    yield pa.RecordBatch.from_pydict({"a": a, "b": b})
                 shift += 1
 
     held: pa.Table | None = None
@@ -268,10 +268,13 @@ def runs_of(unit: np.ndarray, rows: int) -> Iterator[tuple[int, int]]:
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = STAGE_WORDS, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
     """(id, component_id): one row a document; groups of documents linked by shingle sets that share ``percent`` in 100 of their union."""
     own = written(shingle_sets(df, id_col, text_col, words, percent), "least-hashes")
-    nodes = written(own.groupBy("node").agg(F.min("id").alias("least"), F.first("bits").alias("bits"), F.first("size").alias("size"), F.first("hashes").alias("hashes")), "nodes")
-    keyed = nodes.select("node", "bits", "size", F.explode("hashes").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("node", "size")).alias("star")).where("n > 1")
-    held = written(keyed.join(shared, "key").select("key", "node", "bits", "size", "n", "star"), "held")
+    nodes = written(own.groupBy("node").agg(F.min("id").alias("least"), F.first("bits").alias("bits"), F.first("size").alias("size")), "nodes")
+    keyed = own.select("node", F.explode("hashes").alias("key"))  # two numbers a row: most keys have one node and go at once
+    shared = keyed.groupBy("key").agg(F.min("node").alias("star"), F.max("node").alias("last")).where("star < last").select("key", "star")
+    held = keyed.join(shared, "key").groupBy("key", "node").agg(F.first("star").alias("star"))
+    stars = nodes.select(F.col("node").alias("star"), F.col("size").alias("star_size"))
+    held = written(held.join(nodes.select("node", "bits", "size"), "node").join(stars, "star"), "held")
+    count = held.groupBy("key").agg(F.count("*").alias("n"))
     # whole sets of the nodes that share a key, each from one of its documents
     wanted = held.select("node").distinct().join(nodes.select("node", "least"), "node").select(F.col("least").alias("w")).distinct()
     some = df.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t")).join(wanted.hint("shuffle_hash"), F.expr("i <=> w"), "left_semi")
@@ -284,16 +287,16 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return written(common.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b"), "similar")
 
     near = lambda m, n: 100 * F.least(m, n) >= percent * F.greatest(m, n)
-    first = similar(held.where((F.col("node") != F.col("star.node")) & near(F.col("size"), F.col("star.size"))).select(F.col("star.node").alias("a"), F.col("node").alias("b")))
+    first = similar(held.where((F.col("node") != F.col("star")) & near(F.col("size"), F.col("star_size"))).select(F.col("star").alias("a"), F.col("node").alias("b")))
     roots = connected(first)
-    placed = held.join(roots, "node", "left").select("key", "node", "bits", "size", "n", F.coalesce("root", "node").alias("root"))
+    placed = held.join(roots, "node", "left").select("key", "node", "bits", "size", F.coalesce("root", "node").alias("root"))
     placed = written(placed, "placed")
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+    open_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key").join(count, "key")
     tiles = F.ceil(F.col("n") / tile).cast("int")
     dealt = placed.join(open_keys, "key").select("key", "node", "bits", "size", "root", tiles.alias("tiles"), F.pmod(F.xxhash64("node"), tiles).cast("int").alias("tile"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     units = dealt.select(F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")).alias("unit"), "bits", "node", "size", "root")
-    more = arrow_map(units.repartition("unit").sortWithinPartitions("unit"), lambda it: _candidates(WIDE, it), "a string, b string")
+    more = arrow_map(units.repartition("unit").sortWithinPartitions("unit"), lambda it: _candidates(WIDE, it), "a long, b long")
     links = first.unionByName(similar(more))
     tops = connected(links)
     top = nodes.select("node", "least").join(tops, "node", "left").withColumn("root", F.coalesce("root", "node"))
