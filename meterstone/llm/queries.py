@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterstone.llm import bpe, context_tree, hilbert, linededup, mixing, pii, quality, sharding, simhash, toxicity, warc
+from meterstone.llm import bpe, context_tree, hilbert, linededup, mixing, periods, pii, quality, sharding, simhash, spelling, toxicity, warc
 from meterstone.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sharding": lambda spark, d: sharding.place(table(spark, d, "documents")).select("doc_id", "slot", "shard"),
     "op8_toxicity": lambda spark, d: toxicity.score(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_quality": lambda spark, d: quality.assess(table(spark, d, "documents")),
+    "op11_spelling": lambda spark, d: spelling.variants(table(spark, d, "documents"), spoil=True),
+    "op12_periods": lambda spark, d: periods.find(table(spark, d, "documents"), tails=True),
     "op13_context_tree": lambda spark, d: context_tree.score(table(spark, d, "documents")),
 }
 SQL: dict[str, str] = {
