@@ -3,12 +3,13 @@
 Each task gives the distinct new words of its texts to DuckDB. There a recursive query keeps every
 word's tokens, joins their positions with the merge table and contracts the word's leftmost pair of
 minimum rank, until no pair of any word merges. Decoding joins token positions with the vocabulary
-and aggregates the bytes in order. What one task has found for a word or a run of tokens is kept for
-its next batches (bounded, see ``KEPT``), so the queries see a word about once.
+and aggregates the bytes in order. A text's ids are those of its words in order, so a round trip decodes the ids of each
+distinct word once. What one task has found for a word or a run of tokens is kept for its next batches (bounded, see
+``KEPT``; the older half goes first), so the queries see a word about once.
 
 Results for odd input: a null text counts as empty; an empty text has no ids and decodes to no bytes;
 every input row gives one row, repeated ids included; other columns are ignored. Words above
-``LONG_WORD`` bytes, where a query step per merge would be quadratic, are contracted by a heap with
+``LONG_WORD`` bytes, where a query step per merge copies the whole word, are contracted by a heap with
 the same order of merges.
 """
 
@@ -20,6 +21,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,8 @@ from pyspark.sql import functions as F
 
 from meterstone.llm.common import arrow_map, id_type, map_text, slices
 
-LONG_WORD = 512
-#: Words and token runs a task remembers; beyond that it forgets all and goes on.
+LONG_WORD = 96
+#: Words and token runs a task remembers; beyond that it forgets the older half.
 KEPT = 500_000
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
@@ -103,7 +105,8 @@ class Codec:
         self.fill("merges", pa.table({"a": a, "b": b, "merged": r}))
         self.fill("vocabulary", pa.table({"token": pa.array(self.ranks.values(), pa.int32()), "bytes": [t.hex() for t in self.ranks]}))
         self.ids: dict[str, bytes] = {}
-        self.bytes: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.runs: dict[bytes, bytes] = {}
 
     def fill(self, name: str, rows: pa.Table) -> None:
         self.con.register("given", rows)
@@ -118,8 +121,6 @@ class Codec:
 
     def learn(self, words: list[str]) -> None:
         """Ids of words not met before."""
-        if len(self.ids) + len(words) > KEPT:
-            self.ids.clear()
         todo = []
         for w in words:
             b = w.encode()
@@ -162,13 +163,37 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as int32 bytes."""
+        return self.round_trip(texts, False)[0]
+
+    def round_trip(self, texts: list[str], back: bool = True) -> tuple[list[bytes], list[bytes]]:
+        """Ids of each text as int32 bytes, and (with ``back``) the bytes that decoding them gives."""
         words = [split_words(t) for t in texts]
-        new = set().union(*words).difference(self.ids) if words else set()
-        if len(self.ids) + len(new) > KEPT:
-            new = set().union(*words)
-        self.learn(list(new))
-        of = self.ids.__getitem__
-        return [b"".join(map(of, w)) for w in words]
+        distinct = set().union(*words)
+        self.learn(list(distinct.difference(self.ids)))
+        ids = self.ids
+        out = [b"".join(map(ids.__getitem__, w)) for w in words]
+        decoded = []
+        if back:
+            new = list(distinct.difference(self.words))
+            self.words.update(zip(new, self.bytes_of([ids[w] for w in new])))
+            decoded = [b"".join(map(self.words.__getitem__, w)) for w in words]
+        forget(self.ids)
+        forget(self.words)
+        return out, decoded
+
+    def bytes_of(self, runs: list[bytes]) -> list[bytes]:
+        """The bytes of runs of ids."""
+        out: list[bytes] = []
+        for at in range(0, len(runs), 50_000):
+            part = runs[at:at + 50_000]
+            ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in part])]).astype(np.int32)
+            tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(part), dtype=np.int32)))
+            found = self.ask("runs", pa.table({"run": pa.array(np.arange(len(part), dtype=np.int32)), "tokens": tokens}), DECODE)
+            own: list = [b""] * len(part)
+            for k, b in zip(found["run"].to_pylist(), found["bytes"].to_pylist()):
+                own[k] = b
+            out += own
+        return out
 
     def decode(self, rows: list[np.ndarray]) -> list[bytes]:
         """Bytes of each id sequence: cut before tokens that begin a word, each distinct run is decoded once."""
@@ -178,20 +203,18 @@ class Codec:
             cuts = np.flatnonzero(self.opens[ids[1:]]) + 1 if len(ids) else []
             at = [0, *(np.asarray(cuts) * 4).tolist(), len(raw)]
             runs.append([raw[a:b] for a, b in zip(at, at[1:])] if len(ids) else [])
-        new = set().union(*runs).difference(self.bytes) if runs else set()
-        if len(self.bytes) + len(new) > KEPT:
-            self.bytes.clear()
-            new = set().union(*runs)
-        new = list(new)
-        for at in range(0, len(new), 50_000):
-            part = new[at:at + 50_000]
-            ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in part])]).astype(np.int32)
-            tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(part), dtype=np.int32)))
-            out = self.ask("runs", pa.table({"run": pa.array(np.arange(len(part), dtype=np.int32)), "tokens": tokens}), DECODE)
-            for k, b in zip(out["run"].to_pylist(), out["bytes"].to_pylist()):
-                self.bytes[part[k]] = b
-        of = self.bytes.__getitem__
-        return [b"".join(map(of, r)) for r in runs]
+        new = list(set().union(*runs).difference(self.runs))
+        self.runs.update(zip(new, self.bytes_of(new)))
+        out = [b"".join(map(self.runs.__getitem__, r)) for r in runs]
+        forget(self.runs)
+        return out
+
+
+def forget(kept: dict) -> None:
+    """Drops the older half of what goes over ``KEPT``."""
+    if len(kept) > KEPT:
+        for k in list(islice(kept, len(kept) - KEPT // 2)):
+            del kept[k]
 
 
 @lru_cache(maxsize=2)
@@ -207,10 +230,10 @@ def _id_lists(raw: list[bytes]) -> pa.Array:
 def _encoded(path: str, batches: Iterator[pa.RecordBatch], back: bool) -> Iterator[pa.RecordBatch]:
     own = codec(path)
     for part in slices(batches):
-        raw = own.encode(part.column(1).to_pylist())
+        raw, decoded = own.round_trip(part.column(1).to_pylist(), back)
         out = {"id": part.column(0), "ids": _id_lists(raw)}
         if back:
-            out["bytes"] = pa.array(own.decode([np.frombuffer(x, dtype=np.int32) for x in raw]), pa.binary())
+            out["bytes"] = pa.array(decoded, pa.binary())
         yield pa.RecordBatch.from_pydict(out)
 
 
