@@ -10,11 +10,12 @@ stored as 64 vertical bit planes. A shift of the planes by s compares every fing
 s places on; carry-save counters, themselves bit planes, hold all these distances at once, and a block
 is left once every distance in it exceeds the radius. Tasks give a spanning set of links, not all pairs.
 
-``drop_near_duplicates`` can instead link by the similarity of the shingle sets themselves (``similar_groups``):
-two sets that share ``PERCENT`` in 100 of their union share one of the least hashes of each (as many as may
-differ, and one), so these are exact keys too. Equal sets are one node. Of every key all nodes are held
-against its least node first; what this leaves in different groups is compared by bit planes with the
-radius ``WIDE``, and every candidate's similarity is counted on the whole sets.
+``drop_near_duplicates`` can instead link by the similarity of the shingle sets themselves (``similar_groups``), exactly: shingles
+are put in one order, the rarest first (by their counts in ``SKETCH`` cells, which any corpus fits into), and two sets that share ``percent`` in
+100 of their union share one of the first few of each, so these are exact keys; places in the order and set sizes
+bound what a pair can share. Equal sets are one node. Of every key all nodes are held against its least node first. Keys whose
+nodes are then still in different groups are compared by bit planes with the radius ``WIDE``, which finds nearly all links, and what
+is left in different groups after that pair by pair, whatever the distance. Every candidate's similarity is counted on the whole sets.
 
 Results for odd input: null and empty texts have fingerprint zero and link like any other; repeated
 ids give one row each; a null id takes its group's smallest id and never is one (null if the group
@@ -31,14 +32,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from meterstone.llm.common import arrow_map, fresh, id_type, map_text, slices, written
 from meterstone.llm.components import connected
 
 WORDS, RADIUS, SEED, TILE = 4, 4, 42, 4096
 #: The rule of corpus stages: words a shingle, shared shingles in 100 of the union; fingerprints of such pairs
-#: differ in 10 to 12 of 64 bits with a deviation of 3, so that next to none is beyond WIDE.
-STAGE_WORDS, PERCENT, WIDE = 5, 80, 24
+#: differ in 10 to 12 of 64 bits with a deviation of 3, so that few are left for the comparison without a radius (ANY).
+STAGE_WORDS, PERCENT, WIDE, ANY = 5, 80, 24, 64
+#: Cells in which the documents of shingles are counted; bounds what reaches the driver and the tasks (1 MB).
+SKETCH = 1 << 18
 #: Groups up to this size are compared together, larger ones alone.
 TOGETHER = 64
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -201,41 +205,71 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return own.join(of, "bits").select(F.col("id").alias(id_col), hexed, "component_id")
 
 
-def shingle_sets(df: DataFrame, id_col: str, text_col: str, words: int, percent: int | None = None) -> DataFrame:
+def rarity(df: DataFrame, id_col: str, text_col: str, words: int) -> np.ndarray:
+    """For each of ``SKETCH`` cells its place by the number of documents that have its shingles, counted over all texts."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(SKETCH, dtype=np.int64)
+        for part in slices(batches):
+            own = [np.unique(shingle_hashes(t, words)) for t in part.column(1).to_pylist()]
+            count += np.bincount((np.concatenate(own) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+        at = np.flatnonzero(count)
+        yield pa.RecordBatch.from_pydict({"cell": at.astype(np.int32), "n": count[at]})
+
+    cells = map_text(df, id_col, text_col, work, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    count = np.zeros(SKETCH, dtype=np.int64)
+    count[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+    return np.unique(count, return_inverse=True)[1].astype(np.int32)
+
+
+def shingle_sets(df: DataFrame, id_col: str, text_col: str, words: int, percent: int | None = None, rare: np.ndarray | None = None) -> DataFrame:
     """(id, node, bits, size, hashes): the sorted shingle hashes of every text, named by 64 bits of their digest; with
-    ``percent`` only the least ones, of which two sets of that similarity share one."""
+    ``percent`` only the rarest ones, of which two sets of that similarity share one, the rarest first."""
+
+    def keys(h: np.ndarray) -> np.ndarray:
+        if percent is None or not len(h):
+            return h
+        ordered = h[np.lexsort((h, rare[(h % np.uint64(SKETCH)).astype(np.int64)]))]
+        return ordered[:len(h) + (-percent * len(h)) // 100 + 1]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             own = [np.unique(shingle_hashes(t, words)) for t in part.column(1).to_pylist()]
-            keys = own if percent is None else [h[:len(h) + (-percent * len(h)) // 100 + 1] if len(h) else h for h in own]
             yield pa.RecordBatch.from_pydict({
                 "id": part.column(0), "node": np.array([int.from_bytes(hashlib.md5(h.tobytes()).digest()[:8], "little", signed=True) for h in own], dtype=np.int64),
                 "bits": np.array([fingerprint(h) for h in own], dtype=np.uint64).view(np.int64),
                 "size": pa.array([len(h) for h in own], pa.int64()),
-                "hashes": pa.array([h.view(np.int64) for h in keys], pa.list_(pa.int64()))})
+                "hashes": pa.array([keys(h).view(np.int64) for h in own], pa.list_(pa.int64()))})
 
     return map_text(df, id_col, text_col, work, f"id {id_type(df, id_col)}, node long, bits long, size long, hashes array<long>")
 
 
-def _candidates(radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of a unit within the radius whose roots differ, of rows (unit, bits, node, size, root) sorted by unit."""
+def can_share(m, i, n, j, percent: int, least):
+    """Whether sets of m and n shingles whose first common one is in places i and j can be similar enough."""
+    return (100 + percent) * (1 + least(m - 1 - i, n - 1 - j)) >= percent * (m + n)
+
+
+def _candidates(radius: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of a unit within the radius (ANY: all) that can be similar and whose roots differ, of rows (unit, bits, node, size, pos, root) sorted by unit."""
 
     def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         unit, bits = rows.column(0).to_numpy(), rows.column(1).to_numpy()
         for at, to in runs_of(unit, 16384):
             own, n, shift = planes(bits[at:to]), to - at, 1
             part = rows.slice(at, n)
-            node, size, root = (part.column(k).to_numpy() for k in (2, 3, 4))
+            node, size, pos, root = (part.column(k).to_numpy() for k in (2, 3, 4, 5))
             while shift < n:
                 same = unit[at + shift:to] == unit[at:to - shift]
                 if not same.any():
                     break
-                lanes = within(own, shift, int.from_bytes(np.packbits(same, bitorder="little").tobytes(), "little"), radius)
-                i = places(lanes, n) if lanes else np.zeros(0, dtype=int)
+                if radius < ANY:
+                    lanes = within(own, shift, int.from_bytes(np.packbits(same, bitorder="little").tobytes(), "little"), radius)
+                    i = places(lanes, n) if lanes else np.zeros(0, dtype=int)
+                else:
+                    i = np.flatnonzero(same)
                 j = i + shift
-                apart = root[i] != root[j] if len(i) else np.zeros(0, dtype=bool)
-                i, j = i[apart], j[apart]
+                open_pair = (root[i] != root[j]) & can_share(size[i], pos[i], size[j], pos[j], percent, np.minimum)
+                i, j = i[open_pair], j[open_pair]
                 if len(i):
                     a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
                     yield pa.RecordBatch.from_pydict({"a": a, "b": b})
@@ -266,40 +300,46 @@ def runs_of(unit: np.ndarray, rows: int) -> Iterator[tuple[int, int]]:
 
 
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = STAGE_WORDS, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
-    """(id, component_id): one row a document; groups of documents linked by shingle sets that share ``percent`` in 100 of their union."""
-    own = written(shingle_sets(df, id_col, text_col, words, percent), "least-hashes")
-    nodes = written(own.groupBy("node").agg(F.min("id").alias("least"), F.first("bits").alias("bits"), F.first("size").alias("size")), "nodes")
-    keyed = own.select("node", F.explode("hashes").alias("key"))  # two numbers a row: most keys have one node and go at once
-    shared = keyed.groupBy("key").agg(F.min("node").alias("star"), F.max("node").alias("last")).where("star < last").select("key", "star")
-    held = keyed.join(shared, "key").groupBy("key", "node").agg(F.first("star").alias("star"))
-    stars = nodes.select(F.col("node").alias("star"), F.col("size").alias("star_size"))
-    held = written(held.join(nodes.select("node", "bits", "size"), "node").join(stars, "star"), "held")
-    count = held.groupBy("key").agg(F.count("*").alias("n"))
-    # whole sets of the nodes that share a key, each from one of its documents
-    wanted = held.select("node").distinct().join(nodes.select("node", "least"), "node").select(F.col("least").alias("w")).distinct()
-    some = df.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t")).join(wanted.hint("shuffle_hash"), F.expr("i <=> w"), "left_semi")
-    sets = written(shingle_sets(some, "i", "t", words).groupBy("node").agg(F.first("size").alias("size"), F.first("hashes").alias("hashes")), "sets")
+    """(id, component_id): one row a document; groups of documents linked by shingle sets that share ``percent`` in 100 of their union.
+
+    Conventions for odd input are those of ``near_duplicates``; texts without words have equal sets and are one group.
+    """
+    own = written(shingle_sets(df, id_col, text_col, words, percent, rarity(df, id_col, text_col, words)), "rare-hashes")
+    nodes = own.groupBy("node").agg(F.min("id").alias("least"), F.first("bits").alias("bits"), F.first("size").alias("size"), F.first("hashes").alias("hashes"))
+    nodes = written(nodes, "nodes")
+    keyed = nodes.select("node", "size", F.posexplode("hashes").alias("pos", "key"))
+    group = Window.partitionBy("key")
+    least = F.min(F.struct("node", "size", "pos")).over(group).alias("star")
+    held = keyed.select("key", "node", "size", "pos", F.count("*").over(group).alias("n"), least).where("n > 1")
+    held = written(held.join(nodes.select("node", "bits"), "node"), "held")
 
     def similar(pairs: DataFrame) -> DataFrame:
-        both = (pairs.distinct().join(sets.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("hashes").alias("ha")), "a")
+        """The pairs whose whole sets are similar; sets are taken anew from one document of each node."""
+        pairs = written(pairs.distinct(), "pairs")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = written(ends.join(nodes.select("node", "least"), "node").select(F.col("least").alias("w")).distinct(), "wanted")
+        some = df.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t")).join(wanted, F.expr("i <=> w"), "left_semi")
+        sets = written(shingle_sets(some, "i", "t", words).groupBy("node").agg(F.first("size").alias("size"), F.first("hashes").alias("hashes")), "sets")
+        both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("hashes").alias("ha")), "a")
                 .join(sets.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("hashes").alias("hb")), "b"))
         common = both.select("a", "b", "na", "nb", F.size(F.array_intersect("ha", "hb")).cast("long").alias("common"))
         return written(common.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b"), "similar")
 
-    near = lambda m, n: 100 * F.least(m, n) >= percent * F.greatest(m, n)
-    first = similar(held.where((F.col("node") != F.col("star")) & near(F.col("size"), F.col("star_size"))).select(F.col("star").alias("a"), F.col("node").alias("b")))
-    roots = connected(first)
-    placed = held.join(roots, "node", "left").select("key", "node", "bits", "size", F.coalesce("root", "node").alias("root"))
-    placed = written(placed, "placed")
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key").join(count, "key")
-    tiles = F.ceil(F.col("n") / tile).cast("int")
-    dealt = placed.join(open_keys, "key").select("key", "node", "bits", "size", "root", tiles.alias("tiles"), F.pmod(F.xxhash64("node"), tiles).cast("int").alias("tile"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    units = dealt.select(F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")).alias("unit"), "bits", "node", "size", "root")
-    more = arrow_map(units.repartition("unit").sortWithinPartitions("unit"), lambda it: _candidates(WIDE, it), "a long, b long")
-    links = first.unionByName(similar(more))
-    tops = connected(links)
-    top = nodes.select("node", "least").join(tops, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    star = lambda c: F.col(f"star.{c}")
+    fits = can_share(F.col("size"), F.col("pos"), star("size"), star("pos"), percent, F.least)
+    links = similar(held.where((F.col("node") != star("node")) & fits).select(star("node").alias("a"), F.col("node").alias("b")))
+    roots = connected(links)
+    for radius in (WIDE, ANY):
+        placed = held.drop("star").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        open_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+        tiles = F.ceil(F.col("n") / tile).cast("int")
+        dealt = placed.join(open_keys, "key").withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        units = dealt.select(F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")).alias("unit"), "bits", "node", "size", F.col("pos").cast("long").alias("pos"), "root")
+        together = units.repartition("unit").sortWithinPartitions("unit")
+        links = links.unionByName(similar(arrow_map(together, lambda it, r=radius: _candidates(r, percent, it), "a long, b long")))
+        roots = connected(links)
+    top = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = top.groupBy("root").agg(F.min("least").alias("component_id"))
     of = top.join(groups, "root").select("node", "component_id")
     return own.join(of, "node").select(F.col("id").alias(id_col), "component_id")
