@@ -168,19 +168,8 @@ register(
     "SELECT band, outages_per_100k AS historical_outages_per_100k FROM m_bands WHERE outages_per_100k IS NOT NULL",
     "historical_outages_per_100k")
 
-# fitted by iteration: no check SQL
-register("visual_v16", lambda w: run_visual(fitted_tables(w), "v16"))
-register("visual_v18", lambda w: run_visual(fitted_tables(w), "v18"))
-register("metrics_backtest", lambda w: run_cards(fitted_tables(w), ["Backtest Actual Outages", "Backtest Predicted Outages"],
-                                                by=["Division.division"]))
-register("outage_model_coefficients", lambda w: fitted(w).coefficients)
-register("outage_model_backtest", lambda w: fitted(w).backtest)
-register("outage_model_metrics", lambda w: fitted(w).metrics)
-
 
 def fitted_forecast(w):
     m = fitted(w)
     return om.score_forecast(forecast(w), m.coefficients, m.divisions, m.bands, w.cfg)
 
-
-register("forecast_scored_fitted", fitted_forecast)

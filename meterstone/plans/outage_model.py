@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import UnsupportedOperationException
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterstone.functions.bands import band_field
 from meterstone.operators.fill import fill_down
+from meterstone.operators.poisson import fit_poisson
 from meterstone.operators.statistics import count_where, ratio, weighted_mean
+from meterstone.session import scratch_path
 from meterstone.settings import Settings
+from meterstone.sources.publish import publish
 
 c = F.col
 
@@ -84,24 +84,13 @@ class OutageFit:
 def fit(spark: SparkSession, grid: DataFrame) -> OutageFit:
     """Poisson regression with log link and log-customers offset.
 
-    Days without weather cannot be used and are left out. The eight
-    coefficients are the only thing that reaches the driver.
+    Days without weather cannot be used and are left out.
     """
     known = with_features(grid).dropna(subset=[*FEATURES, "exposure"])
-    data = VectorAssembler(inputCols=list(FEATURES), outputCol="terms").transform(known)
-    glm = GeneralizedLinearRegression(
-        family="poisson", link="log", featuresCol="terms", labelCol="events", offsetCol="exposure", maxIter=50, tol=1e-10
-    ).fit(data)
-    s = glm.summary
-    values = [float(glm.intercept), *[float(x) for x in glm.coefficients]]
-    try:
-        errors, p = list(s.coefficientStandardErrors), list(s.pValues)
-        errors, p = [errors[-1], *errors[:-1]], [p[-1], *p[:-1]]  # the intercept comes last there
-    except UnsupportedOperationException:
-        errors = p = [None] * len(values)  # a term without variation: no standard errors exist
-    rows = list(zip(("intercept", *FEATURES), values, errors, p))
+    told = fit_poisson(known, FEATURES, "events", "exposure")
+    rows = list(zip(("intercept", *FEATURES), told.coefficients, told.std_errors, told.p_values))
     table = spark.createDataFrame(rows, "term string, coefficient double, std_error double, p_value double")
-    return OutageFit(table, float(s.deviance), float(s.nullDeviance))
+    return OutageFit(table, told.deviance, told.null_deviance)
 
 
 def predict(df: DataFrame, coefficients: DataFrame, name: str) -> DataFrame:
@@ -205,7 +194,7 @@ def backtest_metrics(scored: DataFrame, grid: DataFrame, full: OutageFit, cfg: S
     daily = scored.groupBy("date").agg(F.sum("events").alias("_a"), F.sum("predicted_events").alias("_p"))
     link = daily.agg(F.corr("_a", "_p").alias("_corr"))
     train = grid.agg(F.countDistinct("date").alias("_days"))
-    one = main.crossJoin(link).crossJoin(train)
+    one = main.crossJoin(F.broadcast(link)).crossJoin(F.broadcast(train))  # one row each
     text = lambda x, d: F.round(x, d).cast("string")
     start = F.date_format(F.lit(cfg.backtest_start), "MMM yyyy")
     explained = 1 - full.deviance / full.null_deviance
@@ -271,8 +260,13 @@ class OutageModel:
 
 
 def train(spark: SparkSession, dates: DataFrame, geography: DataFrame, outages: DataFrame, cfg: Settings) -> OutageModel:
-    """Back-test on the held-out days, then fit on the whole window."""
-    grid = training_grid(dates, geography, outages, cfg).persist()
+    """Back-test on the held-out days, then fit on the whole window.
+
+    The grid is read in every step of two fits, so it is written to the shared folder once.
+    """
+    path = scratch_path(spark, "training-grid")
+    training_grid(dates, geography, outages, cfg).write.parquet(path)
+    grid = spark.read.parquet(path)
     bands = band_statistics(grid, cfg)
     early, late = split_by_day(grid, cfg)
     trial = fit(spark, early)
@@ -286,3 +280,15 @@ def train(spark: SparkSession, dates: DataFrame, geography: DataFrame, outages:
         metrics=backtest_metrics(scored, grid, full, cfg),
         risk_levels=risk_level_table(spark, cfg),
     )
+
+
+# Published names of the model tables.
+PUBLISHED = {
+    "outage_model_coefficients": "coefficients", "outage_model_bands": "bands", "outage_model_divisions": "divisions",
+    "outage_model_backtest": "backtest", "outage_model_metrics": "metrics", "outage_model_risk_levels": "risk_levels",
+}
+
+
+def publish_model(spark: SparkSession, model: OutageModel, folder: str) -> DataFrame:
+    """All model tables as one publication; the manifest names what it wrote."""
+    return publish(spark, {name: getattr(model, attribute) for name, attribute in PUBLISHED.items()}, folder)
