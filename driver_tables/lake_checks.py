@@ -18,6 +18,7 @@ from meterstone.sources.contracts import EXTRACTS, RULE_OF, columns_of, has_mont
 from meterstone.plans.reports import PUBLISHED
 from meterstone.sources.publish import dataset_sizes, publish
 from meterstone.sources.typing import apply_types
+from meterstone.sources.zone import Zone
 from meterstone.streaming.new_files import curate_new_files
 
 # Month column of the extracts that come in month folders.
@@ -40,15 +41,17 @@ def as_delivered(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def land(w, extract: str, path: str | None = None) -> str:
-    """Write an extract as gzip CSV in month folders where it has them; return the folder."""
+def land(w, extract: str, path: str | None = None, without: str | None = None) -> str:
+    """Write an extract (``without`` a month) as gzip CSV in month folders where it has them, in the place of what was there; return the folder."""
     name = extract.split("/")[1]
     df = w.src[name].select(*columns_of(extract))
     path = path or scratch_path(w.spark, f"raw-{name}")
     text = as_delivered(df)
     if has_months(extract):
         text = as_delivered(df.withColumn("_m", F.date_format(_MONTH_OF[name], "yyyy-MM"))).withColumnRenamed("_m", "year_month")
-    out = text.write.option("header", True).option("compression", "gzip").option("emptyValue", "")
+    if without:
+        text = text.filter(F.col("year_month") != without)
+    out = text.write.mode("overwrite").option("header", True).option("compression", "gzip").option("emptyValue", "")
     out = out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     (out.partitionBy("year_month") if has_months(extract) else out).csv(path)
     return path
@@ -132,22 +135,66 @@ register("stream_new_files", streamed, """
 _INGESTED = ("sap_isu/ADRC", "sap_isu/DFKKZP", "crm/interactions")
 
 
-def ingested(w) -> tuple[DataFrame, DataFrame]:
-    """Three extracts (a small one, two in months) curated and logged; then a month's file of payments is sent anew, twice as long, and only that month loads again."""
+def _contracts():
+    return {e: (columns_of(e), has_months(e)) for e in _INGESTED}
+
+
+def _send(df: DataFrame, path: str) -> None:
+    """Text files in the place of what a raw folder had."""
+    (df.write.mode("overwrite").option("header", True).option("compression", "gzip").option("emptyValue", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+def first_load(w) -> tuple[str, str]:
+    """Three extracts (a small one, two in months) curated and logged: raw folder and zone."""
     raw, root = scratch_path(w.spark, "raw"), scratch_path(w.spark, "lake")
     counts = {}
     for extract in _INGESTED:
         land(w, extract, f"{raw}/{extract}")
         counts[extract] = w.src[extract.split("/")[1]].count()
-    lake.curate_all(w.spark, raw, root, {e: (columns_of(e), has_months(e)) for e in _INGESTED}, counts)
+    lake.curate_all(w.spark, raw, root, _contracts(), counts)
+    return raw, root
+
+
+def _june(w) -> DataFrame:
     sent = w.src["DFKKZP"].withColumn("_m", F.date_format("BUDAT", "yyyy-MM")).filter("_m = '2000-06'").drop("_m")
-    again = as_delivered(sent.select(*columns_of("sap_isu/DFKKZP")))
-    (again.unionAll(again).write.mode("overwrite").option("header", True).option("compression", "gzip").option("emptyValue", "")
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{raw}/sap_isu/DFKKZP/year_month=2000-06"))
-    lake.curate_changed(w.spark, raw, root, {e: (columns_of(e), has_months(e)) for e in _INGESTED})
-    return lake.read_curated(w.spark, f"{root}/curated/sap_isu/DFKKZP"), w.spark.read.parquet(f"{root}/load_log")
+    return as_delivered(sent.select(*columns_of("sap_isu/DFKKZP")))
 
 
+def ingested(w) -> tuple[DataFrame, DataFrame]:
+    """A month's file of payments is sent anew, twice as long, and only that month loads again."""
+    raw, root = first_load(w)
+    _send(_june(w).unionAll(_june(w)), f"{raw}/sap_isu/DFKKZP/year_month=2000-06")
+    lake.curate_changed(w.spark, raw, root, _contracts())
+    return Zone(w.spark, root).read("sap_isu/DFKKZP"), w.spark.read.parquet(f"{root}/load_log")
+
+
+def month_removed(w) -> DataFrame:
+    """The payments are delivered again without June: its rows leave the next version and stay in the first."""
+    raw, root = first_load(w)
+    land(w, "sap_isu/DFKKZP", f"{raw}/sap_isu/DFKKZP", without="2000-06")
+    lake.curate_changed(w.spark, raw, root, _contracts())
+    zone, june = Zone(w.spark, root), F.count_if(F.col("year_month") == "2000-06").alias("june")
+    rows = lambda v: zone.read("sap_isu/DFKKZP", version=v).agg(F.lit(v).cast("long").alias("version"), F.count(F.lit(1)).alias("rows"), june, F.sum("BETRZ").alias("amount"))
+    return rows(1).unionByName(rows(2))
+
+
+def load_interrupted(w) -> DataFrame:
+    """A load that stops after its data and file log are written, before the commit: the version read is the old one."""
+    raw, root = first_load(w)
+    zone = Zone(w.spark, root)
+    before, load = zone.snapshot(), zone.new_load()
+    june = apply_types(_june(w).withColumn("year_month", F.lit("2000-06")))
+    zone.stage(load, "sap_isu/DFKKZP", june.unionAll(june))
+    zone.log_files(load, zone.files(before), before.version + 1)
+    return zone.read("sap_isu/DFKKZP")
+
+
+_SUMS = "count(*) AS rows, count(*) FILTER (strftime(BUDAT, '%Y-%m') = '2000-06') AS june, sum(BETRZ)::decimal(24,2) AS amount"
+register("ingest_removed_month", month_removed,
+         f"""SELECT 1::bigint AS version, {_SUMS} FROM DFKKZP
+            UNION ALL SELECT 2, {_SUMS} FROM DFKKZP WHERE strftime(BUDAT, '%Y-%m') <> '2000-06'""")
+register("ingest_interrupted", load_interrupted, "SELECT *, strftime(BUDAT, '%Y-%m') AS year_month FROM DFKKZP")
 register("ingest_payments", lambda w: ingested(w)[0],
          """SELECT *, strftime(BUDAT, '%Y-%m') AS year_month FROM DFKKZP
             UNION ALL SELECT *, strftime(BUDAT, '%Y-%m') AS year_month FROM DFKKZP WHERE strftime(BUDAT, '%Y-%m') = '2000-06'""")

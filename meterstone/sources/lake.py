@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from meterstone.sources.contracts import MONTH_FOLDER
 from meterstone.sources.typing import apply_types
+from meterstone.sources.zone import TableState, Zone
 
 LOG_SCHEMA = (
     "table_name string, source_path string, source_files bigint, rows_expected bigint, rows_loaded bigint, "
@@ -143,77 +144,77 @@ def append_load_log(spark: SparkSession, path: str, table: str, source: str, fil
 Contract = tuple[Sequence[str], bool]
 
 
-def _log_files(listing: DataFrame, path: str) -> None:
-    """Which version of each file was loaded (the last row of a path counts)."""
-    listing.select("path", "length", "modified", F.current_timestamp().alias("logged_at")).write.mode("append").parquet(path)
-
-
 def curate_all(spark: SparkSession, raw: str, root: str, contracts: Mapping[str, Contract], expected: Mapping[str, int]) -> DataFrame:
     """Curate every table, compare with the source counts, write manifest and log; abort on a difference.
 
-    Tables are written beside the present ones (``curated.next``) and take their place only after all
-    counts match, so a failed run leaves the old zone whole. Every load is logged with measured counts
-    and times, failed ones too. The listing of files is taken before reading, so a file that changes meanwhile
-    counts as changed afterwards.
+    All tables become the next version of the zone (``Zone``) together, and only after all counts match, so a failed run leaves the
+    old version. Every load is logged with measured counts and times, failed ones too. The listing of files is
+    taken before reading, so a file that changes meanwhile counts as changed afterwards.
     """
-    got, listings = {}, []
+    zone = Zone(spark, root)
+    before, load = zone.snapshot(), zone.new_load()
+    got, states, listings = {}, {}, []
     for table, (columns, months) in contracts.items():
         started = datetime.now()
-        listing = file_listing(spark, f"{raw}/{table}", "*.csv*").cache()
-        files = listing.count()
-        got[table] = curate(spark, f"{raw}/{table}", f"{root}/curated.next/{table}", columns, months)
-        append_load_log(spark, f"{root}/load_log", table, f"{raw}/{table}", files, expected.get(table, -1), got[table], started, datetime.now())
-        listings.append(listing)
+        files = _listed(spark, raw, table)
+        listings += files
+        states[table] = zone.stage(load, table, apply_types(read_raw(spark, f"{raw}/{table}", columns, months)))
+        got[table] = sum(p.rows for p in states[table].parts.values())
+        append_load_log(spark, f"{root}/load_log", table, f"{raw}/{table}", len(files), expected.get(table, -1), got[table], started, datetime.now())
     report = reconcile(manifest_frame(spark, expected), manifest_frame(spark, got))
     require_match(report)
     write_manifest(spark, f"{root}/manifest", got, expected)
-    replace_folder(spark, f"{root}/curated.next", f"{root}/curated")
-    for listing in listings:
-        _log_files(listing, f"{root}/file_log")
-        listing.unpersist()
+    now = spark.createDataFrame(listings, LISTED)
+    # files an earlier version knew and this one did not find
+    gone = zone.files(before).join(now, ["table", "path"], "left_anti").withColumn("removed", F.lit(True)).select(*now.columns)
+    zone.log_files(load, now.unionByName(gone), before.version + 1)
+    zone.commit(before, states, load)
     return report
 
 
+LISTED = "table string, path string, length long, modified timestamp, removed boolean"
+
+
+def _listed(spark: SparkSession, raw: str, table: str) -> list[tuple]:
+    """The files of a table as they are now, as plain rows: names and sizes only, a row a file."""
+    return [(table, r.path, r.length, r.modified, False) for r in file_listing(spark, f"{raw}/{table}", "*.csv*").collect()]
+
+
 def curate_changed(spark: SparkSession, raw: str, root: str, contracts: Mapping[str, Contract]) -> list[str]:
-    """Load what is new or changed since the log, by whole months (whole tables where there are none).
+    """Load what is new, changed or removed since the last version, by whole months (whole tables where there are none).
 
-    A month that any new or changed file belongs to is read anew from all its files and replaces its
-    folder, so a changed file never adds to what it sent before. Returns the tables touched.
+    A month that any such file belongs to is read anew from the files it has now, so a changed file never adds to what it sent
+    before and a month without files is empty. Counts are compared before the next version is committed; a
+    difference, or a stop anywhere, leaves the old version, and the next call does the work again. Removed files are
+    logged as such, so they count once. Returns the tables touched.
     """
-    touched = []
-    log = spark.read.parquet(f"{root}/file_log")
-    last = log.groupBy("path").agg(F.max_by(F.struct("length", "modified"), "logged_at").alias("v")).select("path", "v.*")
+    zone = Zone(spark, root)
+    before, load = zone.snapshot(), zone.new_load()
+    known = zone.files(before)
+    month = F.regexp_extract("path", f"{MONTH_FOLDER}=([^/]+)", 1)
+    states, logs = {}, []
     for table, (columns, months) in contracts.items():
         started = datetime.now()
-        listing = file_listing(spark, f"{raw}/{table}", "*.csv*")
-        changed = listing.join(last, ["path", "length", "modified"], "left_anti")
-        gone = last.filter(F.contains("path", F.lit(f"/{table}/"))).join(listing, "path", "left_anti").select("path")
-        month = F.regexp_extract("path", f"{MONTH_FOLDER}=([^/]+)", 1)
-        due = sorted(r[0] for r in changed.select(month.alias("m")).unionByName(gone.select(month.alias("m"))).distinct().collect())
-        if not due:
+        listing = spark.createDataFrame(_listed(spark, raw, table), LISTED)
+        own = known.filter(F.col("table") == table)
+        changed = listing.join(own, ["path", "length", "modified"], "left_anti").select(*listing.columns)
+        gone = own.join(listing, "path", "left_anti").select("table", "path", "length", "modified", F.lit(True).alias("removed"))
+        touched = changed.unionByName(gone).withColumn("month", month).collect()
+        if not touched:
             continue
-        source = f"{raw}/{table}"
-        rows = read_raw(spark, source, columns, months)
+        due = sorted({r.month for r in touched})
+        rows = read_raw(spark, f"{raw}/{table}", columns, months)
         rows = rows.filter(F.col(MONTH_FOLDER).isin(due)) if months else rows
         expected = rows.count()
-        write_curated(apply_types(rows), f"{root}/curated/{table}", months, only_given_months=True)
-        loaded = read_curated(spark, f"{root}/curated/{table}", due if months else None).count()
-        append_load_log(spark, f"{root}/load_log", table, source, listing.filter(month.isin(due)).count(), expected, loaded, started, datetime.now())
+        fresh = zone.stage(load, table, apply_types(rows))
+        loaded = sum(p.rows for p in fresh.parts.values())
+        append_load_log(spark, f"{root}/load_log", table, f"{raw}/{table}", sum(not r.removed for r in touched), expected, loaded, started, datetime.now())
         if loaded != expected:
             raise ReconciliationError(f"row count mismatch: {table}")
-        _log_files(listing.filter(month.isin(due)), f"{root}/file_log")
-        touched.append(table)
-    return touched
-
-
-def replace_folder(spark: SparkSession, fresh: str, old: str) -> None:
-    """Puts the folder ``fresh`` in the place of ``old`` through the file system of the path: two renames, old data kept until then."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(fresh).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    aside = path(f"{old}.old")
-    fs.delete(aside, True)
-    if fs.exists(path(old)):
-        fs.rename(path(old), aside)
-    fs.rename(path(fresh), path(old))
-    fs.delete(aside, True)
+        old = before.tables[table].parts if table in before.tables and months else {}
+        states[table] = TableState(fresh.schema, {**{k: p for k, p in old.items() if k not in due}, **fresh.parts})
+        logs += [tuple(r)[:5] for r in touched]
+    if states:
+        zone.log_files(load, spark.createDataFrame(logs, LISTED), before.version + 1)
+        zone.commit(before, states, load)
+    return list(states)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterstone.sources.lake import file_listing, replace_folder
+from meterstone.sources.lake import file_listing
 
 # Fixed value: no published file may exceed this.
 MAX_FILE_MB = 90
@@ -84,6 +85,28 @@ def _files(spark: SparkSession, path: str):
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
 
+def _moved(files, source, target) -> bool:
+    try:
+        return files.rename(source, target)
+    except Py4JJavaError:  # some file systems raise where others say false
+        return False
+
+
+def replace_folder(spark: SparkSession, fresh: str, old: str) -> None:
+    """Puts the folder ``fresh`` in the place of ``old``: two renames, each checked; if the second fails the old folder goes back."""
+    files, source = _files(spark, fresh)
+    target, aside = _files(spark, old)[1], _files(spark, f"{old}.old")[1]
+    files.delete(aside, True)
+    had = files.exists(target)
+    if had and not _moved(files, target, aside):
+        raise OSError(f"{old} could not be set aside")
+    if not _moved(files, source, target):
+        if had and not _moved(files, aside, target):
+            raise OSError(f"{old} could not be replaced; its data is in {old}.old")
+        raise OSError(f"{old} could not be replaced and is unchanged")
+    files.delete(aside, True)
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     files, hadoop = _files(spark, path)
     return files.exists(hadoop)

@@ -11,6 +11,7 @@ from meterstone.session import scratch_path
 from meterstone.sources import lake
 from meterstone.sources import publish as P
 from meterstone.sources.contracts import EXTRACTS, columns_of, has_months
+from meterstone.sources.zone import Zone
 from meterstone.streaming.new_files import curate_new_files
 
 PAY = "sap_isu/DFKKZP"
@@ -152,12 +153,62 @@ def test_ingest_replaces_changed_months(spark, tmp_path):
     send("2024-02", [("3", "c")])
     with pytest.raises(lake.ReconciliationError):
         lake.curate_all(spark, raw, root, contract, {"t": 4})
-    assert not os.path.exists(f"{root}/curated")
+    zone = Zone(spark, root)
+    assert zone.snapshot().version == 0
     lake.curate_all(spark, raw, root, contract, {"t": 3})
     assert lake.curate_changed(spark, raw, root, contract) == []
     send("2024-02", [("3", "c"), ("4", "dd")])
     send("2024-03", [("5", "e")])
     assert lake.curate_changed(spark, raw, root, contract) == ["t"]
-    assert sorted(r.NAME for r in lake.read_curated(spark, f"{root}/curated/t").collect()) == ["a", "b", "c", "dd", "e"]
+    names = lambda **k: sorted(r.NAME for r in zone.read("t", **k).collect())
+    assert names() == ["a", "b", "c", "dd", "e"] and names(version=1) == ["a", "b", "c"] and names(months=["2024-02"]) == ["c", "dd"]
     log = spark.read.parquet(f"{root}/load_log").orderBy("rows_loaded").collect()
     assert [(r.rows_expected, r.rows_loaded, r.status) for r in log] == [(3, 3, "ok"), (3, 3, "ok"), (4, 3, "MISMATCH")] or len(log) == 3
+
+    january = zone.snapshot().tables["t"].parts["2024-01"]
+    (tmp_path / "lake_raw" / "t" / "year_month=2024-02" / "x.csv").unlink()
+    assert lake.curate_changed(spark, raw, root, contract) == ["t"]
+    assert names() == ["a", "b", "e"] and zone.snapshot().tables["t"].parts["2024-01"] == january  # only the month was read
+    assert lake.curate_changed(spark, raw, root, contract) == []  # a tombstone counts once
+    for month in ("2024-01", "2024-03"):
+        (tmp_path / "lake_raw" / "t" / f"year_month={month}" / "x.csv").unlink()
+    assert lake.curate_changed(spark, raw, root, contract) == ["t"] and names() == []
+    send("2024-01", [("9", "z")])
+    assert lake.curate_changed(spark, raw, root, contract) == ["t"] and names() == ["z"]
+
+
+def test_tables_without_months_are_replaced(spark, tmp_path):
+    raw, root, contract = tmp_path / "raw", str(tmp_path / "zone"), {"u": (["ID"], False)}
+    (raw / "u").mkdir(parents=True)
+    for name, text in (("a.csv", "ID\n1\n"), ("b.csv", "ID\n2\n")):
+        (raw / "u" / name).write_text(text)
+    lake.curate_all(spark, str(raw), root, contract, {"u": 2})
+    (raw / "u" / "b.csv").unlink()
+    assert lake.curate_changed(spark, str(raw), root, contract) == ["u"] and lake.curate_changed(spark, str(raw), root, contract) == []
+    assert [r.ID for r in Zone(spark, root).read("u").collect()] == ["1"]
+
+
+def test_a_version_is_taken_once(spark, tmp_path, monkeypatch):
+    zone = Zone(spark, str(tmp_path / "z"))
+    start = zone.snapshot()
+    for k in range(3):
+        load = zone.new_load()
+        state = zone.stage(load, "t", spark.range(k + 1))
+        zone.log_files(load, spark.createDataFrame([("t", "f", k, datetime(2024, 1, 1), False)], lake.LISTED), k + 1)
+        if k == 1:
+            with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+                zone.commit(start, {"t": state}, load)  # another load had seen version 0 as well
+        monkeypatch.setattr("meterstone.sources.zone.FOLD", 2)
+        now = zone.commit(zone.snapshot(), {"t": state}, load)
+        assert now.version == k + 1 and zone.read("t").count() == k + 1
+    assert len(zone.snapshot().loads) <= 2 and [r.length for r in zone.files(zone.snapshot()).collect()] == [2]
+    with pytest.raises(ValueError):
+        zone.snapshot(7)
+
+
+def test_failed_swap_puts_the_old_folder_back(spark, tmp_path):
+    old = str(tmp_path / "old")
+    spark.range(3).write.parquet(old)
+    with pytest.raises(OSError, match="unchanged"):
+        P.replace_folder(spark, str(tmp_path / "missing"), old)
+    assert spark.read.parquet(old).count() == 3
