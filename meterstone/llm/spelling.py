@@ -311,7 +311,9 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def neighbours(found: DataFrame) -> DataFrame:
     """(word, n_near, form_n, form): words of ``found`` (word, n) with a word one edit away, their number and the most frequent one."""
     total = found.count()
-    sample = [r.word for r in found.select("word").orderBy(F.xxhash64("word"), "word").limit(SAMPLE).collect()]
+    cells = 1 << 24  # words whose hash lies in the first cells: about SAMPLE and a half at most reach the driver, from all partitions together
+    few = found.select("word").where(F.pmod(F.xxhash64("word"), F.lit(cells)) < int(min(1.0, 1.25 * SAMPLE / max(total, 1)) * cells))
+    sample = [r.word for r in few.orderBy(F.xxhash64("word"), "word").limit(SAMPLE).collect()]
     rows = placed(found, upper_trees(sample, max(total, 1)))
     rows = written(rows, "placed-words")
     tiles = F.ceil(F.count("*") * F.first("length") / LETTERS).cast("int").alias("tiles")
