@@ -6,9 +6,10 @@ ends after a fixed number of steps, far beyond convergence. Numbers here are wri
 
 from __future__ import annotations
 
-from driver_tables.model_checks import fitted, fitted_forecast, fitted_tables
+from driver_tables.metric_checks import placed
+from driver_tables.model_checks import fitted, fitted_forecast, fitted_tables, forecast_model
 from driver_tables.oracle import BLOCKS
-from driver_tables.queries import register
+from driver_tables.queries import SQL, register
 from meterstone.plans import outage_model as om
 from meterstone.plans.metrics import column_name
 from meterstone.plans.visuals import run_cards, run_visual
@@ -132,6 +133,18 @@ register("visual_v18", lambda w: run_visual(fitted_tables(w), "v18"), "SELECT me
 register("metrics_backtest", lambda w: run_cards(fitted_tables(w), ["Backtest Actual Outages", "Backtest Predicted Outages"], by=["Division.division"]),
          f"""SELECT division, sum(actual_outages)::bigint AS {column_name('Backtest Actual Outages')}, sum(predicted_outages) AS {column_name('Backtest Predicted Outages')}
              FROM m_backtest_table GROUP BY division""", column_name("Backtest Predicted Outages"))
+# the visuals of the forecast page in their display order
+placed("v14", "forecast_date", forecast_model,
+       "SELECT forecast_date, sum(predicted_outages) AS forecast_outages, max(max_gust_mph) AS max_gust_mph FROM m_scored GROUP BY ALL", "forecast_outages max_gust_mph")
+placed("v15", "forecast_date, division, max_gust_mph, precip_in, predicted_outages, risk_level", forecast_model,
+       "SELECT forecast_date, division, max_gust_mph, precip_in, predicted_outages, risk_level FROM m_scored", "max_gust_mph precip_in predicted_outages")
+placed("v16", "date", fitted_tables,
+       "SELECT date, sum(actual_outages)::bigint AS backtest_actual_outages, sum(predicted_outages) AS backtest_predicted_outages FROM m_backtest_table GROUP BY date",
+       "backtest_predicted_outages")
+placed("v17", "(SELECT band_order FROM m_bands_list l WHERE l.band = q.band), band", fitted_tables,
+       "SELECT band, outages_per_100k AS historical_outages_per_100k FROM m_bands WHERE outages_per_100k IS NOT NULL", "historical_outages_per_100k")
+placed("v18", "metric_order", fitted_tables, "SELECT metric, value, metric_order FROM m_metrics", "")
+SQL["visual_v18_placed"] = SQL["visual_v18_placed"].replace("SELECT *, row_number()", "SELECT metric, value, row_number()")
 register("forecast_scored_fitted", fitted_forecast, "SELECT * FROM m_scored_fitted",
          "predicted_outages baseline_outages risk_ratio predicted_customers_out predicted_customer_minutes max_gust_mph max_wind_mph precip_in temp_max_f temp_min_f temp_avg_f cdd hdd")
 register("outage_model_published", lambda w: om.publish_model(w.spark, fitted(w), scratch_path(w.spark, "model")).select("dataset", "rows", "columns"),

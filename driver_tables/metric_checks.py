@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from driver_tables.queries import register, reports
 from meterstone.plans.metrics import MetricModel, column_name, model_tables
-from meterstone.plans.visuals import run_cards, run_visual
+from meterstone.plans.visuals import placed_visual, run_cards, run_visual
 
 YEAR = 2000
 DIVISION, PERIOD_YEAR = "Division.division", "Period.year"
@@ -291,6 +291,30 @@ def _visual(name: str) -> None:
 for _name in VISUAL_SQL:
     _visual(_name)
 
+# The display order of each saved visual that has one, written out.
+_MONTH = "(SELECT any_value(p.period_key) FROM r_period p WHERE p.year_month = q.year_month), year_month"
+PLACES = {
+    "v01": _MONTH, "v04": f"{_MONTH}, aging_bucket", "v06": _MONTH, "v19": f"{_MONTH}, order_type", "v24": _MONTH, "v26": _MONTH,
+    "v29": f"{_MONTH}, order_type", "v05": "past_due_amt DESC NULLS LAST, customer_name, segment, division, oldest_days_past_due",
+    "v07": "payments_usd DESC NULLS LAST, channel", "v08": "date",
+    "v09": "(SELECT any_value(d.day_of_week) FROM r_date d WHERE d.day_name = q.day_name), day_name",
+    "v12": "customer_minutes DESC NULLS LAST, cause", "v13": "customer_minutes DESC NULLS LAST, circuit_id, division",
+    "v20": "open_backlog DESC NULLS LAST, asset_class", "v21": "date", "v22": "total_contacts DESC NULLS LAST, reason",
+    "v23": "total_contacts DESC NULLS LAST, channel", "v28": "avg_cycle_days DESC NULLS LAST, order_type",
+    "v30": "past_due_amt DESC NULLS LAST, customer_id, customer_name, segment, address_line, city, elec_rate_code, is_autopay, is_low_income, open_amt",
+    "v31": "bill_date DESC NULLS LAST, bill_type, kwh, therms, total_amt, paid_amt, due_date",
+    "v32": "(SELECT any_value(d.check_order) FROM r_dq d WHERE d.dq_check = q.dq_check), source_table, dq_check",
+    "v33": "rows_affected DESC NULLS LAST, dq_check",
+}
+
+
+def placed(name: str, order: str, model_of, sql: str, doubles: str) -> None:
+    register(f"visual_{name}_placed", lambda w: placed_visual(model_of(w), name), f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({sql}) q", doubles)
+
+
+for _name, _order in PLACES.items():
+    placed(_name, _order, model, VISUAL_SQL[_name][0].replace("{test}", "true"), VISUAL_SQL[_name][1])
+
 # the customer page: a name or an id is searched; every report on the page and its cards take the filter
 _NAME = [("Customer 360.customer_name", lambda n: F.lower(n).contains("pat1"))]
 _FOUND = "lower(customer_name) LIKE '%pat1%'"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from driver_tables.extracts import SETTINGS
 from driver_tables.oracle import BLOCKS
 from driver_tables.queries import register, reports
+from meterstone.operators.positions import quantile
 from meterstone.plans import outage_model as om
 from meterstone.plans.metrics import MetricModel, model_tables
 from meterstone.plans.visuals import run_cards, run_visual
@@ -137,7 +138,7 @@ register("outage_model_divisions", lambda w: om.division_table(w.dim_geography,
 register("risk_levels_of_forecast", lambda w: scored(w).groupBy("risk_level", "risk_order", "wind_band").count(),
          "SELECT risk_level, risk_order, wind_band, count(*) AS count FROM m_scored GROUP BY ALL")
 register("events_quantile_corr",
-         lambda w: grid(w).agg(F.percentile("events", F.lit(0.95)).alias("p95"), F.corr("events", "customers_out").alias("corr_out")),
+         lambda w: quantile(grid(w), "events", 0.95).withColumnRenamed("value", "p95").crossJoin(F.broadcast(grid(w).agg(F.corr("events", "customers_out").alias("corr_out")))),
          "SELECT quantile_cont(events::double, 0.95) AS p95, corr(events, customers_out) AS corr_out FROM m_grid", "p95 corr_out")
 
 _F = ["Forecast Outages", "Forecast Customers Out", "7-Day Outages", "7-Day Customers Out", "Max Gust (mph)",

@@ -3,21 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def keep_one_per_key(df: DataFrame, keys: Sequence[str], count_as: str = "dup_rows") -> DataFrame:
     """One row per key plus the number of copies.
 
-    Copies that differ are resolved by the smallest remaining columns in column
-    order, so the result does not depend on row order. This is an aggregate and
-    not a row-number window: copies collapse before the shuffle, so a key with a
-    huge number of copies never reaches one task as rows.
+    Copies that differ are resolved by the smallest remaining columns in column order, so the result does not depend on row order.
+    Equal rows are counted first, by hash and before the shuffle, so a key with a huge number of copies never reaches one
+    task as rows. Most keys then have one variant and are done; only the variants of the others are put in order. The keys of these
+    come from a count and are joined back, by broadcast where their measured size allows.
     """
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(
-        F.min(F.struct(*rest)).alias("_kept"), F.count(F.lit(1)).alias(count_as)
-    )
-    return picked.select(*keys, *[F.col(f"_kept.{c}").alias(c) for c in rest], count_as)
+    variants = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(count_as))
+    # the copies are summed too so that both readers of the variants share one exchange
+    found = variants.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_variants"), F.sum(count_as).alias("_copies"))
+    several = found.filter("_variants > 1 AND _copies > 1").drop("_variants", "_copies")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    single = variants.join(several, same, "left_anti")
+    of_key = Window.partitionBy(*keys)
+    place = F.row_number().over(of_key.orderBy(*[F.col(c).asc_nulls_first() for c in rest]))
+    unlike = variants.join(several, same, "left_semi").withColumns({"_place": place, count_as: F.sum(count_as).over(of_key)})
+    return single.unionByName(unlike.filter("_place = 1").drop("_place")).select(*keys, *rest, count_as)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from meterstone.functions.bands import band_field
 from meterstone.operators.fill import fill_down
 from meterstone.operators.poisson import fit_poisson
+from meterstone.operators.positions import quantile
 from meterstone.operators.statistics import count_where, ratio, weighted_mean
 from meterstone.session import scratch_path
 from meterstone.settings import Settings
@@ -179,7 +180,7 @@ def backtest_table(scored: DataFrame) -> DataFrame:
 def backtest_metrics(scored: DataFrame, grid: DataFrame, full: OutageFit, cfg: Settings) -> DataFrame:
     """Accuracy figures as (metric, value, metric_order)."""
     high = next(level[0] for level in cfg.risk_levels if level[2] == "High")
-    cut = scored.agg(F.percentile("events", F.lit(0.95)).alias("_p95"))
+    cut = quantile(scored, "events", 0.95).withColumnRenamed("value", "_p95")
     flagged, big = c("risk_ratio") >= F.lit(high), c("events") >= c("_p95")
     main = scored.crossJoin(F.broadcast(cut)).agg(
         F.max("date").alias("_last"),

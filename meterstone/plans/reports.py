@@ -11,7 +11,7 @@ from meterstone.functions import codes
 from meterstone.functions import dates as D
 from meterstone.functions import text as T
 from meterstone.operators.lag import previous_values
-from meterstone.operators.months import explode_month_ends
+from meterstone.operators.months import counts_by_month, month_number
 from meterstone.operators.statistics import count_where, sum_where
 from meterstone.plans.warehouse import Warehouse
 
@@ -19,6 +19,7 @@ c = F.col
 rows = lambda name: F.count(F.lit(1)).alias(name)
 total = lambda name: F.sum(name).alias(name)
 
+# Names of the published datasets.
 PUBLISHED = (
     "dim_period", "date_daily", "division", "revenue_residential_monthly", "revenue_commercial_monthly",
     "ar_aging_monthly", "ar_top_accounts", "payments_monthly", "digital_adoption_monthly", "ami_daily_profile",
@@ -120,20 +121,17 @@ class Reports:
 
     @cached_property
     def digital_adoption_monthly(self) -> DataFrame:
-        """Customers active at each month-end; months come from the tenure itself."""
-        tenure = self.wh.dim_customer.select(
-            "segment", "division", "move_in_date", "move_out_date",
-            "is_autopay", "autopay_date", "is_paperless", "paperless_date",
-        )
-        before = F.coalesce("move_out_date", F.lit(D.OPEN_END))
-        active = explode_month_ends(tenure, c("move_in_date"), before, self.cfg.window_start,
-                                    self.cfg.window_end, "month_end")
-        by_then = lambda flag, day: c(flag) & (c(day) <= c("month_end"))
-        return active.groupBy("month_end", "segment", "division").agg(
-            rows("active_customers"),
-            count_where(by_then("is_autopay", "autopay_date")).alias("autopay_customers"),
-            count_where(by_then("is_paperless", "paperless_date")).alias("paperless_customers"),
+        """Customers active at each month-end, counted by the steps at both ends of their tenure."""
+        customers, left = self.wh.dim_customer, F.coalesce("move_out_date", F.lit(D.OPEN_END))
+        first, last = month_number(c("move_in_date")), month_number(left) - 1
+        since = lambda flag, day: (F.when(c(flag), F.greatest(first, month_number(c(day)))), F.when(c(day).isNotNull(), last))
+        counts = counts_by_month(
+            customers, ["segment", "division"],
+            {"active_customers": (first, last), "autopay_customers": since("is_autopay", "autopay_date"),
+             "paperless_customers": since("is_paperless", "paperless_date")},
+            self.cfg.window_start, self.cfg.window_end, "month_end",
         )
+        return counts.select("month_end", "segment", "division", "active_customers", "autopay_customers", "paperless_customers")
 
     # usage -----------------------------------------------------------------
     @cached_property

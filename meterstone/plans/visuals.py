@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterstone.operators.positions import with_positions
 from meterstone.plans.metrics import SORT_BY, Filter, MetricModel, column_name
 
 c = F.col
@@ -101,37 +102,48 @@ CARDS = {
 }
 
 
-def _ordered(df: DataFrame, column, descending: bool, ties: Sequence[str]) -> DataFrame:
-    first = column.desc_nulls_last() if descending else column.asc_nulls_last()
-    return df.orderBy(first, *[c(t).asc_nulls_last() for t in ties])
+def _lead(column, descending: bool):
+    return column.desc_nulls_last() if descending else column.asc_nulls_last()
 
 
-def run_visual(model: MetricModel, name: str, where: Sequence[Filter] = ()) -> DataFrame:
-    """Rows of one visual in display order, with plain column names.
-
-    Slicers are filters on ``Table.column`` fields. Ties are broken by the
-    remaining columns.
-    """
-    v = VISUALS[name]
+def _rows(model: MetricModel, v: Visual | Detail, where: Sequence[Filter]) -> tuple[DataFrame, list[str], str | None, list[str]]:
+    """Rows of a visual with plain column names, its columns, the column it is ordered by and those that break ties."""
     if isinstance(v, Detail):
         tests = [(f, t) for f, t in where if model.path(v.table, f.rsplit(".", 1)[0]) is not None]
         df = model.context(v.table, [f for f, _ in tests])
         for f, test in tests:
             df = df.filter(test(c(f"`{f}`")))
         keep = list(v.columns) + ([v.order] if v.order not in v.columns else [])
-        df = _ordered(df.select(*keep), c(v.order), v.descending, [x for x in v.columns if x != v.order])
-        return df.select(*v.columns)
-
+        return df.select(*keep), list(v.columns), v.order, [x for x in v.columns if x != v.order]
     companion = SORT_BY.get(v.order or "")
     extra = f"{v.order.rsplit('.', 1)[0]}.{companion}" if companion else None
     by = [*v.by, extra] if extra else list(v.by)
     df = model.evaluate(v.metrics, by, where)
     plain = {f: f.rsplit(".", 1)[1] for f in by} | {m: column_name(m) for m in v.metrics}
     df = df.select(*[c(f"`{old}`").alias(new) for old, new in plain.items()])
-    if v.order:
-        lead = extra or v.order
-        df = _ordered(df, c(plain[lead]), v.descending, [plain[f] for f in v.by])
-    return df.select(*[plain[f] for f in v.by], *[column_name(m) for m in v.metrics])
+    return df, [*[plain[f] for f in v.by], *[column_name(m) for m in v.metrics]], plain[extra or v.order] if v.order else None, [plain[f] for f in v.by]
+
+
+def run_visual(model: MetricModel, name: str, where: Sequence[Filter] = ()) -> DataFrame:
+    """Rows of one visual in display order, with plain column names.
+
+    Slicers are filters on ``Table.column`` fields. Ties are broken by the
+    remaining columns.
+    """
+    v = VISUALS[name]
+    df, columns, order, ties = _rows(model, v, where)
+    if order:
+        df = df.orderBy(_lead(c(order), v.descending), *[c(t).asc_nulls_last() for t in ties])
+    return df.select(*columns)
+
+
+def placed_visual(model: MetricModel, name: str, where: Sequence[Filter] = ()) -> DataFrame:
+    """Rows of one visual that has an order, each with its ``position`` in it: the order survives storage and later steps."""
+    v = VISUALS[name]
+    df, columns, order, ties = _rows(model, v, where)
+    if not order:
+        raise ValueError(f"{name} has no order")
+    return with_positions(df, [_lead(c(order), v.descending)], "position", ties).select(*columns, "position")
 
 
 def run_cards(model: MetricModel, metrics: Sequence[str], where: Sequence[Filter] = (), by: Sequence[str] = ()) -> DataFrame:

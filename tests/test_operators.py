@@ -3,12 +3,14 @@
 import random
 from datetime import date, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from meterstone.operators.dedup import keep_one_per_key
 from meterstone.operators.fill import fill_down
 from meterstone.operators.lag import previous_values
-from meterstone.operators.months import day_spine, explode_month_ends
+from meterstone.operators.months import counts_by_month, day_spine, explode_month_ends
+from meterstone.operators.positions import quantile, with_positions
 from meterstone.operators.profile import text_widths
 from meterstone.plans.quality import unique_key_violations
 
@@ -23,10 +25,13 @@ def test_duplicates(spark):
 
 
 def test_duplicates_collapse_before_the_shuffle(spark):
-    df = spark.range(1000).select(F.lit(1).alias("id"), (F.col("id") % 3).alias("v"))
+    df = spark.range(1000).select((F.col("id") % 1).alias("id"), (F.col("id") % 3).alias("v"))
     plan = keep_one_per_key(df, ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("partial_min") > plan.index("Exchange hashpartitioning")  # partial below the exchange
-    assert "Window" not in plan
+    below = plan.rsplit("Exchange", 1)[1]
+    assert "partial_count(1)" in below and "Window" not in below
+    done = keep_one_per_key(df, ["id"])
+    done.collect()
+    assert "ReusedExchange" in done._jdf.queryExecution().executedPlan().toString()  # the rows are read and counted once
 
 
 def _bills(spark, hot_share=0.4, n=3000):
@@ -85,3 +90,54 @@ def test_text_widths(spark):
 def test_key_violations(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     assert sorted((r.k or 0) for r in unique_key_violations(df, ["k"]).collect()) == [0, 1]
+
+
+def test_positions(spark):
+    rows = [(i * 7919 % 500, None if i % 11 == 0 else i % 3, "x" * (i % 5)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k int, g int, _range string").repartition(5)
+    got = sorted(with_positions(df, [F.col("g").desc_nulls_last()], tie=["k", "_range"]).collect(), key=lambda r: r.position)
+    key = lambda r: (r[1] is None, -(r[1] or 0), r[0], r[2])
+    assert [r.position for r in got] == list(range(1, 2001)) and [key(r) for r in got] == sorted(map(key, rows))
+    assert with_positions(df.limit(0), [F.col("k")]).count() == 0
+    assert sorted(r.position for r in with_positions(spark.range(3).select(F.lit(1).alias("a")), [F.col("a")]).collect()) == [1, 2, 3]
+
+
+@pytest.mark.parametrize("share", [0.0, 0.1, 0.5, 0.95, 1.0])
+def test_quantile_equals_percentile_on_skewed_values(spark, share):
+    skewed = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 7.0).when(F.col("id") % 97 == 0, None).otherwise(F.sqrt("id") * F.when(F.col("id") % 2 == 0, -1).otherwise(1)).alias("x"))
+    assert quantile(skewed, "x", share).first().value == pytest.approx(skewed.agg(F.percentile("x", F.lit(share))).first()[0], abs=1e-12)
+
+
+def test_quantile_of_few_values(spark):
+    one = lambda v, s: quantile(spark.createDataFrame([(x,) for x in v], "x int"), "x", s).first().value
+    assert one([], .5) is None and one([None], .5) is None and one([4], .95) == 4.0 and one([1, 2], .25) == 1.25 and one([3] * 9, .3) == 3.0
+    with pytest.raises(ValueError):
+        one([1], 1.5)
+
+
+def test_counts_by_month_equal_counting_each_month(spark):
+    n = lambda y, m: (y - 1970) * 12 + m - 1
+    rng, rows = random.Random(2), []
+    for i in range(300):
+        a = rng.choice([None, rng.randrange(n(2023, 1), n(2025, 12))])
+        b = rng.choice([None, rng.randrange(n(2023, 1), n(2025, 12))])
+        rows.append((i, rng.choice(["p", "q", None]), a, b))
+    df = spark.createDataFrame(rows, "id int, g string, a int, b int")
+    got = counts_by_month(df, ["g"], {"x": (F.col("a"), F.col("b")), "y": (F.col("a"), F.col("a"))}, date(2024, 2, 1), date(2025, 3, 31), "me")
+    want = {}
+    for m in range(n(2024, 2), n(2025, 3) + 1):
+        for g in ("p", "q", None):
+            x = sum(r[1] == g and r[2] is not None and r[3] is not None and r[2] <= m <= r[3] for r in rows)
+            y = sum(r[1] == g and r[2] == m for r in rows)
+            if x or y:
+                want[g, m] = (x, y)
+    assert {(r.g, n(r.me.year, r.me.month)): (r.x, r.y) for r in got.collect()} == want and len(want) > 20
+
+
+def test_one_row_a_key_without_sort_aggregate(spark):
+    rows = [(1, "a", 2.0), (1, "a", 2.0), (2, "b", None), (2, "a", 5.0), (2, "a", 4.0), (2, "a", 4.0), (None, "z", 1.0), (None, "z", 1.0), (None, "y", 3.0)]
+    df = spark.createDataFrame(rows, "k int, s string, x double")
+    out = keep_one_per_key(df, ["k"])
+    assert sorted(((r.k or 0), r.s, r.x, r.dup_rows) for r in out.collect()) == [(0, "y", 3.0, 3), (1, "a", 2.0, 2), (2, "a", 4.0, 4)]
+    assert out.columns == ["k", "s", "x", "dup_rows"]
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
