@@ -19,6 +19,7 @@ from meterstone.plans.reports import PUBLISHED
 from meterstone.sources.publish import dataset_sizes, publish
 from meterstone.sources.typing import apply_types
 from meterstone.sources.zone import Zone
+from meterstone.streaming.changes import curate_noted, note_changes
 from meterstone.streaming.new_files import curate_new_files
 
 # Month column of the extracts that come in month folders.
@@ -132,6 +133,25 @@ register("stream_new_files", streamed, """
     FROM ERCH GROUP BY ALL""")
 
 
+def streamed_changes(w) -> DataFrame:
+    """Payments arrive, then June is sent again twice as long and July leaves: both come through the stream of changes."""
+    raw, root, journal, checkpoint = (scratch_path(w.spark, x) for x in ("raw", "lake", "journal", "ckpt"))
+    extract = "sap_isu/DFKKZP"
+    contracts = {extract: (columns_of(extract), True)}
+    land(w, extract, f"{raw}/{extract}")
+    note_changes(w.spark, raw, [extract], journal)
+    curate_noted(w.spark, journal, raw, root, checkpoint, contracts).awaitTermination()
+    land(w, extract, f"{raw}/{extract}", without="2000-07")
+    _send(_june(w).unionAll(_june(w)), f"{raw}/{extract}/year_month=2000-06")
+    note_changes(w.spark, raw, [extract], journal)
+    curate_noted(w.spark, journal, raw, root, checkpoint, contracts).awaitTermination()
+    return Zone(w.spark, root).read(extract)
+
+
+register("stream_changed_files", streamed_changes,
+         """SELECT *, strftime(BUDAT, '%Y-%m') AS year_month FROM DFKKZP WHERE strftime(BUDAT, '%Y-%m') <> '2000-07'
+            UNION ALL SELECT *, strftime(BUDAT, '%Y-%m') AS year_month FROM DFKKZP WHERE strftime(BUDAT, '%Y-%m') = '2000-06'""")
+
 _INGESTED = ("sap_isu/ADRC", "sap_isu/DFKKZP", "crm/interactions")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from meterstone.sources.contracts import MONTH_FOLDER
 from meterstone.sources.typing import apply_types
-from meterstone.sources.zone import TableState, Zone
+from meterstone.sources.zone import Snapshot, TableState, Zone
 
 LOG_SCHEMA = (
     "table_name string, source_path string, source_files bigint, rows_expected bigint, rows_loaded bigint, "
@@ -180,6 +180,23 @@ def _listed(spark: SparkSession, raw: str, table: str) -> list[tuple]:
     return [(table, r.path, r.length, r.modified, False) for r in file_listing(spark, f"{raw}/{table}", "*.csv*").collect()]
 
 
+def load_months(
+    zone: Zone, before: Snapshot, load: str, source: str, table: str, columns: Sequence[str], months: bool, due: Iterable[str]
+) -> tuple[TableState, int, int]:
+    """Months of a table (the whole table where there are none) read anew from the files they have now, staged below ``load``.
+
+    Returns the table's next state, the rows read and the rows written.
+    """
+    due = sorted(due)
+    rows = read_raw(zone.spark, source, columns, months)
+    rows = rows.filter(F.col(MONTH_FOLDER).isin(due)) if months else rows
+    expected = rows.count()
+    fresh = zone.stage(load, table, apply_types(rows))
+    old = before.tables[table].parts if table in before.tables and months else {}
+    state = TableState(fresh.schema, {**{k: p for k, p in old.items() if k not in due}, **fresh.parts})
+    return state, expected, sum(p.rows for p in fresh.parts.values())
+
+
 def curate_changed(spark: SparkSession, raw: str, root: str, contracts: Mapping[str, Contract]) -> list[str]:
     """Load what is new, changed or removed since the last version, by whole months (whole tables where there are none).
 
@@ -202,17 +219,10 @@ def curate_changed(spark: SparkSession, raw: str, root: str, contracts: Mapping[
         touched = changed.unionByName(gone).withColumn("month", month).collect()
         if not touched:
             continue
-        due = sorted({r.month for r in touched})
-        rows = read_raw(spark, f"{raw}/{table}", columns, months)
-        rows = rows.filter(F.col(MONTH_FOLDER).isin(due)) if months else rows
-        expected = rows.count()
-        fresh = zone.stage(load, table, apply_types(rows))
-        loaded = sum(p.rows for p in fresh.parts.values())
+        states[table], expected, loaded = load_months(zone, before, load, f"{raw}/{table}", table, columns, months, {r.month for r in touched})
         append_load_log(spark, f"{root}/load_log", table, f"{raw}/{table}", sum(not r.removed for r in touched), expected, loaded, started, datetime.now())
         if loaded != expected:
             raise ReconciliationError(f"row count mismatch: {table}")
-        old = before.tables[table].parts if table in before.tables and months else {}
-        states[table] = TableState(fresh.schema, {**{k: p for k, p in old.items() if k not in due}, **fresh.parts})
         logs += [tuple(r)[:5] for r in touched]
     if states:
         zone.log_files(load, spark.createDataFrame(logs, LISTED), before.version + 1)

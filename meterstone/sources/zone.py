@@ -24,7 +24,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from meterstone.sources.contracts import MONTH_FOLDER
 
-SNAPSHOT = "version long, table string, schema string, parts array<struct<part: string, folder: string, rows: bigint>>, loads array<string>"
+SNAPSHOT = "version long, table string, schema string, parts array<struct<part: string, folder: string, rows: bigint>>, loads array<string>, marks map<string, bigint>"
 FILE_LOG = "table string, path string, length long, modified timestamp, removed boolean, version long"
 #: File logs of so many loads are folded into one.
 FOLD = 16
@@ -48,6 +48,7 @@ class Snapshot:
     version: int
     tables: Mapping[str, TableState]
     loads: tuple[str, ...]
+    marks: Mapping[str, int] = field(default_factory=dict)  # the last batch of each stream that is in this version
 
 
 class Zone:
@@ -67,7 +68,7 @@ class Zone:
         if version and not rows:
             raise ValueError(f"no version {version}")
         tables = {r.table: TableState(StructType.fromJson(json.loads(r.schema)), {p.part: Part(p.folder, p.rows) for p in r.parts}) for r in rows}
-        return Snapshot(rows[0].version if rows else 0, tables, tuple(rows[0].loads) if rows else ())
+        return Snapshot(rows[0].version if rows else 0, tables, tuple(rows[0].loads) if rows else (), dict(rows[0].marks or {}) if rows else {})
 
     def read(self, table: str, months: Sequence[str] | None = None, version: int | None = None) -> DataFrame:
         """Rows of a table; ``months`` opens the folders of these months only. A table whose files were all removed is empty."""
@@ -105,8 +106,11 @@ class Zone:
         last = log.groupBy("table", "path").agg(F.max_by(F.struct("length", "modified", "removed", "version"), "version").alias("v"))
         return last.select("table", "path", "v.*").filter(~F.col("removed"))
 
-    def commit(self, before: Snapshot, changed: Mapping[str, TableState], load: str) -> Snapshot:
-        """Make ``changed`` tables, and the file log of ``load``, part of the next version; other tables stay as they were."""
+    def commit(self, before: Snapshot, changed: Mapping[str, TableState], load: str, marks: Mapping[str, int] | None = None) -> Snapshot:
+        """Make ``changed`` tables, and the file log of ``load``, part of the next version; other tables stay as they were.
+
+        ``marks`` names the stream and batch the version comes from, so that a batch that runs again can see it was done.
+        """
         loads = (*before.loads, load)
         version = before.version + 1
         if len(loads) > FOLD:
@@ -114,8 +118,8 @@ class Zone:
             known = self.files(Snapshot(version, {}, loads))
             known.write.parquet(f"{self.root}/files/{folded}")
             loads = (folded,)
-        tables = {**before.tables, **changed}
-        rows = [(version, name, t.schema.json(), [(k, p.folder, p.rows) for k, p in sorted(t.parts.items())], list(loads)) for name, t in sorted(tables.items())]
+        tables, marks = {**before.tables, **changed}, {**before.marks, **(marks or {})}
+        rows = [(version, name, t.schema.json(), [(k, p.folder, p.rows) for k, p in sorted(t.parts.items())], list(loads), marks) for name, t in sorted(tables.items())]
         one = self.spark.createDataFrame(rows, SNAPSHOT).coalesce(1)
         one.write.mode("error").json(f"{self.root}/snapshots/{version:08d}")  # fails if another load took the number
-        return Snapshot(version, tables, loads)
+        return Snapshot(version, tables, loads, marks)

@@ -2,7 +2,7 @@
 
 The checkpoint remembers which files were taken, so every run loads exactly the
 new ones. A file whose content changes under the same path is not taken again;
-``sources.lake.files_to_load`` compares sizes and covers that case.
+``streaming.changes`` covers changed and removed files.
 """
 
 from __future__ import annotations
