@@ -233,8 +233,8 @@ def neighbours(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "ve
     best = found.groupBy("query", "entry").agg(F.min("score").alias("score"))
     first = Window.partitionBy("query").orderBy("score", "entry")
     best = best.withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= k + 1)
-    # ids back: of every entry found the k + 1 smallest ids suffice
-    ids = rows.join(entries.select("vec", "entry"), "vec").select("entry", "id")
+    # ids back: of every entry found the k + 1 smallest ids suffice, each once however often it repeats
+    ids = rows.join(entries.select("vec", "entry"), "vec").select("entry", "id").distinct()
     ids = ids.withColumn("turn", F.row_number().over(Window.partitionBy("entry").orderBy("id"))).where(F.col("turn") <= k + 1).select("entry", "id")
     wide = best.select("query", "entry", "score").join(ids, "entry")
     answers = own.select(F.col("id").alias("query_id"), F.col("entry").alias("query")).join(wide, "query").where("query_id <> id")

@@ -1,11 +1,13 @@
 """Quality rules on whole texts, with tokeniser fertility.
 
 Base rules count words, symbols, repeated lines and repeated five-word windows. The fertility rules
-tokenise every word with a public vocabulary that falls back to bytes: characters a token, the share
-of tokens that are bytes, and the entropy of the tokens. Bands for the three are kept for each
-language or script; a text outside its band is rejected.
+tokenise every word with two public vocabularies, one of pieces that falls back to bytes and one of byte pairs for many
+languages: characters a token and the share of tokens that are bytes in both, and the entropy of the pieces. Bands are
+kept for each language or script. Every text is judged, however short: a figure rejects it if it lies outside its band by
+more than ``DEVIATIONS`` standard errors, which come from the text's own tokens (the spread of their lengths, the share at the
+edge of the band, the spread of their information; entropy is held against what so few tokens can show of it).
 
-A word's pieces are found once per task (bounded, ``KEPT``) as the vocabulary cuts at blanks first.
+A word's tokens are found once per task (bounded, ``KEPT``) as both vocabularies cut at blanks first.
 
 Results for odd input: null texts count as empty; texts without words fail the base rules; every
 input row gives one row; a null or unknown language takes the band of its script, and a script
@@ -14,9 +16,10 @@ without a band the widest; other columns are ignored.
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,18 +32,33 @@ KEPT = 300_000
 PIECES = "piece_bpe_32k.model"
 MIN_WORDS, REPEAT_PERCENT, RUN = 10, 20, 5
 SYMBOLS = "#*$%&|<>"
-#: Bands (fixed values of the rule): characters a token from..to, byte share to, entropy in bits from.
-#: The lower ends lie below the figures of 99 in 100 clean texts of the language; noisy marks and
-#: repetition lower them. Texts of fewer than FROM_TOKENS tokens have too unsteady figures to reject.
-FROM_TOKENS = 100
+PAIRS = "byte_bpe_multi_50k.tiktoken"
+DEVIATIONS = 2.0
+#: Bands (fixed values of the rule): characters a piece from..to, byte share to, entropy in bits from; characters a byte pair
+#: from, its byte share to. For languages the lower ends are figures that clean texts reach; for scripts about half the
+#: figures of plain sentences in languages that use them. Scripts without a band of their own are "other".
 BANDS = {
-    "en": (2.04, 9.0, 0.10, 4.0),
-    "de": (2.04, 9.0, 0.10, 4.0),
-    "fr": (1.80, 9.0, 0.10, 4.0),
-    "es": (1.78, 9.0, 0.10, 4.0),
-    "Latin": (1.50, 9.0, 0.15, 3.5),
-    "other": (0.20, 12.0, 0.95, 2.0),
+    "en": (2.10, 9.0, 0.10, 4.5, 2.12, 0.10),
+    "de": (2.09, 9.0, 0.10, 4.5, 2.16, 0.10),
+    "fr": (1.85, 9.0, 0.10, 4.5, 1.92, 0.10),
+    "es": (1.82, 9.0, 0.10, 4.5, 1.94, 0.10),
+    "Latin": (1.15, 9.0, 0.10, 3.5, 1.30, 0.10),
+    "Cyrillic": (1.20, 9.0, 0.10, 3.5, 1.20, 0.10),
+    "Greek": (0.50, 6.0, 0.10, 3.2, 0.90, 0.10),
+    "Hebrew": (0.50, 6.0, 0.10, 3.0, 0.90, 0.15),
+    "Arabic": (0.60, 6.0, 0.10, 3.2, 1.00, 0.10),
+    "Devanagari": (0.45, 5.0, 0.20, 3.2, 0.50, 0.40),
+    "Thai": (0.60, 5.0, 0.10, 3.5, 0.80, 0.20),
+    "Kana": (0.50, 5.0, 0.40, 3.5, 0.60, 0.40),
+    "Han": (0.50, 5.0, 0.45, 3.5, 0.50, 0.45),
+    "Hangul": (0.40, 5.0, 0.40, 3.5, 0.80, 0.45),
+    "other": (0.45, 9.0, 0.40, 3.0, 0.50, 0.40),
 }
+#: Code points from which a script's letters begin, in order (fixed values of the Unicode blocks); "" has no script of its own.
+BLOCKS = ((0x0000, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530, ""), (0x0590, "Hebrew"), (0x0600, "Arabic"), (0x0780, ""), (0x0900, "Devanagari"),
+          (0x0980, ""), (0x0E00, "Thai"), (0x0E80, ""), (0x1100, "Hangul"), (0x1200, ""), (0x1E00, "Latin"), (0x1F00, "Greek"), (0x2000, ""), (0x3040, "Kana"), (0x3100, ""),
+          (0x3400, "Han"), (0xA000, ""), (0xAC00, "Hangul"), (0xD7B0, ""), (0xF900, "Han"), (0xFB00, ""), (0x20000, "Han"), (0x30000, ""))
+_STARTS, _SCRIPTS = np.array([c for c, _ in BLOCKS]), [n for _, n in BLOCKS]
 
 
 def default_pieces() -> str:
@@ -49,10 +67,26 @@ def default_pieces() -> str:
     return public_tokenizers.path(PIECES)
 
 
+def default_pairs() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(PAIRS)
+
+
 def script(text: str) -> str:
-    """The script of most letters, by code point ranges: Latin, or other."""
-    letters = sum(c.isalpha() for c in text)
-    return "Latin" if 2 * sum(c.isalpha() and c < "ɐ" for c in text) >= letters else "other"
+    """The script of most letters; Japanese text is Kana if a tenth of its letters are. "other" where letters of no band's script, or none, prevail."""
+    letters = "".join(filter(str.isalpha, text))
+    if not letters:
+        return "other"
+    if letters.isascii():
+        return "Latin"
+    of = np.searchsorted(_STARTS, np.frombuffer(letters.encode("utf-32-le"), dtype="<u4"), side="right") - 1
+    count = Counter()
+    for k, n in enumerate(np.bincount(of, minlength=len(_SCRIPTS)).tolist()):
+        count[_SCRIPTS[k]] += n
+    if count["Kana"] and 10 * count["Kana"] >= count["Kana"] + count["Han"]:
+        count["Kana"] += count.pop("Han", 0)
+    return max(count, key=lambda s: (count[s], s)) or "other"
 
 
 def dup_lines(text: str) -> int:
@@ -101,71 +135,115 @@ def repeat_words(words: list[bytes], run: int = RUN) -> int:
 
 
 class Pieces:
-    """The public vocabulary and the pieces of words met so far, one for each worker process."""
+    """The public vocabularies and the tokens of words met so far, one for each worker process."""
+
+    def __init__(self, path: str, pairs_path: str):
+        import base64
 
-    def __init__(self, path: str):
+        import public_tokenizers
         import sentencepiece
+        import tiktoken
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.is_byte = np.array([self.model.is_byte(i) for i in range(self.model.get_piece_size())])
-        self.of: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        size = self.model.get_piece_size()
+        self.is_byte = np.array([self.model.is_byte(i) for i in range(size)])
+        with open(pairs_path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.pairs = tiktoken.Encoding("pairs", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.lone = {r for t, r in ranks.items() if len(t) == 1 and t[0] >= 128}
+        self.of: dict[bytes, tuple[bytes, int, int]] = {}
+
+    def learn(self, texts: list[list[bytes]]) -> None:
+        """Pieces, number of byte pairs and of lone bytes among them, for every word of ``texts``."""
         new = set().union(*texts).difference(self.of) if texts else set()
         if len(self.of) + len(new) > KEPT:
             self.of.clear()
             new = set().union(*texts)
         new = list(new)
-        for w, ids in zip(new, self.model.encode([w.decode("utf-8", "replace") for w in new], num_threads=1)):
-            self.of[w] = np.array(ids, dtype=np.int32).tobytes()
-        of = self.of.__getitem__
-        return [np.frombuffer(b"".join(map(of, words)), dtype=np.int32) for words in texts]
-
-    def measure(self, ids: np.ndarray, chars: int) -> tuple[float, float, float]:
-        """Characters a token, share of byte tokens, entropy of the tokens in bits."""
-        if not len(ids):
-            return 0.0, 0.0, 0.0
+        plain = [w.decode("utf-8", "replace") for w in new]
+        pairs = [self.pairs.encode_ordinary(" " + w) for w in plain]
+        for w, ids, two in zip(new, self.model.encode(plain, num_threads=1), pairs):
+            self.of[w] = (np.array(ids, dtype=np.int32).tobytes(), len(two), 0 if w.isascii() else sum(t in self.lone for t in two))
+
+    def figures(self, words: list[bytes], chars: int) -> Figures:
+        if not words:
+            return Figures(0, 0.0, 0.0, 0.0, 0.0, 0.0, 0, 0.0, 0.0)
+        pieces, pairs, lone = zip(*map(self.of.__getitem__, words))
+        ids = np.frombuffer(b"".join(pieces), dtype=np.int32)
+        n = len(ids)
         count = np.bincount(ids)
-        p = count[count > 0] / len(ids)
-        return chars / len(ids), float(self.is_byte[ids].mean()), float(-(p * np.log2(p)).sum())
+        seen = np.flatnonzero(count)
+        share = count[seen] / n
+        told = -np.log2(share)
+        entropy = float((share * told).sum())
+        spread = float(np.sqrt(max(0.0, (share * told ** 2).sum() - entropy ** 2)))
+        width = np.array([len(p) for p in pieces]) // 4
+        # spread of characters a piece, from words: characters of a word less what its pieces would hold on average
+        size = np.array([len(w) for w in words]) if all(map(bytes.isascii, words)) else np.array([len(w.decode("utf-8", "replace")) for w in words])
+        rest = size - width * (chars / n)
+        uneven = float(np.sqrt((rest ** 2).sum()) / n)
+        two = sum(pairs)
+        return Figures(n, chars / n, uneven, float(self.is_byte[ids].mean()), entropy, spread / np.sqrt(n), two, chars / two, sum(lone) / two)
+
+
+class Figures(NamedTuple):
+    n: int  # pieces
+    chars: float  # characters a piece
+    chars_error: float
+    bytes: float  # share of pieces that are bytes
+    entropy: float
+    entropy_error: float
+    pairs: int  # byte pairs
+    pair_chars: float
+    pair_bytes: float
 
 
 @lru_cache(maxsize=2)
-def pieces(path: str) -> Pieces:
-    return Pieces(path)
+def pieces(path: str, pairs_path: str) -> Pieces:
+    return Pieces(path, pairs_path)
 
 
-def verdict(band: tuple, n_tokens: int, fertility: float, byte_share: float, entropy: float) -> bool:
-    low, high, most_bytes, least = band
-    return n_tokens < FROM_TOKENS or (low <= fertility <= high and byte_share <= most_bytes and entropy >= least)
+def verdict(band: tuple, f: Figures, deviations: float = DEVIATIONS) -> bool:
+    """Whether all figures lie inside the band, or outside it by no more than their standard errors allow."""
+    low, high, most_bytes, least, pair_low, pair_bytes = band
+    if not f.n:
+        return False
+    slack = deviations * f.chars_error
+    reached = least - (2 ** least - 1) / (2 * f.n * np.log(2))  # what n pieces of a text at the edge of the band show of its entropy
+    share = lambda p, n: p + deviations * (p * (1 - p) / n) ** 0.5
+    return bool(low - slack <= f.chars <= high + slack and f.bytes <= share(most_bytes, f.n) and f.entropy + deviations * f.entropy_error >= reached
+                and f.pair_chars >= pair_low - slack * f.pair_chars / f.chars and f.pair_bytes <= share(pair_bytes, f.pairs))
 
 
-def _assessed(path: str, bands: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    own = pieces(path)
+def _assessed(path: str, pairs_path: str, bands: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    own = pieces(path, pairs_path)
     for part in slices(batches):
         texts, langs = part.column(1).to_pylist(), part.column(2).to_pylist()
         words = [t.encode().split() for t in texts]  # bytes.split cuts at space and 0x09-0x0D
+        own.learn(words)
         rows = []
-        for t, lang, w, ids in zip(texts, langs, words, own.encode(words)):
+        for t, lang, w in zip(texts, langs, words):
             chars = len(t) - sum(map(t.count, " \t\n\x0b\x0c\r"))
             again = repeat_words(w)
             failed = len(w) < MIN_WORDS or 100 * again > REPEAT_PERCENT * len(w)
-            measured = own.measure(ids, chars)
+            f = own.figures(w, chars)
             band = bands.get(lang) or bands.get(script(t)) or bands["other"]
-            rows.append((len(w), chars, sum(map(t.count, SYMBOLS)), dup_lines(t), again, failed, not failed and verdict(band, len(ids), *measured), *measured))
+            rows.append((len(w), chars, sum(map(t.count, SYMBOLS)), dup_lines(t), again, failed, not failed and verdict(band, f),
+                         f.chars, f.bytes, float(f.entropy), f.pair_chars, f.pair_bytes))
         columns = dict(zip(NAMES, zip(*rows)))
         yield pa.RecordBatch.from_pydict({"id": part.column(0), **{k: pa.array(v) for k, v in columns.items()}})
 
 
-NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "chars_per_token", "byte_share", "token_entropy")
+NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "chars_per_token", "byte_share", "token_entropy",
+         "chars_per_pair", "pair_byte_share")
 
 
 def assess(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang",
-           pieces_path: str | None = None, bands: dict | None = None) -> DataFrame:
-    """(id, counts, base_failed, kept, the three fertility figures): one row a text, in one narrow pass."""
-    path, own = pieces_path or default_pieces(), bands or BANDS
+           pieces_path: str | None = None, pairs_path: str | None = None, bands: dict | None = None) -> DataFrame:
+    """(id, counts, base_failed, kept, the fertility figures of both vocabularies): one row a text, in one narrow pass."""
+    path, pairs, own = pieces_path or default_pieces(), pairs_path or default_pairs(), bands or BANDS
     lang = F.col(f"`{lang_col}`").cast("string") if lang_col else F.lit(None).cast("string")
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"), lang.alias("lang"))
-    kinds = ["long"] * 5 + ["boolean"] * 2 + ["double"] * 3
+    kinds = ["long"] * 5 + ["boolean"] * 2 + ["double"] * 5
     schema = f"id {id_type(df, id_col)}, " + ", ".join(f"{n} {k}" for n, k in zip(NAMES, kinds))
-    return arrow_map(rows, lambda it: _assessed(path, own, it), schema).withColumnRenamed("id", id_col)
+    return arrow_map(rows, lambda it: _assessed(path, pairs, own, it), schema).withColumnRenamed("id", id_col)

@@ -82,3 +82,11 @@ def test_recall_with_outliers_and_clusters(spark):
             hit += len(got[q] & set(np.argsort(d, kind="stable")[1:11].tolist()))
         print("recall", hit / 500)
         assert hit >= 0.9 * 500
+
+
+def test_ids_that_repeat_more_often_than_k(spark):
+    rows = [(1, [1.0, 2.0])] * 14 + [(i, [1.0, 2.0]) for i in range(2, 20)] + [(50, [2.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = hilbert.neighbours(df, df.where("vec_id in (1, 50)")).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r["rank"], r.vec_id, round(r.score, 3)) for r in got] == (
+        [(1, i, i + 1, 0.0) for i in range(1, 11)] + [(50, i, i, 2.236) for i in range(1, 11)])
