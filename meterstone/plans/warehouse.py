@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterstone.plans import dimensions, operations, quality, receivables, reliability, staging, usage
 from meterstone.settings import Settings
@@ -17,6 +19,9 @@ TABLES = (
     "fact_interaction", "fact_payment_plan", "dq_summary",
 )
 
+#: What bucketed tables are dealt by.
+BUCKET_KEYS = {"fact_bill": "bill_id", "fact_payment": "bill_id", "dim_customer": "customer_id", "fact_ar_customer": "customer_id"}
+
 
 class Warehouse:
     """Datasets by name over typed extracts.
@@ -30,11 +35,22 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame], cfg: Settings = Settings()):
         self.spark, self.src, self.cfg = spark, sources, cfg
 
-    def store(self, folder: str, tables: Iterable[str] = TABLES) -> "Warehouse":
+    def store(self, folder: str, tables: Iterable[str] = TABLES, buckets: int = 0) -> "Warehouse":
+        """Write tables below ``folder`` and go on from the files.
+
+        With ``buckets`` the tables of ``BUCKET_KEYS`` become bucketed tables of the session's catalog (their files lie in
+        ``folder`` as well): bills and payments of a bill are in the same bucket, so the ledger joins and sums them
+        without moving either. Open items are written once, in month folders, when both balances are stored: the monthly
+        balances read all of them and the balances of the business date its month only.
+        """
+        tables, base = list(tables), folder.rstrip("/")
         for name in tables:
-            path = f"{folder.rstrip('/')}/{name}"
-            getattr(self, name).hint("rebalance").write.mode("overwrite").parquet(path)
-            self.__dict__[name] = self.spark.read.parquet(path)
+            if name == "fact_ar_monthly" and "fact_ar_customer" in tables and self.cfg.window_start <= self.cfg.as_of <= self.cfg.window_end:
+                items = self.open_items
+                items.hint("rebalance", "me").write.mode("overwrite").partitionBy("me").parquet(f"{base}/open_items")
+                self.__dict__["open_items"] = self.spark.read.schema(items.schema).parquet(f"{base}/open_items").select(*items.columns)
+                self.__dict__["open_items_as_of"] = self.open_items.filter(F.col("me") == F.lit(self.cfg.as_of))
+            self.__dict__[name] = self._stored(name, f"{base}/{name}", buckets)
             # reports go on from the stored fact
             if name == "fact_payment":
                 owner = self.dim_customer.select("customer_id", *receivables.OWNER)
@@ -44,6 +60,16 @@ class Warehouse:
                 self.__dict__["placed_reads"] = self.fact_ami_daily.join(place, "premise_id")
         return self
 
+    def _stored(self, name: str, path: str, buckets: int) -> DataFrame:
+        df, key = getattr(self, name), BUCKET_KEYS.get(name)
+        if not buckets or key is None:
+            df.hint("rebalance").write.mode("overwrite").parquet(path)
+            return self.spark.read.parquet(path)
+        table = f"{name}_{uuid.uuid4().hex}"
+        # one file a bucket: the shuffle deals by the same hash as the buckets
+        df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+        return self.spark.table(table)
+
     # staging
     @cached_property
     def customer(self):
@@ -143,15 +169,17 @@ class Warehouse:
     def open_items(self):
         return receivables.open_items(self.fact_bill, self.fact_payment, self.cfg.window_start, self.cfg.window_end)
 
+    @cached_property
+    def open_items_as_of(self):
+        return receivables.open_items_as_of(self.fact_bill, self.fact_payment, self.cfg)
+
     @cached_property
     def fact_ar_monthly(self):
         return receivables.fact_ar_monthly(self.open_items, self.dim_customer)
 
     @cached_property
     def fact_ar_customer(self):
-        return receivables.fact_ar_customer(
-            receivables.open_items_as_of(self.fact_bill, self.fact_payment, self.cfg)
-        )
+        return receivables.fact_ar_customer(self.open_items_as_of)
 
     @cached_property
     def fact_outage(self):
