@@ -12,8 +12,8 @@ is left once every distance in it exceeds the radius. Tasks give a spanning set
 
 ``drop_near_duplicates`` can instead link by the similarity of the shingle sets themselves (``similar_groups``), exactly: shingles
 are put in one order, the rarest first (by their counts in ``SKETCH`` cells, which any corpus fits into), and two sets that share ``percent`` in
-100 of their union share one of the first few of each, so these are exact keys; places in the order and set sizes
-bound what a pair can share. Equal sets are one node. Of every key all nodes are held against its least node first. Keys whose
+100 of their union share one of the first few of each, so these are exact keys; places in the order, set sizes and
+bitmaps of the sets (a bit that one has and the other lacks is a shingle not shared) bound what a pair can share. Equal sets are one node. Of every key all nodes are held against its least node first. Keys whose
 nodes are then still in different groups are compared by bit planes with the radius ``WIDE``, which finds nearly all links, and what
 is left in different groups after that pair by pair, whatever the distance. Every candidate's similarity is counted on the whole sets.
 
@@ -43,6 +43,8 @@ WORDS, RADIUS, SEED, TILE = 4, 4, 42, 4096
 STAGE_WORDS, PERCENT, WIDE, ANY = 5, 80, 24, 64
 #: Cells in which the documents of shingles are counted; bounds what reaches the driver and the tasks (1 MB).
 SKETCH = 1 << 18
+#: Bits of a set's bitmap.
+BITMAP = 1024
 #: Groups up to this size are compared together, larger ones alone.
 TOGETHER = 64
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -224,7 +226,7 @@ def rarity(df: DataFrame, id_col: str, text_col: str, words: int) -> np.ndarray:
 
 def shingle_sets(df: DataFrame, id_col: str, text_col: str, words: int, percent: int | None = None, rare: np.ndarray | None = None) -> DataFrame:
     """(id, node, bits, size, hashes): the sorted shingle hashes of every text, named by 64 bits of their digest; with
-    ``percent`` only the rarest ones, of which two sets of that similarity share one, the rarest first."""
+    ``percent`` only the rarest ones, of which two sets of that similarity share one, the rarest first, and ``bitmap`` of all."""
 
     def keys(h: np.ndarray) -> np.ndarray:
         if percent is None or not len(h):
@@ -239,9 +241,17 @@ def shingle_sets(df: DataFrame, id_col: str, text_col: str, words: int, percent:
                 "id": part.column(0), "node": np.array([int.from_bytes(hashlib.md5(h.tobytes()).digest()[:8], "little", signed=True) for h in own], dtype=np.int64),
                 "bits": np.array([fingerprint(h) for h in own], dtype=np.uint64).view(np.int64),
                 "size": pa.array([len(h) for h in own], pa.int64()),
-                "hashes": pa.array([keys(h).view(np.int64) for h in own], pa.list_(pa.int64()))})
+                "hashes": pa.array([keys(h).view(np.int64) for h in own], pa.list_(pa.int64())),
+                **({} if percent is None else {"bitmap": pa.array([bitmap(h) for h in own], pa.binary())})})
 
-    return map_text(df, id_col, text_col, work, f"id {id_type(df, id_col)}, node long, bits long, size long, hashes array<long>")
+    more = "" if percent is None else ", bitmap binary"
+    return map_text(df, id_col, text_col, work, f"id {id_type(df, id_col)}, node long, bits long, size long, hashes array<long>{more}")
+
+
+def bitmap(hashes: np.ndarray) -> bytes:
+    on = np.zeros(BITMAP, dtype=bool)
+    on[(hashes >> np.uint64(40)) % np.uint64(BITMAP)] = True
+    return np.packbits(on).tobytes()
 
 
 def can_share(m, i, n, j, percent: int, least):
@@ -250,7 +260,7 @@ def can_share(m, i, n, j, percent: int, least):
 
 
 def _candidates(radius: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a unit within the radius (ANY: all) that can be similar and whose roots differ, of rows (unit, bits, node, size, pos, root) sorted by unit."""
+    """Pairs of a unit within the radius (ANY: all) that can be similar and whose roots differ, of rows (unit, bits, node, size, pos, root, bitmap) sorted by unit."""
 
     def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         unit, bits = rows.column(0).to_numpy(), rows.column(1).to_numpy()
@@ -258,6 +268,7 @@ def _candidates(radius: int, percent: int, batches: Iterator[pa.RecordBatch]) ->
             own, n, shift = planes(bits[at:to]), to - at, 1
             part = rows.slice(at, n)
             node, size, pos, root = (part.column(k).to_numpy() for k in (2, 3, 4, 5))
+            maps = np.frombuffer(b"".join(part.column(6).to_pylist()), dtype=np.uint64).reshape(n, BITMAP // 64)
             while shift < n:
                 same = unit[at + shift:to] == unit[at:to - shift]
                 if not same.any():
@@ -270,6 +281,11 @@ def _candidates(radius: int, percent: int, batches: Iterator[pa.RecordBatch]) ->
                 j = i + shift
                 open_pair = (root[i] != root[j]) & can_share(size[i], pos[i], size[j], pos[j], percent, np.minimum)
                 i, j = i[open_pair], j[open_pair]
+                if len(i):
+                    own_only, other_only = (np.bitwise_count(maps[x] & ~maps[y]).sum(axis=1, dtype=np.int64) for x, y in ((i, j), (j, i)))
+                    most = np.minimum(size[i] - own_only, size[j] - other_only)
+                    can = (100 + percent) * most >= percent * (size[i] + size[j])
+                    i, j = i[can], j[can]
                 if len(i):
                     a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
                     yield pa.RecordBatch.from_pydict({"a": a, "b": b})
@@ -305,13 +321,13 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Conventions for odd input are those of ``near_duplicates``; texts without words have equal sets and are one group.
     """
     own = written(shingle_sets(df, id_col, text_col, words, percent, rarity(df, id_col, text_col, words)), "rare-hashes")
-    nodes = own.groupBy("node").agg(F.min("id").alias("least"), F.first("bits").alias("bits"), F.first("size").alias("size"), F.first("hashes").alias("hashes"))
+    nodes = own.groupBy("node").agg(F.min("id").alias("least"), F.first("bits").alias("bits"), F.first("size").alias("size"), F.first("hashes").alias("hashes"), F.first("bitmap").alias("bitmap"))
     nodes = written(nodes, "nodes")
     keyed = nodes.select("node", "size", F.posexplode("hashes").alias("pos", "key"))
     group = Window.partitionBy("key")
     least = F.min(F.struct("node", "size", "pos")).over(group).alias("star")
     held = keyed.select("key", "node", "size", "pos", F.count("*").over(group).alias("n"), least).where("n > 1")
-    held = written(held.join(nodes.select("node", "bits"), "node"), "held")
+    held = written(held, "held")
 
     def similar(pairs: DataFrame) -> DataFrame:
         """The pairs whose whole sets are similar; sets are taken anew from one document of each node."""
@@ -335,7 +351,8 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         tiles = F.ceil(F.col("n") / tile).cast("int")
         dealt = placed.join(open_keys, "key").withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        units = dealt.select(F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")).alias("unit"), "bits", "node", "size", F.col("pos").cast("long").alias("pos"), "root")
+        dealt = dealt.join(nodes.select("node", "bits", "bitmap"), "node")
+        units = dealt.select(F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")).alias("unit"), "bits", "node", "size", F.col("pos").cast("long").alias("pos"), "root", "bitmap")
         together = units.repartition("unit").sortWithinPartitions("unit")
         links = links.unionByName(similar(arrow_map(together, lambda it, r=radius: _candidates(r, percent, it), "a long, b long")))
         roots = connected(links)
