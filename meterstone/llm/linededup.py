@@ -8,6 +8,12 @@ compares bytes. Repeated chunks that follow each other in a document form a run.
 or more, and runs of several lines with ``FEW`` or more, are passages: their chunks go, but for the
 occurrence with the smallest (id, place) of each. Single headings and licence lines stay.
 
+A passage's first and last lines may lie in chunks with foreign lines, and a passage of a few lines may hold no chunk of its own. So what
+is left is searched once more by seams: pairs of neighbouring lines (blank ones between them are bridged), hashed alike. Seams that occur again and follow each
+other make runs; of runs of ``FEW`` words or more every seam is compared by its lines, and lines go that have a seam met before, but
+for the first occurrence of each line. A stretch of lines that two documents share has only such seams, whatever
+stands around it; a single line beside a removed chunk has none and may stay.
+
 Everything is DataFrame functions. Equal chunks are counted and their first occurrence is found in
 aggregates combined before the shuffle, so a passage in a third of all documents is no large group;
 the join back is one whose skewed partitions adaptive execution splits.
@@ -64,6 +70,64 @@ def _joined(lines: Column, span: Column) -> Column:
 
 
 def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed_col: str | None = None) -> DataFrame:
+    """``docs`` without the passages that an earlier document or place has; ``removed_col`` adds the number of removed chunks and lines."""
+    chunks, lines = fresh(docs, "chunks_gone"), fresh(docs, "lines_gone")
+    left = written(drop_chunks(docs, id_col, text_col, chunks), "without-chunks")
+    out = drop_seams(left, id_col, text_col, lines)
+    number = [(F.col(chunks) + F.col(lines)).alias(removed_col)] if removed_col else []
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], *number)
+
+
+def drop_seams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed_col: str | None = None) -> DataFrame:
+    """``docs`` without lines of runs of neighbouring lines that an earlier document or place has; ``removed_col`` adds their number."""
+    own, version, gone = fresh(docs, "own_id"), fresh(docs, "version"), fresh(docs, "gone")
+    cut_id, cut_version, cut_seams = fresh(docs, "cut_id"), fresh(docs, "cut_version"), fresh(docs, "cut_seams")
+    keyed = docs.withColumn(own, F.col(f"`{id_col}`")).withColumn(version, F.xxhash64(F.col(f"`{text_col}`").cast("string")))
+    text = keyed.select(F.col(own).alias("id"), F.col(version).alias("version"), F.col(f"`{text_col}`").cast("string").alias("text"))
+
+    split = text.where(F.contains("text", F.lit("\n"))).select("id", "version", F.split("text", "\n").alias("lines"))
+    counted = split.select("*", F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("words"))
+    worded = counted.select("*", F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("words", i) > 0).alias("at")).where(F.size("at") > 1)
+    pair = lambda k: F.struct(
+        F.get("at", k).alias("a"), F.get("at", k + 1).alias("b"), F.get("words", F.get("at", k)).alias("wa"), F.get("words", F.get("at", k + 1)).alias("wb"),
+        F.xxhash64(F.get("lines", F.get("at", k)), F.get("lines", F.get("at", k + 1))).alias("hash"))
+    rows = worded.select("id", "version", F.explode(F.transform(F.sequence(F.lit(0), F.size("at") - 2), pair)).alias("s")).select("id", "version", "s.*")
+    rows = written(rows, "seams")  # numbers only; read twice
+    repeated = rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    place = Window.partitionBy("id", "version").orderBy("a")
+    again = rows.join(repeated, "hash").distinct().withColumn("begins", F.when(F.lag("b").over(place) == F.col("a"), 0).otherwise(1))
+    again = again.withColumn("run", F.sum("begins").over(place))
+    words = F.sum(F.col("wb") + F.col("begins") * F.col("wa")).over(Window.partitionBy("id", "version", "run"))
+    passages = again.withColumn("run_words", words).where(F.col("run_words") >= FEW)
+    wanted = written(passages.groupBy(F.col("id").alias("w_id"), F.col("version").alias("w_version")).agg(F.collect_set(F.struct("a", "b")).alias("seams")), "seam-texts")
+    found = text.join(wanted, F.expr("id <=> w_id AND version = w_version")).select("id", "version", F.split("text", "\n").alias("lines"), "seams").dropDuplicates(["id", "version"])
+    both = F.transform("seams", lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b"), F.get("lines", s["a"]).alias("la"), F.get("lines", s["b"]).alias("lb")))
+    places = written(found.select("id", "version", F.explode(both).alias("s")).select("id", "version", "s.*"), "seam-lines")
+    order = lambda i: F.struct(F.col("id").isNull().alias("no_id"), "id", "version", F.col(i).alias("i"))
+    kept = written(places.groupBy("la", "lb").agg(F.min(order("a")).alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n"), "seams-kept")
+    goes = places.join(kept, ["la", "lb"]).where(order("a") != F.col("kept")).select("id", "version", "a", "b", "la", "lb")
+    ends = F.explode(F.array(F.struct(F.col("a").alias("i"), F.col("la").alias("line")), F.struct(F.col("b").alias("i"), F.col("lb").alias("line")))).alias("e")
+    first = written(places.select("id", "version", ends).select("id", "version", "e.*").groupBy("line").agg(F.min(order("i")).alias("first")), "lines-kept")
+    going = goes.select("id", "version", "a", "b", ends).select("id", "version", "a", "b", "e.*").join(first, "line").where(order("i") != F.col("first"))
+    cut = (going.groupBy("id", "version").agg(F.collect_set("i").alias(gone), F.collect_set(F.struct("a", "b")).alias(cut_seams))
+           .select(F.col("id").alias(cut_id), F.col("version").alias(cut_version), gone, cut_seams))
+    cut = written(cut, "seams-cut")
+
+    after = keyed.join(cut, F.col(own).eqNullSafe(F.col(cut_id)) & (F.col(version) == F.col(cut_version)), "left")
+    lines, inside = fresh(after, "lines"), fresh(after, "inside")
+    after = after.withColumn(lines, F.when(F.col(gone).isNotNull(), F.split(F.col(f"`{text_col}`").cast("string"), "\n")))
+    whole = F.filter(cut_seams, lambda s: F.array_contains(gone, s["a"]) & F.array_contains(gone, s["b"]))  # blank lines between two removed ones go too
+    after = after.withColumn(inside, F.array_union(gone, F.flatten(F.transform(whole, lambda s: F.sequence(s["a"], s["b"])))))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(inside))
+    rest = F.array_join(F.transform(left, lambda i: F.get(F.col(lines), i)), "\n")
+    new = F.when(F.col(gone).isNull(), F.col(f"`{text_col}`")).otherwise(rest)
+    out = [new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    if removed_col:
+        out.append(F.coalesce(F.size(gone), F.lit(0)).cast("long").alias(removed_col))
+    return after.select(*out)
+
+
+def drop_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed_col: str | None = None) -> DataFrame:
     """``docs`` without the chunks that an earlier document or place has; ``removed_col`` adds their number."""
     own, version, gone = fresh(docs, "own_id"), fresh(docs, "version"), fresh(docs, "gone")
     cut_id, cut_version = fresh(docs, "cut_id"), fresh(docs, "cut_version")
@@ -132,6 +196,29 @@ ranked AS (
 marked AS (SELECT n.doc_id, n.i, n.line, coalesce(r.gone, false) AS gone, n.chunk FROM numbered n LEFT JOIN ranked r USING (doc_id, chunk)),
 rest AS (
   SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text, count(DISTINCT chunk) FILTER (gone) AS removed
-  FROM marked GROUP BY doc_id)
-SELECT d.doc_id, coalesce(r.text, d.text) AS text, coalesce(r.removed, 0) AS chunks_removed FROM documents d LEFT JOIN rest r USING (doc_id)
+  FROM marked GROUP BY doc_id),
+cut AS MATERIALIZED (SELECT d.doc_id, coalesce(r.text, d.text) AS text, coalesce(r.removed, 0) AS removed FROM documents d LEFT JOIN rest r USING (doc_id)),
+left_lines AS MATERIALIZED (
+  SELECT doc_id, i - 1 AS i, l[i] AS line, len(regexp_extract_all(l[i], '[^\\x20\\x09-\\x0D]+')) AS words FROM (
+    SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM cut WHERE contains(text, chr(10))))),
+seams AS (
+  SELECT doc_id, i AS a, lead(i) OVER d AS b, line AS la, lead(line) OVER d AS lb, words AS wa, lead(words) OVER d AS wb FROM left_lines WHERE words > 0
+  WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+again AS (
+  SELECT *, CASE WHEN lag(b) OVER (PARTITION BY doc_id ORDER BY a) = a THEN 0 ELSE 1 END AS begins FROM (
+    SELECT * FROM seams WHERE b IS NOT NULL QUALIFY count(*) OVER (PARTITION BY la, lb) > 1)),
+seam_runs AS (SELECT *, sum(begins) OVER (PARTITION BY doc_id ORDER BY a) AS run FROM again),
+held AS MATERIALIZED (SELECT * FROM seam_runs QUALIFY sum(wb + begins * wa) OVER (PARTITION BY doc_id, run) >= {FEW}),
+goes AS (SELECT * FROM held QUALIFY row_number() OVER (PARTITION BY la, lb ORDER BY doc_id, a) > 1),
+ends AS (SELECT doc_id, a AS i, la AS line FROM held UNION SELECT doc_id, b, lb FROM held),
+later AS (SELECT doc_id, i FROM ends QUALIFY row_number() OVER (PARTITION BY line ORDER BY doc_id, i) > 1),
+lost AS MATERIALIZED (SELECT DISTINCT doc_id, i FROM (SELECT doc_id, a AS i FROM goes UNION SELECT doc_id, b FROM goes) JOIN later USING (doc_id, i)),
+between_lost AS (
+  SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i FROM goes JOIN lost x USING (doc_id) JOIN lost y USING (doc_id) WHERE x.i = a AND y.i = b),
+every_lost AS (SELECT * FROM lost UNION SELECT * FROM between_lost),
+remaining AS (
+  SELECT l.doc_id, coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (e.i IS NULL), '') AS text FROM left_lines l
+  LEFT JOIN every_lost e ON e.doc_id = l.doc_id AND e.i = l.i WHERE l.doc_id IN (SELECT doc_id FROM lost) GROUP BY l.doc_id)
+SELECT c.doc_id, coalesce(r.text, c.text) AS text, c.removed + coalesce(n.lost, 0) AS chunks_removed
+FROM cut c LEFT JOIN remaining r USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS lost FROM lost GROUP BY doc_id) n USING (doc_id)
 """
