@@ -312,10 +312,13 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
 
 
 def redact(df: DataFrame, spans_col: str = "spans", text_col: str = "text") -> DataFrame:
-    """``df`` with every span of ``spans_col`` in ``text_col`` replaced by its kind in angle brackets (DataFrame functions)."""
+    """``df`` with every span of ``spans_col`` in ``text_col`` replaced by its kind in angle brackets (DataFrame functions).
+
+    Overlapping spans are one stretch with the kind of the first.
+    """
     spans = F.transform(F.filter(F.split(F.coalesce(F.col(f"`{spans_col}`"), F.lit("")), ","), lambda s: s != ""), lambda s: F.split(s, ":"))
     piece = lambda acc, s: F.when(
-        s[1].cast("int") < acc["at"], acc).otherwise(F.struct(
+        s[1].cast("int") < acc["at"], F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s[2].cast("int")).alias("at"))).otherwise(F.struct(
             F.concat(acc["out"], F.substring(F.col(f"`{text_col}`"), acc["at"] + 1, s[1].cast("int") - acc["at"]), F.lit("<"), s[0], F.lit(">")).alias("out"),
             s[2].cast("int").alias("at")))
     rest = lambda acc: F.concat(acc["out"], F.substring(F.col(f"`{text_col}`"), acc["at"] + 1, F.length(F.col(f"`{text_col}`"))))

@@ -101,3 +101,9 @@ def test_blocks_give_the_tags_of_the_whole():
     assert np.array_equal(own.decode([e])[0], own.viterbi([e])[0])
     plain = np.array([sum(own.emit[own.number[f]] for f in pii.features(words, i) if f in own.number) for i in range(500)])
     assert np.allclose(plain[:499], e[:499])
+
+
+def test_redaction_of_overlapping_spans(spark):
+    rows = [("abcdefghij", "name:0:5,secret:3:9"), ("abcdefghij", "name:0:9,secret:3:5,id:9:10"), ("abc", "name:1:2"), ("abc", None), (None, "name:0:1")]
+    got = [r.text for r in pii.redact(spark.createDataFrame(rows, "text string, spans string")).collect()]
+    assert got == ["<name>j", "<name><id>", "a<name>c", "abc", None]
