@@ -6,7 +6,6 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from driver_tables.extracts import SETTINGS
 from driver_tables.oracle import BLOCKS
 from driver_tables.queries import register, reports
 from meterstone.operators.positions import quantile
@@ -71,8 +70,9 @@ def fitted_tables(w):
 _b = GIVEN
 _RATE = (f"{_b['intercept']} + {_b['max_gust_mph']} * g + {_b['gust_over_35']} * greatest(g - 35, 0) + {_b['gust_over_50']} * greatest(g - 50, 0)"
          f" + {_b['precip_in']} * rain + {_b['cdd']} * c + {_b['hdd']} * h + {_b['summer']} * s")
-_BANDS = ", ".join(f"('{b[2]}', {b[0]}::double, {b[1]}::double, {b[3]}::int)" for b in SETTINGS.wind_bands)
-_RISKS = ", ".join(f"({r[0]}::double, {r[1]}::double, '{r[2]}', {r[3]}::int)" for r in SETTINGS.risk_levels)
+# Fixed values, written out here and not taken from the engine's settings.
+_BANDS = """('Under 25 mph', 0::double, 25::double, 1::int), ('25-35 mph', 25, 35, 2), ('35-45 mph', 35, 45, 3), ('45-55 mph', 45, 55, 4), ('55+ mph', 55, 999, 5)"""
+_RISKS = """(0::double, 1.5::double, 'Normal', 1::int), (1.5, 3, 'Elevated', 2), (3, 8, 'High', 3), (8, 1e9, 'Severe', 4)"""
 
 BLOCKS |= {
     "m_bands_list": f"SELECT * FROM (VALUES {_BANDS}) t(band, gust_min, gust_max, band_order)",

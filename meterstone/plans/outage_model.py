@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterstone.functions.bands import band_field
-from meterstone.operators.fill import fill_down
+from meterstone.operators.fill import fill_lookup
 from meterstone.operators.poisson import fit_poisson
 from meterstone.operators.positions import quantile
 from meterstone.operators.statistics import count_where, ratio, weighted_mean
@@ -130,7 +130,7 @@ def band_statistics(grid: DataFrame, cfg: Settings) -> DataFrame:
         F.when(has_events, F.round(ratio(c("_out"), c("_events")), 1)).alias("customers_per_event"),
         F.when(has_events, F.round(ratio(c("_minutes"), c("_out")), 1)).alias("minutes_per_event"),
     )
-    return fill_down(table, "band_order", ["customers_per_event", "minutes_per_event"])
+    return fill_lookup(table, "band_order", ["customers_per_event", "minutes_per_event"])
 
 
 def risk_level_table(spark: SparkSession, cfg: Settings) -> DataFrame:

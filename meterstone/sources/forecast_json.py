@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 c = F.col
@@ -22,8 +22,8 @@ def request_order(divisions: DataFrame) -> DataFrame:
 
     The division list has one row per division, a handful of rows.
     """
-    w = Window.partitionBy(F.lit(0)).orderBy("division")
-    return divisions.select("division", (F.row_number().over(w) - 1).alias("_at"))
+    ordered = divisions.agg(F.array_sort(F.collect_list("division")).alias("all"))
+    return ordered.select(F.posexplode("all").alias("_at", "division")).select("division", "_at")
 
 
 def parse_forecast(payloads: DataFrame, divisions: DataFrame, retrieved_at: datetime) -> DataFrame:

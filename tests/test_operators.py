@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterstone.operators.dedup import keep_one_per_key
-from meterstone.operators.fill import fill_down
+from meterstone.operators.fill import fill_down, fill_lookup
 from meterstone.operators.lag import previous_values
 from meterstone.operators.months import counts_by_month, day_spine, explode_month_ends
 from meterstone.operators.positions import quantile, with_positions
@@ -77,9 +77,13 @@ def test_day_spine(spark):
     assert day_spine(spark, date(2014, 1, 1), date(2026, 12, 31)).count() == 4748
 
 
-def test_fill_down(spark):
-    df = spark.createDataFrame([(1, 2.0), (2, None), (3, 5.0), (4, None), (5, None)], "o int, x double")
-    assert [r.x for r in fill_down(df, "o", ["x"]).orderBy("o").collect()] == [2.0, 2.0, 5.0, 5.0, 5.0]
+def test_fill(spark):
+    df = spark.createDataFrame([(0, None), (1, 2.0), (2, None), (3, 5.0), (4, None), (5, None)], "o int, x double")
+    assert [r.x for r in fill_lookup(df, "o", ["x"]).orderBy("o").collect()] == [None, 2.0, 2.0, 5.0, 5.0, 5.0]
+    grouped = df.withColumn("g", F.col("o") >= 4)
+    assert [r.x for r in fill_down(grouped, "o", ["x"], ["g"]).orderBy("o").collect()] == [None, 2.0, 2.0, 5.0, None, None]
+    with pytest.raises(ValueError):
+        fill_down(df, "o", ["x"], [])
 
 
 def test_text_widths(spark):

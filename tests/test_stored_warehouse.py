@@ -1,7 +1,7 @@
 """A stored warehouse: bucketed ledger without exchanges, open items written once."""
 
 from driver_tables.extracts import SETTINGS, Extracts
-from meterstone import Warehouse
+from meterstone import Reports, Warehouse
 from meterstone.plans import receivables
 
 LEDGER = ("dim_customer", "fact_bill", "fact_payment", "fact_ar_monthly", "fact_ar_customer")
@@ -28,3 +28,9 @@ def test_bucketed_ledger_moves_no_bill_or_payment(spark, small_folder, tmp_path)
     as_of = plan(stored.open_items_as_of)
     assert "PartitionFilters" in as_of and str(SETTINGS.as_of) in as_of.split("PartitionFilters", 1)[1][:200]
     assert opened.exceptAll(stored.open_items).isEmpty()
+
+
+def test_audit_of_a_stored_warehouse_reads_no_fact(spark, small_folder, tmp_path):
+    stored = Warehouse(spark, Extracts(spark, small_folder), SETTINGS).store(str(tmp_path / "dw"))
+    found = plan(Reports(stored).data_quality)
+    assert found.count("FileScan") == 1 and "dq_summary" in found
