@@ -87,11 +87,13 @@ def drop_seams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     split = text.where(F.contains("text", F.lit("\n"))).select("id", "version", F.split("text", "\n").alias("lines"))
     counted = split.select("*", F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("words"))
-    worded = counted.select("*", F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("words", i) > 0).alias("at")).where(F.size("at") > 1)
+    worded = counted.select("*", F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("words", i) > 0).alias("at"))
     pair = lambda k: F.struct(
         F.get("at", k).alias("a"), F.get("at", k + 1).alias("b"), F.get("words", F.get("at", k)).alias("wa"), F.get("words", F.get("at", k + 1)).alias("wb"),
         F.xxhash64(F.get("lines", F.get("at", k)), F.get("lines", F.get("at", k + 1))).alias("hash"))
-    rows = worded.select("id", "version", F.explode(F.transform(F.sequence(F.lit(0), F.size("at") - 2), pair)).alias("s")).select("id", "version", "s.*")
+    # no filter on the computed lists: pushed down, it would work them out anew for every line
+    pairs = F.when(F.size("at") > 1, F.transform(F.sequence(F.lit(0), F.size("at") - 2), pair))
+    rows = worded.select("id", "version", F.explode(pairs).alias("s")).select("id", "version", "s.*")
     rows = written(rows, "seams")  # numbers only; read twice
     repeated = rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     place = Window.partitionBy("id", "version").orderBy("a")
