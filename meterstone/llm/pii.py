@@ -16,6 +16,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterstone.llm.common import id_type, map_text, slices
-from meterstone.llm.pii_labels import LABELLED
+from meterstone.llm.pii_labels import lines
 
 KINDS = ("email", "ip", "card", "phone", "secret", "name", "id")
 BASE = KINDS[:4]
@@ -70,7 +71,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 TOKEN = re.compile(r"[^\W_]+(?:[-'][^\W_]+)*|[^\w\s]|_")
-CUES = frozenset("token key secret password passwd apikey api jeton clave schlüssel name mr mrs ms dr mme contact passport account tax ssn iban no number id signed appelle".split())
+#: Words that tell what follows, in four languages (fixed values).
+CUES = frozenset("""token key secret password passwd apikey api bearer access jeton clave contraseña schlüssel passwort kennwort passe
+name mr mrs ms dr mme frau herr monsieur madame señora señor contact ansprechpartner author customer dear sincerely signed by led from with said ask von par por appelle llamo
+passport account tax ssn iban no number id social security national licence policy kontonummer ausweisnummer steuernummer numéro passeport compte número cuenta dni""".split())
+#: Cues that open sentences too and count only in small letters.
+SMALL = frozenset("by led from with said ask von par por number no id".split())
 #: Words before a word in which cues count.
 REACH = 4
 #: Tokens of a block to decode, tokens decoded with it on either side, and words whose class is kept.
@@ -79,6 +85,12 @@ OUT = 0
 TAGS = ("O", *(f"{p}-{k}" for k in KINDS[4:] for p in "BI"))
 
 
+def cue_of(word: str) -> str:
+    """The cue that a word is, or nothing."""
+    low = word.lower()
+    return low if low in CUES and (word == low or low not in SMALL) else ""
+
+
 def shape(word: str) -> str:
     """Character classes, runs joined; hexadecimal-like and mixed words are told apart by length class."""
     out = []
@@ -97,16 +109,25 @@ def features(words: list[str], i: int) -> list[str]:
     for k in (-1, 1):
         out.append(f"s{k}=" + (shape(words[i + k]) if 0 <= i + k < len(words) else "edge"))
     for k in range(1, REACH + 1):
-        before = words[i - k].lower() if i >= k else ""
-        if before in CUES:
+        before = cue_of(words[i - k]) if i >= k else ""
+        if before:
             out.append("cue=" + before)
-    if w.lower() in CUES:
-        out.append("is=" + w.lower())
+    if cue_of(w):
+        out.append("is=" + cue_of(w))
     if w.isascii() and len(w) >= 16 and re.fullmatch(r"[0-9a-fA-F]+", w):
         out.append("hex")
+    if rich(w):
+        out.append("rich")
+    if w in words[max(0, i - 1):i] or w in words[i + 1:i + 2]:
+        out.append("again")
     return out
 
 
+def rich(word: str) -> bool:
+    """Whether a long word has letters and digits and few repeats among its characters, as drawn ones do."""
+    return len(word) >= 12 and len(set(word[:64])) >= 8 and any(c.isdigit() for c in word) and any(c.isalpha() for c in word)
+
+
 def logsum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis=axis, keepdims=True)
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
@@ -115,28 +136,55 @@ def logsum(x: np.ndarray, axis: int) -> np.ndarray:
 class Tagger:
     """The conditional random field: one weight for each feature and tag, one for each pair of tags."""
 
-    def __init__(self, rounds: int = 150, rate: float = 0.3, ridge: float = 1e-3):
-        rows = [self.parse(line) for line in LABELLED]
+    def __init__(self, table: list[str] | None = None, rounds: int = 100, rate: float = 0.3, ridge: float = 2e-2):
+        rows = [self.parse(line) for line in (lines() if table is None else table)]
         self.number: dict[str, int] = {}
         seen = [[[self.number.setdefault(f, len(self.number)) for f in features(w, i)] for i in range(len(w))] for w, _ in rows]
-        n = len(TAGS)
+        n, size = len(TAGS), np.array([len(w) for w, _ in rows])
         self.emit, self.move = np.zeros((len(self.number), n)), np.zeros((n, n))
         for a, tag in enumerate(TAGS):  # an inner tag follows only its own kind; such moves keep this weight
             for b, to in enumerate(TAGS):
                 if to[0] == "I" and tag[2:] != to[2:]:
                     self.move[a, b] = -1e4
         self.start = np.array([-1e4 if t[0] == "I" else 0.0 for t in TAGS])
+        # all lines at once: places of padded lines, a row of features for each place
+        inside = np.arange(size.max()) < size[:, None]
+        feats = np.zeros((int(size.sum()), len(self.number)))
+        for k, own in enumerate(f for line in seen for f in line):
+            np.add.at(feats[k], own, 1.0)
+        tags = np.zeros(inside.shape, dtype=int)
+        tags[inside] = np.concatenate([t for _, t in rows])
+        truth, pairs = np.zeros((len(feats), n)), np.zeros((n, n))
+        truth[np.arange(len(feats)), tags[inside]] = 1
+        np.add.at(pairs, (tags[:, :-1][inside[:, 1:]], tags[:, 1:][inside[:, 1:]]), 1)
         square_e, square_m = np.full_like(self.emit, 1e-8), np.full_like(self.move, 1e-8)
         for _ in range(rounds):
-            up_e, up_m = -ridge * self.emit, np.where(self.move > -1e3, -ridge * self.move, 0.0)
-            for (_, tags), feats in zip(rows, seen):
-                self.slope(feats, tags, up_e, up_m)
+            share, moves = self.expected(feats @ self.emit, inside)
+            up_e = feats.T @ (truth - share) - ridge * self.emit
+            up_m = np.where(self.move > -1e3, pairs - moves - ridge * self.move, 0.0)
             square_e += up_e ** 2
             square_m += up_m ** 2
             self.emit += rate * up_e / np.sqrt(square_e)
             self.move += np.where(self.move > -1e3, rate * up_m / np.sqrt(square_m), 0.0)
         self.learned()
 
+    def expected(self, scores: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probability of every tag at every place and expected number of every move (forward and backward sums)."""
+        e = np.zeros((*inside.shape, len(TAGS)))
+        e[inside] = scores
+        ahead, back = np.zeros_like(e), np.zeros_like(e)
+        ahead[:, 0] = self.start + e[:, 0]
+        for i in range(1, inside.shape[1]):
+            step = e[:, i] + logsum(ahead[:, i - 1][:, :, None] + self.move, 1)
+            ahead[:, i] = np.where(inside[:, i, None], step, ahead[:, i - 1])
+        for i in range(inside.shape[1] - 2, -1, -1):
+            step = logsum(self.move + (e[:, i + 1] + back[:, i + 1])[:, None], 2)
+            back[:, i] = np.where(inside[:, i + 1, None], step, 0.0)
+        total = logsum(ahead[:, -1], 1)
+        share = np.exp(ahead + back - total[:, None, None])[inside]
+        both = ahead[:, :-1, :, None] + self.move + (e[:, 1:] + back[:, 1:])[:, :, None] - total[:, None, None, None]
+        return share, np.exp(both)[inside[:, 1:]].sum(axis=0)
+
     @staticmethod
     def parse(line: str) -> tuple[list[str], list[int]]:
         words, tags = [], []
@@ -146,42 +194,23 @@ class Tagger:
                 tags.append(TAGS.index(("I-" if k else "B-") + kind) if kind else OUT)
         return words, tags
 
-    def slope(self, feats: list[list[int]], tags: list[int], up_e: np.ndarray, up_m: np.ndarray) -> None:
-        """Adds observed minus expected counts of one sequence (forward and backward sums)."""
-        e = np.array([self.emit[f].sum(0) for f in feats])
-        size = len(e)
-        ahead, back = np.zeros_like(e), np.zeros_like(e)
-        ahead[0] = self.start + e[0]
-        for i in range(1, size):
-            ahead[i] = e[i] + logsum(ahead[i - 1][:, None] + self.move, 0)
-        for i in range(size - 2, -1, -1):
-            back[i] = logsum(self.move + (e[i + 1] + back[i + 1])[None], 1)
-        total = logsum(ahead[-1], 0)
-        share = np.exp(ahead + back - total)
-        for i, (f, t) in enumerate(zip(feats, tags)):
-            up_e[f] -= share[i]
-            up_e[f, t] += 1
-            if i:
-                up_m -= np.exp(ahead[i - 1][:, None] + self.move + (e[i] + back[i])[None] - total)
-                up_m[tags[i - 1], t] += 1
-
     def learned(self) -> None:
         """Tables of the weights by class of word (shape, cue, hexadecimal), so that a word is looked at once."""
         self.classes: dict[tuple, int] = {}
         self.of: dict[str, int] = {}
-        none = np.zeros(len(TAGS))
-        self.weight = lambda f: self.emit[self.number[f]] if f in self.number else none
-        self.edges = self.weight("s-1=edge"), self.weight("s1=edge")
+        self.edges, self.repeat = (self.weight("s-1=edge"), self.weight("s1=edge")), self.weight("again")
         self.rows: list[tuple] = []
         self.tables: list[np.ndarray] = []
 
+    def weight(self, feature: str) -> np.ndarray:
+        return self.emit[self.number[feature]] if feature in self.number else np.zeros(len(TAGS))
+
     def kind(self, word: str) -> int:
-        low, (_, own, *rest) = word.lower(), features([word], 0)
-        cue = low if low in CUES else ""
-        key = own[3:], cue, "hex" in rest
+        cue, (_, own, *rest) = cue_of(word), features([word], 0)
+        key = own[3:], cue, "hex" in rest, "rich" in rest
         if key not in self.classes:
             self.classes[key] = len(self.classes)
-            row = self.weight("bias") + self.weight(own) + self.weight("is=" + cue) + (self.weight("hex") if key[2] else 0.0)
+            row = self.weight("bias") + self.weight(own) + self.weight("is=" + cue) + (self.weight("hex") if key[2] else 0.0) + (self.weight("rich") if key[3] else 0.0)
             self.rows.append((row, self.weight("s-1=" + key[0]), self.weight("s1=" + key[0]), self.weight("cue=" + cue)))
             self.tables = []
         if len(self.of) >= KEPT:
@@ -202,6 +231,12 @@ class Tagger:
         out[:-1] += before[c[1:]]
         for k in range(1, REACH + 1):
             out[k:] += cue[c[:-k]]
+        same = np.fromiter(map(eq, words, words[1:]), dtype=bool, count=len(words) - 1)  # words that their neighbour repeats
+        if same.any():
+            again = np.zeros(len(words), dtype=bool)
+            again[1:] |= same
+            again[:-1] |= same
+            out[again] += self.repeat
         return out
 
     def viterbi(self, rows: list[np.ndarray]) -> list[np.ndarray]:
@@ -294,8 +329,9 @@ def told(spans: list[tuple[int, int, int]]) -> str:
 def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans): one row a text, in one narrow pass."""
 
+    own = tagger()  # trained once, on the driver; its weights go along with the tasks
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = tagger()
         for part in slices(batches):
             texts = part.column(1).to_pylist()
             base = [base_spans(t) for t in texts]
