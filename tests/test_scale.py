@@ -2,7 +2,7 @@
 
 import os
 
-from driver_tables import queries
+from driver_tables import lake_checks, queries
 from driver_tables.extracts import TABLES
 from meterstone import session
 
@@ -23,3 +23,16 @@ def test_shuffle_partitions_grow_with_the_input(spark, small_folder, monkeypatch
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_published_reports_share_stored_tables(spark, small_folder):
+    w = queries.warehouse(spark, small_folder)
+    r = lake_checks.stored_reports(w)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "l_orderkey" in plan(queries.reports(w).customer_360)
+    for name in ("payments_monthly", "customer_360", "ar_top_accounts", "customer_bills_recent", "ar_aging_monthly"):
+        assert "l_orderkey" not in plan(getattr(r, name)), name
+    assert "o_orderkey" not in plan(r.revenue_residential_monthly) and "o_orderkey" not in plan(r.revenue_commercial_monthly)
+    for name in ("payments_monthly", "customer_bills_recent", "revenue_residential_monthly"):
+        a, b = getattr(r, name), getattr(queries.reports(w), name)
+        assert a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
