@@ -91,8 +91,23 @@ def cue_of(word: str) -> str:
     return low if low in CUES and (word == low or low not in SMALL) else ""
 
 
+_CLASSES = str.maketrans({chr(c): "d" if chr(c).isdigit() else "X" if chr(c).isupper() else "x" for c in range(128) if chr(c).isalnum()})
+_RUNS = re.compile(r"(.)\1+", re.DOTALL)
+
+
 def shape(word: str) -> str:
     """Character classes, runs joined; hexadecimal-like and mixed words are told apart by length class."""
+    if len(word) <= 64:  # most words: letters only, then ASCII
+        if word.isalpha() and word.islower():
+            return "x"
+        if word.isascii():
+            body = _RUNS.sub(r"\1", word.translate(_CLASSES))
+            digits, body = "d" in body, body if len(body) <= 4 else "mix"
+            return f"{body}:{min(3, len(word) // 6)}" if digits else body
+    return _shape(word)
+
+
+def _shape(word: str) -> str:
     out = []
     for c in word[:64]:
         k = "d" if c.isdigit() else "X" if c.isupper() else "x" if c.isalpha() else c
@@ -114,7 +129,7 @@ def features(words: list[str], i: int) -> list[str]:
             out.append("cue=" + before)
     if cue_of(w):
         out.append("is=" + cue_of(w))
-    if w.isascii() and len(w) >= 16 and re.fullmatch(r"[0-9a-fA-F]+", w):
+    if hexadecimal(w):
         out.append("hex")
     if rich(w):
         out.append("rich")
@@ -123,6 +138,10 @@ def features(words: list[str], i: int) -> list[str]:
     return out
 
 
+def hexadecimal(word: str) -> bool:
+    return word.isascii() and len(word) >= 16 and bool(re.fullmatch(r"[0-9a-fA-F]+", word))
+
+
 def rich(word: str) -> bool:
     """Whether a long word has letters and digits and few repeats among its characters, as drawn ones do."""
     return len(word) >= 12 and len(set(word[:64])) >= 8 and any(c.isdigit() for c in word) and any(c.isalpha() for c in word)
@@ -206,12 +225,12 @@ class Tagger:
         return self.emit[self.number[feature]] if feature in self.number else np.zeros(len(TAGS))
 
     def kind(self, word: str) -> int:
-        cue, (_, own, *rest) = cue_of(word), features([word], 0)
-        key = own[3:], cue, "hex" in rest, "rich" in rest
+        key = shape(word), cue_of(word), hexadecimal(word), rich(word)
         if key not in self.classes:
             self.classes[key] = len(self.classes)
-            row = self.weight("bias") + self.weight(own) + self.weight("is=" + cue) + (self.weight("hex") if key[2] else 0.0) + (self.weight("rich") if key[3] else 0.0)
-            self.rows.append((row, self.weight("s-1=" + key[0]), self.weight("s1=" + key[0]), self.weight("cue=" + cue)))
+            own, cue = key[:2]
+            row = self.weight("bias") + self.weight("s0=" + own) + self.weight("is=" + cue) + (self.weight("hex") if key[2] else 0.0) + (self.weight("rich") if key[3] else 0.0)
+            self.rows.append((row, self.weight("s-1=" + own), self.weight("s1=" + own), self.weight("cue=" + cue)))
             self.tables = []
         if len(self.of) >= KEPT:
             self.of.clear()
@@ -220,7 +239,10 @@ class Tagger:
 
     def emissions(self, words: list[str]) -> np.ndarray:
         of = self.of
-        c = np.array([of[w] if w in of else self.kind(w) for w in words], dtype=np.int64)
+        known = list(map(of.get, words))
+        if None in known:
+            known = [of[w] if w in of else self.kind(w) for w in words]
+        c = np.array(known, dtype=np.int64)
         if not self.tables:
             self.tables = [np.array(t) for t in zip(*self.rows)]
         own, after, before, cue = self.tables
@@ -229,8 +251,10 @@ class Tagger:
         out[1:] += after[c[:-1]]
         out[-1] += self.edges[1]
         out[:-1] += before[c[1:]]
+        at = np.flatnonzero(cue.any(axis=1)[c])  # few words are cues
         for k in range(1, REACH + 1):
-            out[k:] += cue[c[:-k]]
+            near = at[at < len(c) - k]
+            out[near + k] += cue[c[near]]
         same = np.fromiter(map(eq, words, words[1:]), dtype=bool, count=len(words) - 1)  # words that their neighbour repeats
         if same.any():
             again = np.zeros(len(words), dtype=bool)
@@ -300,12 +324,15 @@ class Tagger:
         return out
 
     def spans(self, texts: list[str], base: list[list[tuple[int, int, int]]]) -> list[list[tuple[int, int, int]]]:
-        laid = [self.tokens(t, b) for t, b in zip(texts, base)]
-        full = [k for k, run in enumerate(laid) if run]
-        tags = self.decode([self.emissions([t.group() for t in laid[k]]) for k in full])
+        # places are looked up only for texts with a tag
+        laid = [[m.group() for m in self.tokens(t, b)] if b else TOKEN.findall(t) for t, b in zip(texts, base)]
+        full = [k for k, words in enumerate(laid) if words]
+        tags = self.decode([self.emissions(laid[k]) for k in full])
         out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
         for k, own in zip(full, tags):
-            run, at = laid[k], 0
+            if not own.any():
+                continue
+            run, at = self.tokens(texts[k], base[k]), 0
             for i in np.flatnonzero(own).tolist():
                 if i < at:
                     continue
