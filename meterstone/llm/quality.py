@@ -16,6 +16,7 @@ without a band the widest; other columns are ignored.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 from meterstone.llm.common import arrow_map, id_type, slices
 
 KEPT = 300_000
+#: New words taken together.
+LEARNED = 10_000
 PIECES = "piece_bpe_32k.model"
 MIN_WORDS, REPEAT_PERCENT, RUN = 10, 20, 5
 SYMBOLS = "#*$%&|<>"
@@ -97,8 +100,8 @@ def dup_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
-def repeat_words(words: list[bytes], run: int = RUN) -> int:
-    """Words in windows of ``run`` words that the text has twice or more.
+def repeat_words(words: list[bytes], run: int = RUN, numbers: list[int] | None = None) -> int:
+    """Words in windows of ``run`` words that the text has twice or more; ``numbers`` are words' own numbers where they are known.
 
     Windows are sorted by a 64-bit hash; neighbours with equal hashes are compared word by word, and
     where a clash is found the windows are counted as tuples.
@@ -106,10 +109,12 @@ def repeat_words(words: list[bytes], run: int = RUN) -> int:
     n = len(words) - run + 1
     if n < 2:
         return 0
-    number: dict[bytes, int] = {}
-    ids = np.array([number.setdefault(w, len(number)) for w in words], dtype=np.uint64)
-    if len(number) == len(words):
+    if numbers is None:
+        number: dict[bytes, int] = {}
+        numbers = [number.setdefault(w, len(number)) for w in words]
+    if len(set(numbers)) == len(words):
         return 0
+    ids = np.array(numbers, dtype=np.uint64)
     hashes = np.zeros(n, dtype=np.uint64)
     with np.errstate(over="ignore"):
         for k in range(run):
@@ -151,39 +156,57 @@ class Pieces:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pairs = tiktoken.Encoding("pairs", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.lone = {r for t, r in ranks.items() if len(t) == 1 and t[0] >= 128}
-        self.of: dict[bytes, tuple[bytes, int, int]] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        """No words: the number of each, its pieces, and a row of figures for each (pieces, code points, byte pairs, lone bytes among them)."""
+        self.of: dict[bytes, int] = {}
+        self.pieces: list[bytes] = []
+        self.table = np.zeros((1024, 4), dtype=np.int64)
 
     def learn(self, texts: list[list[bytes]]) -> None:
         """Pieces, number of byte pairs and of lone bytes among them, for every word of ``texts``."""
         new = set().union(*texts).difference(self.of) if texts else set()
         if len(self.of) + len(new) > KEPT:
-            self.of.clear()
+            self.clear()
             new = set().union(*texts)
         new = list(new)
-        plain = [w.decode("utf-8", "replace") for w in new]
-        pairs = [self.pairs.encode_ordinary(" " + w) for w in plain]
-        for w, ids, two in zip(new, self.model.encode(plain, num_threads=1), pairs):
-            self.of[w] = (np.array(ids, dtype=np.int32).tobytes(), len(two), 0 if w.isascii() else sum(t in self.lone for t in two))
+        for at in range(0, len(new), LEARNED):
+            self._learn(new[at:at + LEARNED])
 
-    def figures(self, words: list[bytes], chars: int) -> Figures:
+    def _learn(self, new: list[bytes]) -> None:
+        plain = [w.decode("utf-8", "replace") for w in new]
+        ids, pairs = self.model.encode(plain, num_threads=1), [self.pairs.encode_ordinary(" " + w) for w in plain]
+        base = len(self.of)
+        self.pieces += [array("i", i).tobytes() for i in ids]
+        self.of.update(zip(new, range(base, base + len(new))))
+        if len(self.of) > len(self.table):
+            self.table = np.concatenate([self.table[:base], np.zeros((len(self.of), 4), dtype=np.int64)])
+        lone = self.lone.__contains__
+        own = self.table[base:len(self.of)]
+        own[:, 0], own[:, 1], own[:, 2] = list(map(len, ids)), list(map(len, plain)), list(map(len, pairs))
+        own[:, 3] = [0 if w.isascii() else sum(map(lone, two)) for w, two in zip(plain, pairs)]
+
+    def numbers(self, words: list[bytes]) -> list[int]:
+        return list(map(self.of.__getitem__, words))
+
+    def figures(self, words: list[bytes], chars: int, numbers: list[int] | None = None) -> Figures:
         if not words:
             return Figures(0, 0.0, 0.0, 0.0, 0.0, 0.0, 0, 0.0, 0.0)
-        pieces, pairs, lone = zip(*map(self.of.__getitem__, words))
-        ids = np.frombuffer(b"".join(pieces), dtype=np.int32)
+        numbers = self.numbers(words) if numbers is None else numbers
+        ids = np.frombuffer(b"".join(map(self.pieces.__getitem__, numbers)), dtype=np.int32)
         n = len(ids)
-        count = np.bincount(ids)
-        seen = np.flatnonzero(count)
-        share = count[seen] / n
+        count = np.unique(ids, return_counts=True)[1]
+        share = count / n
         told = -np.log2(share)
         entropy = float((share * told).sum())
         spread = float(np.sqrt(max(0.0, (share * told ** 2).sum() - entropy ** 2)))
-        width = np.array([len(p) for p in pieces]) // 4
+        width, size, pairs, lone = self.table[numbers].T
         # spread of characters a piece, from words: characters of a word less what its pieces would hold on average
-        size = np.array([len(w) for w in words]) if all(map(bytes.isascii, words)) else np.array([len(w.decode("utf-8", "replace")) for w in words])
         rest = size - width * (chars / n)
         uneven = float(np.sqrt((rest ** 2).sum()) / n)
-        two = sum(pairs)
-        return Figures(n, chars / n, uneven, float(self.is_byte[ids].mean()), entropy, spread / np.sqrt(n), two, chars / two, sum(lone) / two)
+        two = int(pairs.sum())
+        return Figures(n, chars / n, uneven, float(self.is_byte[ids].mean()), entropy, spread / np.sqrt(n), two, chars / two, int(lone.sum()) / two)
 
 
 class Figures(NamedTuple):
@@ -224,9 +247,10 @@ def _assessed(path: str, pairs_path: str, bands: dict, batches: Iterator[pa.Reco
         rows = []
         for t, lang, w in zip(texts, langs, words):
             chars = len(t) - sum(map(t.count, " \t\n\x0b\x0c\r"))
-            again = repeat_words(w)
+            numbers = own.numbers(w)
+            again = repeat_words(w, numbers=numbers)
             failed = len(w) < MIN_WORDS or 100 * again > REPEAT_PERCENT * len(w)
-            f = own.figures(w, chars)
+            f = own.figures(w, chars, numbers)
             band = bands.get(lang) or bands.get(script(t)) or bands["other"]
             rows.append((len(w), chars, sum(map(t.count, SYMBOLS)), dup_lines(t), again, failed, not failed and verdict(band, f),
                          f.chars, f.bytes, float(f.entropy), f.pair_chars, f.pair_bytes))
