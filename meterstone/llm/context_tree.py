@@ -277,6 +277,32 @@ def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
     return arrow_map(grouped, down, "gram long, value double")
 
 
+class Places:
+    """Places of grams in a sorted array: a table of slots by hash, and a search for grams whose slot another one holds."""
+
+    def __init__(self, grams: np.ndarray):
+        bits = min(22, max(10, (4 * len(grams)).bit_length()))
+        self.grams, self.shift, self.slots = grams, np.uint64(64 - bits), np.zeros(1 << bits, dtype=np.int32)
+        self.slots[self.slot(grams)] = np.arange(len(grams), dtype=np.int32)
+
+    def slot(self, code: np.ndarray) -> np.ndarray:
+        return (code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def of(self, code: np.ndarray, step: int = 1 << 18) -> np.ndarray:
+        out = np.empty(len(code), dtype=np.int32)
+        for i in range(0, len(code), step):
+            part = code[i:i + step]
+            at = self.slots[self.slot(part)]
+            other = np.flatnonzero(self.grams[at] != part)
+            if len(other):
+                found = np.searchsorted(self.grams, part[other])
+                if (self.grams[np.minimum(found, len(self.grams) - 1)] != part[other]).any():
+                    raise ValueError("a gram of a text is not among its block's grams")
+                at[other] = found
+            out[i:i + step] = at
+        return out
+
+
 def _scored(depth: int, n_train: int, n_distinct: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by (block, kind): a block's words, its grams, its texts."""
     block, words, shares, grams, values = None, {}, {}, [], []
@@ -298,12 +324,12 @@ def _scored(depth: int, n_train: int, n_distinct: int, batches: Iterator[pa.Reco
                 if not shares:  # the first text of the block: its dictionaries are complete
                     code, value = np.concatenate(grams), np.concatenate(values)
                     order = np.argsort(code)
-                    grams, values = [code[order]], [value[order]]
+                    grams, values = [Places(code[order])], [value[order]]
                     shares = {c: of_count(c) for c in set(words.values())}
                 yield _texts(part, depth, words, shares, grams[0], values[0])
 
 
-def _texts(part: pa.RecordBatch, depth: int, words: dict, shares: dict, grams: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+def _texts(part: pa.RecordBatch, depth: int, words: dict, shares: dict, grams: Places, values: np.ndarray) -> pa.RecordBatch:
     bodies = part.column(7).to_pylist()
     base, n_tokens, n_known = [], [], []
     for body in bodies:
@@ -319,10 +345,7 @@ def _texts(part: pa.RecordBatch, depth: int, words: dict, shares: dict, grams: n
     score = np.zeros(len(bodies))
     for parts, owner in _in_pieces(bodies, depth):
         code, size = codes(parts, depth)
-        at = np.searchsorted(grams, code)
-        if (grams[np.minimum(at, len(grams) - 1)] != code).any():
-            raise ValueError("a gram of a text is not among its block's grams")
-        np.add.at(score, owner, np.add.reduceat(values[at], np.cumsum(size) - size))
+        np.add.at(score, owner, np.add.reduceat(values[grams.of(code)], np.cumsum(size) - size))
     return pa.RecordBatch.from_pydict({
         "id": part.column(5), "held_out": part.column(6), "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()),
         "base_score": pa.array(base, pa.float64()), "score": score, "n_bytes": pa.array([len(b) for b in bodies], pa.int64())})
