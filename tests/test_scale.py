@@ -36,3 +36,18 @@ def test_published_reports_share_stored_tables(spark, small_folder):
     for name in ("payments_monthly", "customer_bills_recent", "revenue_residential_monthly"):
         a, b = getattr(r, name), getattr(queries.reports(w), name)
         assert a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
+
+
+def test_joined_partitions_have_a_bound_where_enough_partitions_are_set(spark):
+    """With the default 200 partitions, 1 GB needs no more of them, but adaptive execution joined them up to 64 MB."""
+    settings = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {s: spark.conf.get(s, None) for s in settings}
+    try:
+        spark.conf.set(settings[0], "200")
+        for given, kept in (("64MB", str(session.JOINED_BYTES)), ("8m", "8m"), (str(1 << 20), str(1 << 20))):
+            spark.conf.set(settings[1], given)
+            assert session.fit_partitions(spark, 100 * session.INPUT_BYTES) == 200
+            assert spark.conf.get(settings[1]) == kept
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
