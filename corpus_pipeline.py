@@ -37,7 +37,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.digests(docs, ids=True)
+    # the executors still hold what the stages before took, so a task remembers fewer words than in op5
+    return bpe.digests(docs, ids=True, kept=100_000, piece=1 << 20)
 
 
 STAGES = [

@@ -19,7 +19,7 @@ import base64
 import heapq
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import islice
 
@@ -31,8 +31,10 @@ from pyspark.sql import functions as F
 from meterstone.llm.common import arrow_map, id_type, map_text, slices
 
 LONG_WORD = 96
-#: Words and token runs a task remembers; beyond that it forgets the older half.
-KEPT = 500_000
+#: Words and token runs a task remembers (beyond that it forgets the older half), and bytes of text it works on at once.
+KEPT, PIECE = 500_000, 4 << 20
+#: Words or token runs that one query gets: its tables are the most that a task holds.
+ASKED = 10_000
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
 MERGE = """
@@ -89,9 +91,10 @@ def split_words(text: str) -> list[str]:
 class Codec:
     """Vocabulary, merge table and what was found so far, one for each worker process."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = KEPT):
         import duckdb
 
+        self.kept = kept
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.single = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
@@ -130,8 +133,8 @@ class Codec:
                 self.ids[w] = self.contract(b).tobytes()
             else:
                 todo.append((w, b))
-        for at in range(0, len(todo), 50_000):
-            part = todo[at:at + 50_000]
+        for at in range(0, len(todo), ASKED):
+            part = todo[at:at + ASKED]
             size = np.array([len(b) for _, b in part])
             word = np.repeat(np.arange(len(part), dtype=np.int32), size)
             pos = (np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)).astype(np.int32)
@@ -167,25 +170,27 @@ class Codec:
 
     def round_trip(self, texts: list[str], back: bool = True) -> tuple[list[bytes], list[bytes]]:
         """Ids of each text as int32 bytes, and (with ``back``) the bytes that decoding them gives."""
-        words = [split_words(t) for t in texts]
-        distinct = set().union(*words)
-        self.learn(list(distinct.difference(self.ids)))
+        # a word of these texts is one object however often it occurs: each match of the pattern is a new one
+        one: dict[str, str] = {}
+        words = [list(map(one.setdefault, w, w)) for w in map(split_words, texts)]
+        self.learn([w for w in one if w not in self.ids])
         ids = self.ids
         out = [b"".join(map(ids.__getitem__, w)) for w in words]
         decoded = []
         if back:
-            new = list(distinct.difference(self.words))
+            new = [w for w in one if w not in self.words]
             self.words.update(zip(new, self.bytes_of([ids[w] for w in new])))
             decoded = [b"".join(map(self.words.__getitem__, w)) for w in words]
-        forget(self.ids)
-        forget(self.words)
+        forget(self.ids, one, self.kept)
+        if back:
+            forget(self.words, one, self.kept)
         return out, decoded
 
     def bytes_of(self, runs: list[bytes]) -> list[bytes]:
         """The bytes of runs of ids."""
         out: list[bytes] = []
-        for at in range(0, len(runs), 50_000):
-            part = runs[at:at + 50_000]
+        for at in range(0, len(runs), ASKED):
+            part = runs[at:at + ASKED]
             ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in part])]).astype(np.int32)
             tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(part), dtype=np.int32)))
             found = self.ask("runs", pa.table({"run": pa.array(np.arange(len(part), dtype=np.int32)), "tokens": tokens}), DECODE)
@@ -203,23 +208,26 @@ class Codec:
             cuts = np.flatnonzero(self.opens[ids[1:]]) + 1 if len(ids) else []
             at = [0, *(np.asarray(cuts) * 4).tolist(), len(raw)]
             runs.append([raw[a:b] for a, b in zip(at, at[1:])] if len(ids) else [])
-        new = list(set().union(*runs).difference(self.runs))
+        met = set().union(*runs)
+        new = list(met.difference(self.runs))
         self.runs.update(zip(new, self.bytes_of(new)))
         out = [b"".join(map(self.runs.__getitem__, r)) for r in runs]
-        forget(self.runs)
+        forget(self.runs, met, self.kept)
         return out
 
 
-def forget(kept: dict) -> None:
-    """Drops the older half of what goes over ``KEPT``."""
-    if len(kept) > KEPT:
-        for k in list(islice(kept, len(kept) - KEPT // 2)):
+def forget(kept: dict, met: Iterable, most: int) -> None:
+    """Drops the older half of what goes over ``most``; what was just ``met`` is the newest, so frequent words stay."""
+    if len(kept) > most:
+        for k in met:
+            kept[k] = kept.pop(k)
+        for k in list(islice(kept, len(kept) - most // 2)):
             del kept[k]
 
 
 @lru_cache(maxsize=2)
-def codec(path: str) -> Codec:
-    return Codec(path)
+def codec(path: str, kept: int = KEPT) -> Codec:
+    return Codec(path, kept)
 
 
 def _id_lists(raw: list[bytes]) -> pa.Array:
@@ -227,9 +235,9 @@ def _id_lists(raw: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), dtype=np.int32)))
 
 
-def _encoded(path: str, batches: Iterator[pa.RecordBatch], back: bool) -> Iterator[pa.RecordBatch]:
-    own = codec(path)
-    for part in slices(batches):
+def _encoded(path: str, batches: Iterator[pa.RecordBatch], back: bool, kept: int = KEPT, piece: int = PIECE) -> Iterator[pa.RecordBatch]:
+    own = codec(path, kept)
+    for part in slices(batches, limit=piece):
         raw, decoded = own.round_trip(part.column(1).to_pylist(), back)
         out = {"id": part.column(0), "ids": _id_lists(raw)}
         if back:
@@ -243,11 +251,14 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_
     return map_text(df, id_col, text_col, lambda it: _encoded(path, it, False), f"id {id_type(df, id_col)}, ids array<int>").withColumnRenamed("id", id_col)
 
 
-def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None) -> DataFrame:
-    """(id, ids, bytes): token ids of every text and the bytes that decoding these ids gives, in one pass."""
+def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None, kept: int = KEPT, piece: int = PIECE) -> DataFrame:
+    """(id, ids, bytes): token ids of every text and the bytes that decoding these ids gives, in one pass.
+
+    Fewer words ``kept`` and smaller pieces take less memory and more time; the rows are the same.
+    """
     path = ranks_path or default_ranks()
     schema = f"id {id_type(df, id_col)}, ids array<int>, bytes binary"
-    return map_text(df, id_col, text_col, lambda it: _encoded(path, it, True), schema).withColumnRenamed("id", id_col)
+    return map_text(df, id_col, text_col, lambda it: _encoded(path, it, True, kept, piece), schema).withColumnRenamed("id", id_col)
 
 
 def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", ranks_path: str | None = None) -> DataFrame:

@@ -58,3 +58,17 @@ def test_query_and_heap_agree():
     own.learn(words)
     for w in words:
         assert own.ids[w] == own.contract(w.encode()).tobytes()
+
+
+def test_a_small_memory_gives_the_same_ids_and_keeps_what_was_just_met(reference):
+    texts = [" ".join(f"w{chr(97 + k)}{chr(97 + i % 26)}{chr(97 + i // 26)} frequent" for i in range(60)) for k in range(8)]
+    small = bpe.Codec(bpe.default_ranks(), 150)
+    for t in texts:
+        ids, back = small.round_trip([t])
+        assert ids[0] == b"".join(i.to_bytes(4, "little") for i in reference.encode_ordinary(t)) and back == [t.encode()]
+        assert " frequent" in small.ids and len(small.ids) <= 150 and len(small.words) <= 150
+
+
+def test_a_small_memory_gives_the_same_rows(spark):
+    docs = spark.createDataFrame([(i, f"text {i} of number{i % 7}\n" * (i % 5)) for i in range(50)], "doc_id long, text string")
+    assert bpe.digests(docs, kept=20, piece=64).exceptAll(bpe.digests(docs)).isEmpty()
