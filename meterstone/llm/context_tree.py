@@ -36,7 +36,7 @@ from meterstone.llm.common import arrow_map, id_type, slices, written
 
 DEPTH, FOLDS, HELD_OUT = 4, 5, 1
 #: Bytes of text a block has, bytes a task works on at once, grams solved together.
-BLOCK, PIECE, SOLVED = 16 << 20, 2 << 20, 400_000
+BLOCK, PIECE, SOLVED = 16 << 20, 1 << 20, 100_000
 END = b"\xff"
 #: Words above this length are named by length and digest.
 LONG_WORD = 48
