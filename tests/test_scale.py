@@ -51,3 +51,23 @@ def test_joined_partitions_have_a_bound_where_enough_partitions_are_set(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_landing_keeps_a_file_a_month_open(spark, small_folder, monkeypatch, tmp_path):
+    """Rows are not sorted by month before they are written (they were, with spills on large tables)."""
+    setting, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(setting)
+    inner = session.open_writers
+
+    def noted(given):
+        seen.append(given)
+        return inner(given)
+
+    monkeypatch.setattr(lake_checks, "open_writers", noted)
+    w = queries.warehouse(spark, small_folder)
+    path = lake_checks.land(w, "sap_isu/DFKKZP", f"{tmp_path}/raw")
+    assert seen == [spark] and spark.conf.get(setting) == before
+    landed, sent = spark.read.option("header", True).csv(path), w.src["DFKKZP"].selectExpr("date_format(BUDAT, 'yyyy-MM') AS year_month")
+    assert landed.selectExpr("cast(year_month AS string)").exceptAll(sent).isEmpty() and landed.count() == sent.count()
+    with session.open_writers(spark):
+        assert spark.conf.get(setting) == str(session.WRITERS)
