@@ -4,8 +4,9 @@ Each task gives the distinct new words of its texts to DuckDB. There a recursive
 word's tokens, joins their positions with the merge table and contracts the word's leftmost pair of
 minimum rank, until no pair of any word merges. Decoding joins token positions with the vocabulary
 and aggregates the bytes in order. A text's ids are those of its words in order, so a round trip decodes the ids of each
-distinct word once. What one task has found for a word or a run of tokens is kept for its next batches (bounded, see
-``KEPT``; the older half goes first), so the queries see a word about once.
+distinct word once; Arrow then copies ids and bytes for every word of a piece by its place among the distinct ones. What one
+task has found for a word or a run of tokens is kept for its next batches (bounded, see ``KEPT``; the older half goes first),
+so the queries see a word about once.
 
 Results for odd input: a null text counts as empty; an empty text has no ids and decodes to no bytes;
 every input row gives one row, repeated ids included; other columns are ignored. Words above
@@ -39,7 +40,7 @@ RANK_FILE = "byte_bpe_50k.tiktoken"
 
 MERGE = """
 WITH RECURSIVE state(word, tokens, live) AS (
-  SELECT word, list(token ORDER BY pos), true FROM start GROUP BY word
+  SELECT word, tokens, true FROM start
   UNION ALL
   SELECT s.word,
          CASE WHEN best IS NULL THEN tokens
@@ -85,7 +86,8 @@ def splitters() -> tuple[re.Pattern, object]:
 
 def split_words(text: str) -> list[str]:
     narrow, wide = splitters()
-    return (narrow if text.isascii() or max(text) < "ɐ" else wide).findall(text)
+    # UTF-8 bytes below C9 are those of characters below U+0240
+    return (narrow if text.isascii() or np.frombuffer(text.encode(), dtype=np.uint8).max() < 0xC9 else wide).findall(text)
 
 
 class Codec:
@@ -124,26 +126,24 @@ class Codec:
 
     def learn(self, words: list[str]) -> None:
         """Ids of words not met before."""
-        todo = []
-        for w in words:
-            b = w.encode()
+        todo, coded = [], []
+        for w, b in zip(words, map(str.encode, words)):
             if b in self.ranks:
                 self.ids[w] = np.int32(self.ranks[b]).tobytes()
             elif len(b) > LONG_WORD:
                 self.ids[w] = self.contract(b).tobytes()
             else:
-                todo.append((w, b))
+                todo.append(w)
+                coded.append(b)
         for at in range(0, len(todo), ASKED):
-            part = todo[at:at + ASKED]
-            size = np.array([len(b) for _, b in part])
-            word = np.repeat(np.arange(len(part), dtype=np.int32), size)
-            pos = (np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)).astype(np.int32)
-            token = self.single[np.frombuffer(b"".join(b for _, b in part), dtype=np.uint8)]
-            out = self.ask("start", pa.table({"word": word, "pos": pos, "token": token}), MERGE)
+            part, own = todo[at:at + ASKED], coded[at:at + ASKED]
+            ends = np.concatenate([[0], np.cumsum(list(map(len, own)))]).astype(np.int32)
+            tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(self.single[np.frombuffer(b"".join(own), dtype=np.uint8)]))
+            out = self.ask("start", pa.table({"word": np.arange(len(part), dtype=np.int32), "tokens": tokens}), MERGE)
             tokens = out["tokens"].combine_chunks()
-            flat, ends = tokens.flatten().to_numpy(), tokens.offsets.to_numpy() - tokens.offsets[0].as_py()
-            for k, a, b in zip(out["word"].to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
-                self.ids[part[k][0]] = flat[a:b].tobytes()
+            flat, ends = tokens.flatten().to_numpy().tobytes(), (tokens.offsets.to_numpy() - tokens.offsets[0].as_py()) * 4
+            for k, a, b in zip(_objects(out["word"]), ends[:-1].tolist(), ends[1:].tolist()):
+                self.ids[part[k]] = flat[a:b]
 
     def contract(self, word: bytes) -> np.ndarray:
         """The same contraction for one very long word, with a heap of (rank, place)."""
@@ -170,21 +170,31 @@ class Codec:
 
     def round_trip(self, texts: list[str], back: bool = True) -> tuple[list[bytes], list[bytes]]:
         """Ids of each text as int32 bytes, and (with ``back``) the bytes that decoding them gives."""
-        # a word of these texts is one object however often it occurs: each match of the pattern is a new one
-        one: dict[str, str] = {}
-        words = [list(map(one.setdefault, w, w)) for w in map(split_words, texts)]
+        ids, decoded = self.spread(texts, back)
+        return [np.asarray(x.values, dtype=np.int32).tobytes() for x in ids], decoded.to_pylist() if back else []
+
+    def spread(self, texts: list[str], back: bool = True) -> tuple[pa.ListArray, pa.BinaryArray | None]:
+        """The same as Arrow columns: Python looks at the distinct words only, Arrow repeats what is found for each occurrence."""
+        parts = [pa.array(split_words(t), pa.string()) for t in texts]
+        ends = pa.array(np.concatenate([[0], np.cumsum(list(map(len, parts)))]).astype(np.int64))
+        coded = pa.concat_arrays(parts or [pa.array([], pa.string())]).dictionary_encode()
+        del parts
+        one, place = _objects(coded.dictionary), coded.indices
         self.learn([w for w in one if w not in self.ids])
-        ids = self.ids
-        out = [b"".join(map(ids.__getitem__, w)) for w in words]
-        decoded = []
+        raw = list(map(self.ids.__getitem__, one))
+        ids, decoded = _id_lists(raw).take(place), None
+        ids = pa.ListArray.from_arrays(ids.offsets.take(ends), ids.values)
         if back:
-            new = [w for w in one if w not in self.words]
-            self.words.update(zip(new, self.bytes_of([ids[w] for w in new])))
-            decoded = [b"".join(map(self.words.__getitem__, w)) for w in words]
+            new = [k for k, w in enumerate(one) if w not in self.words]
+            self.words.update(zip([one[k] for k in new], self.bytes_of([raw[k] for k in new])))
+            decoded = pa.array(list(map(self.words.__getitem__, one)), pa.binary()).take(place)
+            _, at, data = decoded.buffers()
+            at = pa.Array.from_buffers(pa.int32(), len(place) + 1, [None, at]).take(ends)
+            decoded = pa.Array.from_buffers(pa.binary(), len(texts), [None, at.buffers()[1], data])
         forget(self.ids, one, self.kept)
         if back:
             forget(self.words, one, self.kept)
-        return out, decoded
+        return ids, decoded
 
     def bytes_of(self, runs: list[bytes]) -> list[bytes]:
         """The bytes of runs of ids."""
@@ -195,7 +205,7 @@ class Codec:
             tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(part), dtype=np.int32)))
             found = self.ask("runs", pa.table({"run": pa.array(np.arange(len(part), dtype=np.int32)), "tokens": tokens}), DECODE)
             own: list = [b""] * len(part)
-            for k, b in zip(found["run"].to_pylist(), found["bytes"].to_pylist()):
+            for k, b in zip(_objects(found["run"]), _objects(found["bytes"])):
                 own[k] = b
             out += own
         return out
@@ -230,6 +240,11 @@ def codec(path: str, kept: int = KEPT) -> Codec:
     return Codec(path, kept)
 
 
+def _objects(column: pa.Array | pa.ChunkedArray) -> list:
+    """The values of a column without nulls (faster than ``to_pylist``, which makes a scalar of each)."""
+    return (column.to_numpy() if isinstance(column, pa.ChunkedArray) else column.to_numpy(zero_copy_only=False)).tolist()
+
+
 def _id_lists(raw: list[bytes]) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in raw])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), dtype=np.int32)))
@@ -238,10 +253,10 @@ def _id_lists(raw: list[bytes]) -> pa.Array:
 def _encoded(path: str, batches: Iterator[pa.RecordBatch], back: bool, kept: int = KEPT, piece: int = PIECE) -> Iterator[pa.RecordBatch]:
     own = codec(path, kept)
     for part in slices(batches, limit=piece):
-        raw, decoded = own.round_trip(part.column(1).to_pylist(), back)
-        out = {"id": part.column(0), "ids": _id_lists(raw)}
+        ids, decoded = own.spread(part.column(1).to_pylist(), back)
+        out = {"id": part.column(0), "ids": ids}
         if back:
-            out["bytes"] = pa.array(decoded, pa.binary())
+            out["bytes"] = decoded
         yield pa.RecordBatch.from_pydict(out)
 
 

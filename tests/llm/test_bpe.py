@@ -72,3 +72,34 @@ def test_a_small_memory_gives_the_same_ids_and_keeps_what_was_just_met(reference
 def test_a_small_memory_gives_the_same_rows(spark):
     docs = spark.createDataFrame([(i, f"text {i} of number{i % 7}\n" * (i % 5)) for i in range(50)], "doc_id long, text string")
     assert bpe.digests(docs, kept=20, piece=64).exceptAll(bpe.digests(docs)).isEmpty()
+
+
+def test_a_word_is_looked_up_once_however_often_it_occurs(reference):
+    class Counted(dict):
+        looks = 0
+
+        def __getitem__(self, word):
+            self.looks += 1
+            return super().__getitem__(word)
+
+    own, texts = bpe.Codec(bpe.default_ranks()), [" word wörter" * 500, "", " 漢字 word" * 300 + "\n", ""]
+    own.ids, own.words = Counted(), Counted()
+    ids, back = own.round_trip(texts)
+    assert [list(memoryview(x).cast("i")) for x in ids] == [reference.encode_ordinary(t) for t in texts]
+    assert back == [t.encode() for t in texts]
+    assert own.ids.looks <= 10 and own.words.looks <= 10
+
+
+def test_pieces_without_words(reference):
+    own = bpe.Codec(bpe.default_ranks())
+    assert own.round_trip([]) == ([], [])
+    assert own.round_trip(["", ""]) == ([b"", b""], [b"", b""])
+    ids, back = own.spread(["", "a b", ""])
+    assert ids.to_pylist() == [[], reference.encode_ordinary("a b"), []] and back.to_pylist() == [b"", b"a b", b""]
+
+
+def test_both_patterns_split_alike_around_their_border(reference):
+    for t in ("ȿword ɀword", "Ɉ'll ɏ's", "ɐword ɏ", "ÿ  x\u0085\n ƻ"):
+        assert "".join(bpe.split_words(t)) == t
+        assert bpe.split_words(t) == bpe.splitters()[1].findall(t)
+        assert bpe.codec(bpe.default_ranks()).encode([t])[0] == b"".join(i.to_bytes(4, "little") for i in reference.encode_ordinary(t))
