@@ -1,10 +1,21 @@
 """What keeps tasks and shuffles small on large tables."""
 
 import os
+import random
+import time
+from datetime import date, timedelta
+from decimal import Decimal
+
+from pyspark.sql import functions as F
 
 from driver_tables import lake_checks, queries
 from driver_tables.extracts import TABLES
 from meterstone import session
+from meterstone.operators.dedup import keep_one_per_key
+from meterstone.operators.lag import previous_values
+from meterstone.plans import receivables
+from meterstone.plans.reliability import fact_outage
+from meterstone.sources import publish as publishing
 
 
 def test_shuffle_partitions_grow_with_the_input(spark, small_folder, monkeypatch):
@@ -71,3 +82,93 @@ def test_landing_keeps_a_file_a_month_open(spark, small_folder, monkeypatch, tmp
     assert landed.selectExpr("cast(year_month AS string)").exceptAll(sent).isEmpty() and landed.count() == sent.count()
     with session.open_writers(spark):
         assert spark.conf.get(setting) == str(session.WRITERS)
+
+
+def test_publishing_moves_no_row_for_its_files(spark, tmp_path):
+    """Each dataset was dealt out anew before it was written."""
+    plain = spark.range(0, 1000, 1, 4)
+    manifest = publishing.publish(spark, {"plain": plain}, str(tmp_path / "out")).first()
+    assert (manifest.rows, manifest.files) == (1000, 4)
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    """They stayed until the driver collected its garbage: at 6 GB those of all datasets together."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {n for n in (disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size())) if n.startswith("shuffle_")}
+    there = held()
+    counted = spark.range(0, 10_000, 1, 4).groupBy((F.col("id") % 100).alias("k")).count()
+    publishing.publish(spark, {"counted": counted}, str(tmp_path / "out"))
+    until = time.time() + 20
+    while len(held() - there) > 2 and time.time() < until:  # the manifest's own counts may still be held
+        time.sleep(0.2)
+    assert len(held() - there) <= 2 and spark.conf.get(setting, None) == before
+
+
+def test_payment_copies_are_dealt_once_below_a_join(spark):
+    """The filter of a later join went into one branch only, and the rows were read, counted and dealt for each branch."""
+    df = spark.range(3000).select((F.col("id") % 2000).alias("k"), (F.col("id") % 7).alias("owner"), F.col("id").cast("string").alias("x"))
+    owners = spark.range(5).select(F.col("id").alias("owner"), F.lit("n").alias("name"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as on tables too large to broadcast
+    try:
+        done = keep_one_per_key(df, ["k"]).join(owners, "owner").select("k", "x", "name")
+        got = done.collect()
+        final = done._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    smallest = {}
+    for i in range(3000):
+        smallest[i % 2000] = min(smallest.get(i % 2000, (9, "")), (i % 7, str(i)))
+    assert sorted((r.k, r.x) for r in got) == sorted((k, x) for k, (o, x) in smallest.items() if o < 5)
+    whole = [line for line in final.splitlines() if "+- Exchange hashpartitioning(struct(" in line or "+- Exchange hashpartitioning(named_struct(" in line]
+    assert len(whole) == 2 and "ReusedExchange" in final  # the rows, and their keys with counts
+
+
+def test_open_months_are_not_moved_one_by_one(spark):
+    """Balances by month from spans equal those from open items, with unknown due dates and owners that are missing or come twice."""
+    rng = random.Random(11)
+    day = lambda i: date(2024, 6, 1) + timedelta(days=i)
+    bills = []
+    for i in range(600):
+        at = rng.randrange(480)
+        due = None if i % 50 == 0 else day(at + rng.choice([-200, 0, 20, 45]))
+        bills.append((i, None if i % 40 == 0 else rng.randrange(12), day(at), due, False, Decimal(rng.randrange(1, 200))))
+    pays = [(rng.randrange(600), day(rng.randrange(600)), Decimal(rng.choice([-20, 10, 50, 200]))) for _ in range(900)]
+    b = spark.createDataFrame(bills, "bill_id int, customer_id int, bill_date date, due_date date, is_reversed boolean, total_amt decimal(14,2)")
+    p = spark.createDataFrame(pays, "bill_id int, payment_date date, amount decimal(14,2)")
+    who = spark.createDataFrame([(i % 10, f"s{i % 3}", "North") for i in range(11)], "customer_id int, segment string, division string")
+    start, end = date(2024, 10, 1), date(2025, 9, 30)
+    spans = receivables.open_spans(b, p, start, end)
+    items = receivables.open_items(b, p, start, end)
+    a, z = receivables.fact_ar_monthly(items, who), receivables.ar_monthly_of_spans(spans, who)
+    assert a.dtypes == z.dtypes and not a.isEmpty() and a.exceptAll(z).isEmpty() and z.exceptAll(a).isEmpty()
+    at = receivables.items_of_spans(receivables.spans_at(spans, end))
+    now = items.filter(F.col("me") == F.lit(end))
+    assert at.exceptAll(now).isEmpty() and now.exceptAll(at).isEmpty() and now.count() > 10
+    plan = z._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(customer_id#" in plan and " _month#" not in "".join(x for x in plan.splitlines() if "hashpartitioning" in x)
+
+
+def test_previous_rows_of_equal_order(spark):
+    """A piece of rows that are equal in the order: the first of them takes the row of the piece before."""
+    rows = [(1, 1, 5, "a"), (1, 2, 6, "b"), (1, 2, 6, "b"), (1, 3, 7, "c"), (None, 1, 1, "d"), (None, 2, 1, "e"), (2, 1, 1, "f")]
+    df = spark.createDataFrame(rows, "k int, d int, id int, x string")
+    got = previous_values(df, ["k"], ["d", "id"], {"was": "x"}, F.col("d"))
+    assert got.columns == ["k", "d", "id", "x", "was"]
+    assert sorted((r.x, r.was or "-") for r in got.collect()) == [("a", "-"), ("b", "a"), ("b", "b"), ("c", "b"), ("d", "-"), ("e", "d"), ("f", "-")]
+
+
+def test_outages_stay_where_they_are(spark):
+    """The calendar, a row a day, goes to the outages also where its size is not known."""
+    days = spark.range(3).select(F.date_add(F.lit(date(2024, 1, 1)), F.col("id").cast("int")).alias("date"), (F.col("id") == 1).alias("is_major_event_day"))
+    outages = spark.range(30).select(F.col("id").alias("outage_id"), F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 4).cast("int")).alias("outage_date"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = fact_outage(outages, days)
+        assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 23 and out.filter("is_major_event_day").count() == 8
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
